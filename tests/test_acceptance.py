@@ -1,0 +1,71 @@
+"""Every registered query against its SQL in DuckDB, on the given tables."""
+
+import math
+import os
+from pathlib import Path
+
+import duckdb
+import pytest
+
+import __spark_entry__ as spark_entry
+
+SF_DIR = os.environ.get("ACCEPTANCE_SF_DIR", "/root/testdata/sf0.01")
+QUERIES, ORACLES = spark_entry.queries(), spark_entry.oracle_sql()
+
+pytestmark = pytest.mark.skipif(not Path(SF_DIR).is_dir(), reason="test tables are not here")
+
+# DuckDB type of each Spark type that a query may return.
+TYPES = {
+    "bigint": "BIGINT",
+    "int": "INTEGER",
+    "double": "DOUBLE",
+    "string": "VARCHAR",
+    "boolean": "BOOLEAN",
+    "date": "DATE",
+    "timestamp_ntz": "TIMESTAMP",
+}
+
+
+@pytest.fixture(scope="module")
+def duck():
+    connection = duckdb.connect()
+    for path in sorted(Path(SF_DIR).glob("*.parquet")):
+        connection.execute(f"CREATE VIEW {path.stem} AS SELECT * FROM '{path}'")
+    yield connection
+    connection.close()
+
+
+def sort_key(row):
+    return [(value is not None, str(type(value)), value) for value in row]
+
+
+def plain(value):
+    return "NaN" if isinstance(value, float) and math.isnan(value) else value
+
+
+@pytest.mark.parametrize("name", QUERIES)
+def test_query_matches_sql(spark, duck, name):
+    result = QUERIES[name](spark, SF_DIR)
+    expected = duck.sql(ORACLES[name])
+    types = {field.name: TYPES[field.dataType.simpleString()] for field in result.schema.fields}
+    assert types == dict(zip(expected.columns, map(str, expected.types)))
+    names = sorted(types)
+    got = [tuple(plain(row[n]) for n in names) for row in result.collect()]
+    order = [expected.columns.index(n) for n in names]
+    want = [tuple(plain(row[i]) for i in order) for row in expected.fetchall()]
+    assert len(got) == len(want)
+    assert sorted(got, key=sort_key) == sorted(want, key=sort_key)
+
+
+def test_every_query_has_sql():
+    assert set(QUERIES) == set(ORACLES)
+
+
+def test_no_query_is_empty_of_meaning(duck):
+    """The rules that bring in nulls and duplicates leave something to find."""
+    empty = [name for name, sql in ORACLES.items() if not duck.sql(sql).fetchall()]
+    assert empty == []
+
+
+def test_entry_runs(spark):
+    assert spark_entry.entry(spark).count() == 4

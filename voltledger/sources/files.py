@@ -52,7 +52,7 @@ def read_csv(
         raise ValueError(f"missing columns {missing}; the header has {header}")
     schema = T.StructType()
     for name in header:
-        schema = schema.add(name, types.get(name, "string"))
+        schema = schema.add(name, T.DataType.fromDDL(types.get(name, "string")))
     return spark.read.csv(
         path, schema=schema, header=True, sep=separator, enforceSchema=False, mode="FAILFAST"
     )
