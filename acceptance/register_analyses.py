@@ -65,8 +65,9 @@ def register(spark, sf_dir):
 
     part, supplier = F.col("l_partkey"), F.col("l_suppkey")
     power = F.when(quantity != 13, quantity - 10)
-    iso, slashed = F.date_format(day, "yyyy-MM-dd"), F.date_format(day, "dd/MM/yyyy")
-    next_day = F.date_format(day + F.make_dt_interval(days=F.lit(1)), "yyyy-MM-dd")
+    iso = day.cast("date").cast("string")
+    slashed = F.date_format(day, "dd/MM/yyyy")
+    next_day = F.date_add(day.cast("date"), 1).cast("string")
     columns = {
         "idpeps": F.when(flag != "A", tagged("P", part)),
         "nominstallation": tagged("Site ", supplier),
@@ -98,9 +99,9 @@ def register(spark, sf_dir):
         "nbinstallations": (line - 1).cast("long"),
         "puismaxinstallee": power,
         "maxpuis": F.when(tax == 0.08, quantity).otherwise(power),
-        "puismaxcharge": F.when(tax != 0, F.round(tax * 100)),
-        "puismaxraccharge": F.round(F.col("l_discount") * 100),
-        "puismaxrac": F.round("l_extendedprice"),
+        "puismaxcharge": F.when(tax != 0, F.rint(tax * 100)),
+        "puismaxraccharge": F.rint(F.col("l_discount") * 100),
+        "puismaxrac": F.rint("l_extendedprice"),
         "puismaxinstalleedischarge": quantity,
         "energiestockable": quantity + 1,
         "capacitereservoir": quantity + 2,

@@ -33,7 +33,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def cents(name: str) -> Column:
     """A two-place amount as a whole number of cents, so that its sum is exact in any order."""
-    return F.round(F.col(name) * 100).cast("long")
+    return F.rint(F.col(name) * 100).cast("long")
 
 
 def null_if(name: str, value: object) -> Column:

@@ -1,6 +1,6 @@
 """Column-to-column helpers. All stay inside built-in Spark expressions."""
 
-from voltledger.functions.dates import days_between, in_year, parse_date
+from voltledger.functions.dates import days_between, parse_date
 from voltledger.functions.names import col, names_containing, quoted, require_columns
 from voltledger.functions.numeric import divide_ieee, ratio_above, round_half_even, sum_or_zero
 from voltledger.functions.predicates import all_true, differs, first_available
@@ -12,7 +12,6 @@ __all__ = [
     "differs",
     "divide_ieee",
     "first_available",
-    "in_year",
     "names_containing",
     "parse_date",
     "quoted",

@@ -12,7 +12,7 @@ from datetime import date
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from voltledger.functions import differs, first_available, in_year, parse_date, ratio_above
+from voltledger.functions import differs, first_available, parse_date, ratio_above
 from voltledger.operators import (
     columns_equal,
     duplicate_key_report,
@@ -198,7 +198,7 @@ def reconciliation(
         "mainland_charge": (charge, on_mainland()),
         "mainland_connected_charge": (connected, on_mainland()),
         "mainland_power_text_year": (power, on_mainland() & started.endswith(str(year))),
-        "mainland_power_date_year": (power, on_mainland() & in_year(parse_date(started), year)),
+        "mainland_power_date_year": (power, on_mainland() & (F.year(parse_date(started)) == year)),
     }
     c = F.col
     differences = {
@@ -323,10 +323,9 @@ def rows_versioned_after_start(register: DataFrame) -> DataFrame:
 
 def date_disagreements(register: DataFrame) -> DataFrame:
     """One row: rows on which each pair of the start, connection and version dates differs."""
-    start, connection, version = (
-        _as_date(name) for name in ("datemiseenservice", "datederaccordement", "datedebutversion")
-    )
-    return register.agg(
+    names = ("datemiseenservice", "datederaccordement", "datedebutversion")
+    start, connection, version = (F.col(name) for name in names)
+    return register.select([_as_date(name).alias(name) for name in names]).agg(
         F.count_if(differs(start, connection)).alias("start_connection"),
         F.count_if(differs(start, version)).alias("start_version"),
         F.count_if(differs(connection, version)).alias("connection_version"),
