@@ -1,0 +1,98 @@
+"""Duplicate detection against brute force, and its plans when one key holds a third of the rows."""
+
+from collections import Counter
+
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from tests.frames import REGISTER_ROWS, REGISTER_SCHEMA, executed_plan, rows, sorted_tuples
+from voltledger import operators as ops
+
+keys = st.one_of(st.none(), st.sampled_from(["", "a", "b", "c", "d"]), st.text(max_size=2))
+
+
+@settings(max_examples=15, deadline=None)
+@given(st.lists(st.tuples(keys, st.integers(-100, 100)), max_size=30), st.sampled_from([0, 2**20]))
+def test_against_brute_force(spark, data, broadcast_bytes):
+    df = spark.createDataFrame(data, "k string, v long")
+    count = Counter(k for k, _ in data)
+    repeated = [(k, v) for k, v in data if count[k] > 1]
+    order = lambda row: (row[0] is not None, row[0] or "", row[1])
+    got = sorted(rows(ops.duplicated_rows(df, "k", broadcast_bytes)), key=order)
+    assert got == sorted(repeated, key=order)
+    assert rows(ops.duplicated_sum(df, "k", "v")) == [(sum(v for _, v in repeated),)]
+    n = sum(1 for k, _ in repeated if k is not None)
+    assert rows(ops.duplicate_key_report(df, ["k"])) == [("k", n)]
+
+
+def test_null_keys_repeat_each_other(spark):
+    register = spark.createDataFrame(REGISTER_ROWS, REGISTER_SCHEMA)
+    power = ops.duplicated_rows(register, "codeeicresourceobject").select("puismaxinstallee")
+    assert sorted_tuples(power) == [(-1.0,), (0.0,), (10.0,), (100.0,), (100.0,), (50.0,)]
+    assert rows(ops.duplicated_sum(register, "codeeicresourceobject", "puismaxinstallee")) == [
+        (259.0,)
+    ]
+    report = ops.duplicate_key_report(register, ["codeeicresourceobject", "region"])
+    assert rows(report) == [("codeeicresourceobject", 2), ("region", 6)]
+
+
+def test_unknown_key(spark):
+    with pytest.raises(ValueError, match="missing columns"):
+        ops.duplicated_rows(spark.range(3), "k")
+
+
+def test_a_key_named_like_the_helper_column(spark):
+    df = spark.createDataFrame([(1,), (1,), (2,)], "repeated_key int")
+    assert rows(ops.duplicated_rows(df, "repeated_key", 0)) == [(1,), (1,)]
+
+
+@pytest.fixture
+def skewed(spark, tmp_path):
+    """A third of the rows has the null key, a third the key 0, the rest occurs in pairs."""
+    n = 60_000
+    key = F.when(F.col("id") < n / 3, F.lit(0)).when(F.col("id") > n / 3 * 2, F.floor(F.col("id") / 2))
+    df = spark.range(n, numPartitions=12).select(
+        key.cast("long").alias("k"), "id", F.sha2(F.col("id").cast("string"), 512).alias("text")
+    )
+    df.write.parquet(f"{tmp_path}/skewed")
+    return spark.read.parquet(f"{tmp_path}/skewed")
+
+
+def test_few_repeated_keys_leave_the_rows_unshuffled(spark, skewed):
+    result = ops.duplicated_rows(skewed, "k")
+    text = executed_plan(result)
+    assert "BroadcastHashJoin" in text and "SortMergeJoin" not in text
+    # Only the key is shuffled: the text column is in no exchange.
+    exchanges = [line for line in text.splitlines() if "Exchange hashpartitioning" in line]
+    assert exchanges and not any("text" in line for line in exchanges)
+
+
+def test_many_repeated_keys_split_the_hot_key(spark, skewed):
+    settings_ = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "100KB",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "100KB",
+        "spark.sql.shuffle.partitions": "16",
+    }
+    before = {name: spark.conf.get(name, None) for name in settings_}
+    for name, value in settings_.items():
+        spark.conf.set(name, value)
+    try:
+        result = ops.duplicated_rows(skewed, "k", broadcast_bytes=0)
+        text = executed_plan(result)
+        n = result.count()
+    finally:
+        for name, value in before.items():
+            spark.conf.unset(name) if value is None else spark.conf.set(name, value)
+    assert "SortMergeJoin(skew=true)" in text, text
+    # Key 20000 occurs once, in the row with id 40001.
+    assert n == 59_999
+
+
+def test_sums_shuffle_one_row_per_key_and_task(spark, skewed):
+    text = executed_plan(ops.duplicated_sum(skewed, "k", "id"))
+    assert "partial_count" in text and "partial_sum" in text
+    assert "Join" not in text and "Window" not in text

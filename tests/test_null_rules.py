@@ -1,0 +1,249 @@
+"""The rules on nulls, NaN, ties and types that engines disagree about, one test each."""
+
+import math
+
+import numpy as np
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from tests.frames import REGISTER_ROWS, REGISTER_SCHEMA, rows, sorted_tuples
+from voltledger import operators as ops
+from voltledger.functions import (
+    col,
+    differs,
+    divide_ieee,
+    first_available,
+    parse_date,
+    ratio_above,
+    round_half_even,
+    sum_or_zero,
+)
+
+INF, NAN = math.inf, math.nan
+
+
+@pytest.fixture(scope="module")
+def register(spark):
+    return spark.createDataFrame(REGISTER_ROWS, REGISTER_SCHEMA)
+
+
+def test_sum_of_nothing_is_zero(spark):
+    empty = spark.createDataFrame([], "a double, b long, c decimal(10,2)")
+    assert rows(ops.sum_columns(empty, ["a", "b", "c"])) == [(0.0, 0, 0)]
+    nulls = spark.createDataFrame([(None,), (None,)], "a double")
+    assert rows(ops.sum_columns(nulls, ["a"])) == [(0.0,)]
+
+
+def test_sum_skips_null_and_carries_nan(spark):
+    df = spark.createDataFrame([(1.0, NAN), (None, 1.0)], "a double, b double")
+    a, b = rows(ops.sum_columns(df, ["a", "b"]))[0]
+    assert a == 1.0 and math.isnan(b)
+
+
+def test_conditional_sum_leaves_out_null_conditions(spark):
+    df = spark.createDataFrame([("x", 1), (None, 2), ("y", 4)], "k string, v long")
+    got = df.agg(
+        sum_or_zero(F.col("v"), F.col("k") != "x").alias("a"),
+        sum_or_zero(F.col("v"), F.col("k") == "z").alias("b"),
+    )
+    assert rows(got) == [(4, 0)]
+
+
+def test_sum_of_ints_is_long(spark):
+    df = spark.createDataFrame([(2**31 - 1,), (2**31 - 1,)], "a int")
+    got = ops.sum_columns(df, ["a"])
+    assert got.schema["a"].dataType.simpleString() == "bigint"
+    assert rows(got) == [(2**32 - 2,)]
+
+
+def test_sum_of_text_is_refused(spark):
+    df = spark.createDataFrame([("1",)], "a string")
+    with pytest.raises(TypeError, match="non-numeric"):
+        ops.sum_columns(df, ["a"])
+
+
+def test_comparisons_drop_null_and_differs_keeps_it(spark):
+    df = spark.createDataFrame([("x",), (None,), ("y",)], "k string")
+    assert rows(df.filter(F.col("k") != "x")) == [("y",)]
+    assert rows(df.filter(~F.col("k").isin("x"))) == [("y",)]
+    assert sorted_tuples(df.filter(differs(F.col("k"), F.lit("x")))) == [(None,), ("y",)]
+
+
+def test_rows_differing(register):
+    got = ops.rows_differing(register, "puismaxinstallee", "maxpuis")
+    assert sorted_tuples(got.select("puismaxinstallee", "maxpuis")) == [(100.0, None), (50.0, 51.0)]
+
+
+def test_ratio_over_zero(register):
+    kept = register.filter(ratio_above(F.col("puismaxinstallee"), F.col("nbinstallations"), 45))
+    got = kept.select("puismaxinstallee", "nbinstallations").collect()
+    assert sorted((r[0], r[1]) for r in got if not math.isnan(r[0])) == [
+        (0.0, 0),
+        (10.0, 0),
+        (50.0, 1),
+        (100.0, 1),
+        (100.0, 2),
+    ]
+    assert sum(math.isnan(r[0]) for r in got) == 1
+
+
+def test_division_as_ieee_has_it(spark):
+    numbers = [0.0, 1.0, -1.5, 7.0, INF, -INF, NAN, 1e308]
+    pairs = [(a, b) for a in numbers for b in numbers]
+    df = spark.createDataFrame(pairs, "a double, b double")
+    got = rows(df.select("a", "b", divide_ieee(F.col("a"), F.col("b"))))
+    with np.errstate(all="ignore"):
+        for a, b, quotient in got:
+            want = float(np.float64(a) / np.float64(b))
+            assert quotient == want or (math.isnan(quotient) and math.isnan(want)), (a, b)
+
+
+def test_division_keeps_null(spark):
+    df = spark.createDataFrame([(None, 0.0), (1.0, None), (None, None)], "a double, b double")
+    assert rows(df.select(divide_ieee(F.col("a"), F.col("b")))) == [(None,)] * 3
+
+
+def test_rounding_ties(spark):
+    df = spark.createDataFrame([(1.015,), (2.675,), (0.125,), (0.375,), (-0.125,)], "x double")
+    got = [r[0] for r in rows(df.select(round_half_even(F.col("x"), 2)))]
+    assert got == [1.01, 2.68, 0.12, 0.38, -0.12]
+
+
+def test_rounding_leaves_the_unroundable(spark):
+    numbers = [1e308, -1e308, INF, -INF, 2.0**52, 2.0**53 + 2, None]
+    df = spark.createDataFrame([(x,) for x in numbers], "x double")
+    assert [r[0] for r in rows(df.select(round_half_even(F.col("x"), 3)))] == numbers
+    nan = spark.createDataFrame([(NAN,)], "x double").select(round_half_even(F.col("x"), 2))
+    assert math.isnan(rows(nan)[0][0])
+
+
+@settings(max_examples=15, deadline=None)
+@given(st.lists(st.floats(-1e9, 1e9), min_size=1, max_size=40), st.integers(0, 4))
+def test_rounding_agrees_with_numpy(spark, numbers, digits):
+    df = spark.createDataFrame([(x,) for x in numbers], "x double")
+    got = [r[0] for r in rows(df.select(round_half_even(F.col("x"), digits)))]
+    want = np.rint(np.array(numbers) * 10.0**digits) / 10.0**digits
+    assert got == want.tolist()
+
+
+def test_null_positions_in_sorts(spark):
+    df = spark.createDataFrame([(2,), (None,), (1,)], "x int")
+    assert rows(ops.sorted_rows(df, "x")) == [(None,), (1,), (2,)]
+    assert rows(ops.sorted_rows(df, "x", descending=True)) == [(None,), (2,), (1,)]
+    assert rows(ops.top_rows(df, "x", 2, descending=True)) == [(None,), (2,)]
+
+
+def test_group_sums_order(spark):
+    df = spark.createDataFrame(
+        [("a", 1.0), ("b", 5.0), ("b", None), (None, 5.0), ("c", None)], "k string, v double"
+    )
+    got = ops.group_sums(df, "k", ["v"], descending_by="v")
+    assert rows(got) == [(None, 5.0), ("b", 5.0), ("a", 1.0), ("c", 0.0)]
+
+
+def test_count_per_column_is_not_a_row_count(spark):
+    df = spark.createDataFrame([(1, None), (2, "x"), (None, None)], "a int, b string")
+    assert rows(ops.count_per_column(df)) == [(2, 1)]
+    assert rows(ops.row_count(df)) == [(3,)]
+    assert rows(ops.frame_shape(df)) == [(3, 2)]
+
+
+def test_null_profiles(spark):
+    df = spark.createDataFrame([(1, None, "x"), (2, 1.5, "y")], "a int, `b.c` double, d string")
+    assert rows(ops.null_count(df)) == [(0, 1, 0)]
+    assert rows(ops.has_null(df)) == [(False, True, False)]
+    assert ops.null_columns(df) == ["b.c"]
+    assert sorted_tuples(ops.null_columns_only(df)) == [(None,), (1.5,)]
+    assert ops.null_columns_only(df.select("a")).columns == []
+
+
+def test_profiles_of_an_empty_frame(spark):
+    empty = spark.createDataFrame([], "a int, b int")
+    assert rows(ops.null_count(empty)) == [(0, 0)]
+    assert rows(ops.has_null(empty)) == [(False, False)]
+    assert rows(ops.columns_equal(empty, "a", "b")) == [(True,)]
+    assert rows(ops.min_max(empty, ["a"])) == [(None, None)]
+    assert rows(ops.count_distinct(empty, "a")) == [(0,)]
+    assert rows(ops.duplicated_rows(empty, "a")) == []
+    assert rows(ops.duplicated_sum(empty, "a", "b")) == [(0,)]
+
+
+def test_distinct_count_skips_null_and_takes_nan_once(spark):
+    df = spark.createDataFrame([(1.0,), (None,), (NAN,), (NAN,), (0.0,), (-0.0,)], "x double")
+    assert rows(ops.count_distinct(df, "x")) == [(3,)]
+    assert rows(ops.count_distinct(df, "x", approximate=True)) == [(3,)]
+
+
+def test_columns_equal(register, spark):
+    assert rows(ops.columns_equal(register, "puismaxinstallee", "maxpuis")) == [(False,)]
+    same = spark.createDataFrame([(1.0, 1.0), (None, None), (NAN, NAN)], "a double, b double")
+    assert rows(ops.columns_equal(same, "a", "b")) == [(True,)]
+
+
+def test_comparison_needs_one_type(spark):
+    df = spark.createDataFrame([("2020-01-01", None)], "a string, b date")
+    with pytest.raises(TypeError, match="one type"):
+        ops.columns_equal(df, "a", "b")
+    with pytest.raises(TypeError, match="one type"):
+        ops.rows_differing(df, "a", "b")
+
+
+def test_dates_in_two_spellings(spark):
+    texts = ["2010-02-26", "26/02/2010", "30/02/2010", "2010-02-30", "x", "", None, "1/2/2010"]
+    df = spark.createDataFrame([(t,) for t in texts], "s string")
+    got = [r[0] and r[0].isoformat() for r in rows(df.select(parse_date(F.col("s"))))]
+    assert got == ["2010-02-26", "2010-02-26"] + [None] * 6
+
+
+def test_dates_pass_through(spark):
+    df = spark.sql("SELECT DATE '2010-02-26' AS d")
+    assert rows(df.select(parse_date(F.col("d")) == F.col("d"))) == [(True,)]
+
+
+def test_value_counts_has_null(spark):
+    df = spark.createDataFrame([("x",), (None,), ("x",), (None,), (None,)], "k string")
+    assert sorted_tuples(ops.value_counts(df, "k")) == [(None, 3), ("x", 2)]
+
+
+def test_share_of_a_zero_total_is_nan(spark):
+    df = spark.createDataFrame([("a", 0.0), ("b", None)], "k string, v double")
+    got = rows(ops.group_share(df, "k", "v", "share"))
+    assert [(k, v) for k, v, _ in got] == [("a", 0.0), ("b", 0.0)]
+    assert all(math.isnan(share) for _, _, share in got)
+
+
+def test_share(spark):
+    df = spark.createDataFrame([("a", 1.0), ("b", 2.0), (None, 0.0)], "k string, v double")
+    got = rows(ops.group_share(df, "k", "v", "share"))
+    assert got == [("b", 2.0, 66.67), ("a", 1.0, 33.33), (None, 0.0, 0.0)]
+    assert rows(ops.group_share(df.limit(0), "k", "v", "share")) == []
+
+
+def test_sums_by_name(spark):
+    df = spark.createDataFrame([(1.0005, 2, "x"), (2.0, 3, "y")], "puis double, maxpuis int, p string")
+    got = ops.sum_matching(df, "puis", 3)
+    assert got.columns == ["puis", "maxpuis"]
+    assert rows(got) == [(3.0, 5)]
+    assert got.schema["maxpuis"].dataType.simpleString() == "bigint"
+    with pytest.raises(ValueError, match="no column name contains"):
+        ops.sum_matching(df, "energie", 3)
+    assert ops.select_matching(df, "p").columns == ["puis", "maxpuis", "p"]
+
+
+def test_exclusions_add_up(register):
+    assert rows(ops.exclusion_report(register, "region", ["Guyane"])) == [(6, 1, 1)]
+
+
+def test_first_available(spark):
+    df = spark.createDataFrame([(None, "c"), ("i", "c"), (None, None)], "iris string, commune string")
+    value, level = first_available([("iris", F.col("iris")), ("commune", F.col("commune"))])
+    assert rows(df.select(value, level)) == [("c", "commune"), ("i", "iris"), (None, None)]
+
+
+def test_literal_names(spark):
+    df = spark.createDataFrame([(1,)], ["a.`b"])
+    assert rows(df.select(col("a.`b"))) == [(1,)]
+    with pytest.raises(ValueError, match="missing columns"):
+        ops.min_max(df, ["zzz"])

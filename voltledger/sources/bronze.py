@@ -18,21 +18,27 @@ CORRUPT = "_corrupt_record"
 def parse_lines(lines: DataFrame, schema: T.StructType) -> DataFrame:
     """Typed columns, ``raw_line`` (for rejected lines only) and ``landing`` from a ``value`` column.
 
-    A line is rejected when it is not JSON, not an object, or has a value of another type. Blank
-    lines are no records.
+    A line is rejected when it is not one JSON object, or has a value of another type. Blank lines
+    are no records. ``from_json`` stops at the end of the first object, so that a line is whole
+    is asked separately: in brackets it must be an array of one.
     """
     with_corrupt = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
     record = F.from_json(
         F.col("value"), with_corrupt, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
     )
-    rejected = F.col("record").isNull() | F.col(f"record.{CORRUPT}").isNotNull()
+    n_values = F.json_array_length(F.concat(F.lit("["), F.col("value"), F.lit("]")))
+    rejected = ~F.col("is_whole") | F.col("record").isNull() | F.col(f"record.{CORRUPT}").isNotNull()
     fields = [
         F.when(~rejected, F.col("record").getField(field.name)).alias(field.name)
         for field in schema.fields
     ]
     return (
         lines.filter(F.trim(F.col("value")) != "")
-        .select("value", record.alias("record"))
+        .select(
+            "value",
+            record.alias("record"),
+            F.coalesce(n_values == 1, F.lit(False)).alias("is_whole"),
+        )
         .select(
             *fields,
             F.when(rejected, F.col("value")).alias("raw_line"),
