@@ -137,16 +137,23 @@ def missing_slots(
 
     The groups are those with a row in the period, and those named in ``groups``. The calendar
     is made per group, first its days and then the slots of each day, so no array is longer than
-    the period in days, and it is spread by group and day before it is widened.
+    the period in days, and it is spread by group and day before it is widened. The groups are
+    read off the filled slots, so that the rows are read and shuffled once.
     """
     require_columns(df, [group, time])
     n_slots = _slots_per_day(step_minutes)
     filled = (
         df.filter(_in_period(col(time), first_day, last_day))
         .select(col(group).alias(group), _slot(col(time), step_minutes).alias("slot"))
+        .filter(F.col("slot").isNotNull())
         .distinct()
     )
-    seen = filled.select(col(group).alias(group))
+    seen = (
+        filled.groupBy(col(group).alias(group))
+        .agg(F.count(F.col("slot")).alias("n_slots"))
+        .filter("n_slots > 0")
+        .select(col(group))
+    )
     if groups is not None:
         seen = seen.unionByName(_named_groups(df, group, groups))
     day = F.explode(F.sequence(F.lit(0), F.lit(_days(first_day, last_day) - 1)))
