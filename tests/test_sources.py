@@ -3,9 +3,10 @@
 import json
 
 import pytest
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tests.frames import rows, sorted_tuples
+from tests.frames import plan, rows, sorted_tuples
 from voltledger import sources
 from voltledger.plans import elt, register, weather
 from voltledger.sources.bronze import landing_counts
@@ -165,6 +166,24 @@ def test_landing_all_good_or_empty(spark, tmp_path):
         sources.land_json_lines(spark, str(raw), target, RECORD)
 
 
+def test_landing_by_year_prunes(spark, tmp_path):
+    raw, target = tmp_path / "raw", str(tmp_path / "bronze")
+    schema = T.StructType([T.StructField("t", T.TimestampNTZType()), T.StructField("v", T.LongType())])
+    lines = [f'{{"t": "20{y}-06-01T00:30:00", "v": {y}}}' for y in (13, 14, 14, 15)]
+    write_lines(raw, "1.json", lines + ["bad"])
+    counts = sources.land_json_lines(
+        spark, str(raw), target, schema, partition_by={"year": F.year("t")}
+    )
+    assert rows(counts) == [(4, 1)]
+    accepted = sources.read_accepted(spark, target, schema)
+    assert accepted.columns == ["t", "v", "year"]
+    of_2014 = accepted.filter("year = 2014")
+    assert sorted_tuples(of_2014.select("v")) == [(14,), (14,)]
+    scan = next(line for line in plan(of_2014).splitlines() if "FileScan" in line)
+    assert "PartitionFilters" in scan and "year" in scan.split("PartitionFilters")[1]
+    assert rows(sources.read_rejected(spark, target, schema)) == [("bad",)]
+
+
 def test_arriving_files_are_landed_once(spark, tmp_path):
     raw, target = tmp_path / "raw", str(tmp_path / "bronze")
     checkpoint = str(tmp_path / "checkpoint")

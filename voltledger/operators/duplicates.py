@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from voltledger.functions import col, quoted, require_columns, sum_or_zero
+from voltledger.session import written
 
 # Duplicate keys are broadcast up to this size in memory; beyond it the join shuffles.
 BROADCAST_KEY_BYTES = 64 * 1024 * 1024
@@ -35,16 +36,18 @@ def duplicated_rows(
 ) -> DataFrame:
     """Rows whose key value occurs more than once.
 
-    Counting the keys shuffles one combined row per key and task, never whole rows. One job
-    then measures the repeated keys. If they fit in ``broadcast_bytes`` the rows are not shuffled
-    at all. If not, the null-safe semi join shuffles the rows by key, and adaptive execution
-    splits the partition of a hot key, which it can do here because the key side is a shuffle of
-    its own with one row per key. ``broadcast_bytes=0`` skips the measuring job.
+    Counting the keys shuffles one combined row per key and task, never whole rows. The repeated
+    keys are written to the shared folder and measured. If they fit in ``broadcast_bytes`` the
+    rows are not shuffled at all. If not, the null-safe semi join shuffles the rows by key, and
+    adaptive execution splits the partition of a hot key, which it can do here because the other
+    side has one row per key. ``broadcast_bytes=0`` runs no job and leaves the choice to Spark.
     """
     require_columns(df, [key])
     keys = _repeated_keys(df, key)
-    if broadcast_bytes > 0 and _key_bytes(keys) <= broadcast_bytes:
-        keys = F.broadcast(keys)
+    if broadcast_bytes > 0:
+        keys = written(keys, "repeated-keys")
+        if _key_bytes(keys) <= broadcast_bytes:
+            keys = F.broadcast(keys)
     return df.join(keys, df[quoted(key)].eqNullSafe(keys["repeated_key"]), "left_semi")
 
 

@@ -2,16 +2,27 @@
 
 from __future__ import annotations
 
+import math
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
+# What one shuffle partition should hold, so that it sorts and aggregates in executor memory.
+SHUFFLE_PARTITION_BYTES = 128 * 1024 * 1024
 
-def build_session(app_name: str = "voltledger", master: str | None = None, **conf: object) -> SparkSession:
+
+def build_session(
+    app_name: str = "voltledger",
+    master: str | None = None,
+    shuffle_bytes: int | None = None,
+    **conf: object,
+) -> SparkSession:
     """A session with a UTC clock, ANSI errors and adaptive execution.
 
-    Keyword names use ``_`` for ``.``: ``spark_sql_shuffle_partitions=8``.
+    ``shuffle_bytes`` is the size of the largest shuffle to come; it sets the number of shuffle
+    partitions, which adaptive execution joins together where less arrives. Keyword names use
+    ``_`` for ``.``: ``spark_sql_files_maxPartitionBytes="512m"``.
     """
     builder = (
         SparkSession.builder.appName(app_name)
@@ -22,6 +33,9 @@ def build_session(app_name: str = "voltledger", master: str | None = None, **con
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.ui.enabled", "false")
     )
+    if shuffle_bytes is not None:
+        partitions = max(1, math.ceil(shuffle_bytes / SHUFFLE_PARTITION_BYTES))
+        builder = builder.config("spark.sql.shuffle.partitions", str(partitions))
     if master is not None:
         builder = builder.master(master)
     for name, value in conf.items():
@@ -47,3 +61,10 @@ def shared_folder(spark: SparkSession) -> str:
 def new_path(spark: SparkSession, label: str) -> str:
     """A path in the shared folder that no other call has been given."""
     return f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
+
+
+def written(df: DataFrame, label: str) -> DataFrame:
+    """``df`` written to the shared folder and read back: computed once, and with no lineage."""
+    path = new_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

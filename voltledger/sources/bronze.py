@@ -7,7 +7,9 @@ whichever tasks had to be run again.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from collections.abc import Mapping
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -47,10 +49,24 @@ def parse_lines(lines: DataFrame, schema: T.StructType) -> DataFrame:
     )
 
 
-def land_json_lines(spark: SparkSession, source: str, target: str, schema: T.StructType) -> DataFrame:
-    """Write the landed table to ``target`` and return its counts: ``n_records``, ``n_rejected``."""
-    parsed = parse_lines(spark.read.text(source), schema)
-    parsed.write.partitionBy("landing").mode("errorifexists").parquet(target)
+def land_json_lines(
+    spark: SparkSession,
+    source: str,
+    target: str,
+    schema: T.StructType,
+    partition_by: Mapping[str, Column] | None = None,
+) -> DataFrame:
+    """Write the landed table to ``target`` and return its counts: ``n_records``, ``n_rejected``.
+
+    ``partition_by`` adds columns computed from the record, such as the year of its time, and
+    partitions by them after ``landing``, so that later reads can skip whole folders. Each task
+    writes a file per partition it meets: right for raw files that each cover a short period.
+    """
+    extra = dict(partition_by or {})
+    parsed = parse_lines(spark.read.text(source), schema).select(
+        "*", *[c.alias(name) for name, c in extra.items()]
+    )
+    parsed.write.partitionBy("landing", *extra).mode("errorifexists").parquet(target)
     return landing_counts(spark, target, schema)
 
 
@@ -68,7 +84,7 @@ def landing_counts(spark: SparkSession, target: str, schema: T.StructType) -> Da
 
 
 def read_accepted(spark: SparkSession, target: str, schema: T.StructType) -> DataFrame:
-    """The typed records of a landed table."""
+    """The typed records of a landed table, and the columns it was partitioned by."""
     landed = _read_landed(spark, target, schema)
     return landed.filter(F.col("landing") == ACCEPTED).drop("raw_line", "landing")
 

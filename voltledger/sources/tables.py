@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from voltledger.functions import col, quoted, require_columns
-from voltledger.session import new_path
+from voltledger.session import written
 
 # The row offsets of a batch, one per staged file, are broadcast up to this many files.
 BROADCAST_FILES = 100_000
@@ -51,12 +51,9 @@ def _numbered(
     that runs again gives the same ids, and no task sees more than its own files. Only the
     offsets, one row per file, are put in one order.
     """
-    spark = batch.sparkSession
-    staging = new_path(spark, "append")
     if order_by:
         batch = batch.orderBy(*[F.asc_nulls_last(col(name)) for name in order_by])
-    batch.write.parquet(staging)
-    staged = spark.read.schema(batch.schema).parquet(staging)
+    staged = written(batch, "append")
 
     file_name = F.col("_metadata.file_name")
     write_order = [F.regexp_extract("file_name", r"^part-(\d+)", 1).cast("int"), F.col("file_name")]
