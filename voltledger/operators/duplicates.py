@@ -7,14 +7,16 @@ from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from voltledger.functions import col, quoted, require_columns, sum_or_zero
 from voltledger.session import written
 
 # Duplicate keys are broadcast up to this size in memory; beyond it the join shuffles.
 BROADCAST_KEY_BYTES = 64 * 1024 * 1024
-# What one broadcast row takes beside its key text.
+# What one broadcast row takes, beside the text of its key.
 BROADCAST_ROW_BYTES = 64
+FIXED_SIZE = (T.NumericType, T.BooleanType, T.DatetimeType)
 
 
 def _repeated_keys(df: DataFrame, key: str) -> DataFrame:
@@ -27,8 +29,12 @@ def _repeated_keys(df: DataFrame, key: str) -> DataFrame:
 
 
 def _key_bytes(keys: DataFrame) -> int:
-    text_bytes = F.coalesce(F.octet_length(F.col("repeated_key").cast("string")), F.lit(0))
-    return keys.agg(sum_or_zero(text_bytes + BROADCAST_ROW_BYTES)).first()[0]
+    """What the keys take as a broadcast table. Only keys of varying length are read for it."""
+    row_bytes = F.lit(BROADCAST_ROW_BYTES)
+    if not isinstance(keys.schema[0].dataType, FIXED_SIZE):
+        text = F.col("repeated_key").cast("string")
+        row_bytes = row_bytes + F.coalesce(F.octet_length(text), F.lit(0))
+    return keys.agg(sum_or_zero(row_bytes)).first()[0]
 
 
 def duplicated_rows(
