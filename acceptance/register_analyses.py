@@ -101,7 +101,7 @@ def register(spark, sf_dir):
         "maxpuis": F.when(tax == 0.08, quantity).otherwise(power),
         "puismaxcharge": F.when(tax != 0, F.rint(tax * 100)),
         "puismaxraccharge": F.rint(F.col("l_discount") * 100),
-        "puismaxrac": F.rint("l_extendedprice"),
+        "puismaxrac": F.floor(F.col("l_extendedprice") + 0.5).cast("double"),
         "puismaxinstalleedischarge": quantity,
         "energiestockable": quantity + 1,
         "capacitereservoir": quantity + 2,
