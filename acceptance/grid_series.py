@@ -1,6 +1,7 @@
 """Grid checks, with events as the series, and status columns of orders."""
 
 from datetime import date
+from functools import lru_cache
 
 from pyspark.sql import functions as F
 
@@ -24,6 +25,7 @@ WITH series AS (
 """
 
 
+@lru_cache(maxsize=8)
 def series(spark, sf_dir):
     user, value, kind = F.col("user_id"), F.col("value"), F.col("event_type")
     nature = (

@@ -5,6 +5,7 @@ counts and negative powers are brought in by rule.
 """
 
 from datetime import date
+from functools import lru_cache
 
 from pyspark.sql import functions as F
 
@@ -56,6 +57,7 @@ mainland AS (SELECT * FROM register WHERE region NOT IN ('Martinique', 'Guadelou
 """
 
 
+@lru_cache(maxsize=8)
 def register(spark, sf_dir):
     line, flag, status = F.col("l_linenumber"), F.col("l_returnflag"), F.col("l_linestatus")
     quantity, tax, day = F.col("l_quantity"), F.col("l_tax"), F.col("l_shipdate")

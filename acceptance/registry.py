@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import lru_cache
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -27,7 +28,9 @@ def check(sql: str) -> Callable[[Query], Query]:
     return add
 
 
+@lru_cache(maxsize=64)
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A given table, opened once per session; every query on it still reads its rows."""
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

@@ -79,7 +79,10 @@ def group_share(df: DataFrame, key: str, column: str, share_name: str, digits: i
     """
     grouped = group_sums(df, key, [column])
     whole = grouped.agg(F.sum(col(column))).scalar()
-    share = round_half_even(divide_ieee(col(column), whole) * 100, digits)
-    return grouped.withColumn(share_name, share).orderBy(
-        *_descending([column]), F.asc_nulls_first(col(key))
+    share = round_half_even(divide_ieee(col(column), col(share_name)) * 100, digits)
+    # The whole takes the name of the share first, so that the plan has its subquery once.
+    return (
+        grouped.withColumn(share_name, whole)
+        .withColumn(share_name, share)
+        .orderBy(*_descending([column]), F.asc_nulls_first(col(key)))
     )
