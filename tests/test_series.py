@@ -86,9 +86,18 @@ def test_null_group_is_a_group(spark):
 def test_zoned_timestamps(spark):
     df = spark.sql("SELECT TIMESTAMP '2024-02-28 05:31:12.5' AS t, 'a' AS g")
     got = ops.missing_slots(df, "g", "t", DAYS[0], DAYS[0], 30)
-    assert got.schema["slot"].dataType.simpleString() == "timestamp"
+    assert got.schema["slot"].dataType.simpleString() == "timestamp_ntz"
     assert got.count() == 47
-    assert got.filter("slot = TIMESTAMP '2024-02-28 05:30:00'").count() == 0
+    assert got.filter("slot = TIMESTAMP_NTZ '2024-02-28 05:30:00'").count() == 0
+    assert ops.missing_slots(df, "g", "t", DAYS[0], DAYS[0], 24 * 60).count() == 0
+
+
+def test_days_before_1970(spark):
+    df = spark.sql("SELECT TIMESTAMP_NTZ '1960-02-29 23:59:59' AS t, 'a' AS g")
+    day = date(1960, 2, 29)
+    assert rows(ops.grid_completeness(df, "g", "t", day, day, 30)) == [("a", 1, 1, 48, 47)]
+    got = ops.missing_slots(df, "g", "t", day, day, 30)
+    assert got.filter("slot = TIMESTAMP_NTZ '1960-02-29 23:30:00'").count() == 0
 
 
 def test_definitive_grid_of_the_published_series(spark):

@@ -114,9 +114,10 @@ def test_parquet_without_extension(spark, tmp_path):
 
 
 GOOD = ['{"id": 1, "nom": "a", "p": 1.5}', '{"id": 2, "more": true}', "{}"]
-GOOD_ODD = ['{"id": 1} ', '{"nom": "]}{["}', '\t{"id": null}']
+GOOD_ODD = ['{"id": 1, "nested": {"a": {}}}  ', '{"nom": "}"}', '{"id": 1} ', '{"nom": "]}{["}', '\t{"id": null}']
 BAD = ['{"id": 1', "not json", '{"id": "x"}', '"text"', "17", "null"]
 BAD += ['{"id": 1} {"id": 2}', '{"id": 1}, {"id": 2}', '[{"id": 1}, {"id": 2}]', '[{"id": 1}]', '{"id": 1}}']
+BAD += ['{"nom": "}"} x}', '{"nested": {}}, {"id": 1}', "}", 'x"}', '{"id": 1}}', '{"id": 2]}']
 
 
 def write_lines(folder, name, lines):
@@ -166,6 +167,12 @@ def test_landing_all_good_or_empty(spark, tmp_path):
         sources.land_json_lines(spark, str(raw), target, RECORD)
 
 
+def test_landing_names_are_reserved(spark, tmp_path):
+    schema = T.StructType([T.StructField("landing", T.StringType())])
+    with pytest.raises(ValueError, match="added on landing"):
+        sources.land_json_lines(spark, str(tmp_path), str(tmp_path / "x"), schema)
+
+
 def test_landing_by_year_prunes(spark, tmp_path):
     raw, target = tmp_path / "raw", str(tmp_path / "bronze")
     schema = T.StructType([T.StructField("t", T.TimestampNTZType()), T.StructField("v", T.LongType())])
@@ -189,7 +196,9 @@ def test_arriving_files_are_landed_once(spark, tmp_path):
     checkpoint = str(tmp_path / "checkpoint")
 
     def land():
-        land_new_files(spark, str(raw), target, RECORD, checkpoint, 1).awaitTermination()
+        land_new_files(
+            spark, str(raw), target, RECORD, checkpoint, 1, {"has_name": F.col("nom").isNotNull()}
+        ).awaitTermination()
         return rows(landing_counts(spark, target, RECORD))
 
     write_lines(raw, "1.json", GOOD)
@@ -198,7 +207,9 @@ def test_arriving_files_are_landed_once(spark, tmp_path):
     assert land() == [(3, 2)]
     write_lines(raw, "3.json", GOOD[:1] + BAD[:1])
     assert land() == [(4, 3)]
-    assert sources.read_accepted(spark, target, RECORD).filter("id = 1").count() == 2
+    accepted = sources.read_accepted(spark, target, RECORD)
+    assert accepted.filter("id = 1").count() == 2
+    assert accepted.filter("has_name = 'true'").count() == 2
 
 
 def test_projection(spark):

@@ -1,7 +1,8 @@
 """Checks of regular time series: status coverage, periods, and completeness of the time grid.
 
-Slots are counted on the clock the timestamps are in. On a UTC clock every day has the same
-number of slots; on a local clock the two days of the time change do not.
+Slots are counted on the clock of timestamps without a zone, and on the session's clock for those
+with one. On a UTC clock every day has all its slots; on a local clock some are missing or come
+twice on the two days of the time change.
 """
 
 from __future__ import annotations
@@ -30,11 +31,13 @@ def _days(first_day: date, last_day: date) -> int:
     return (last_day - first_day).days + 1
 
 
-def _slot(time: Column, step_minutes: int) -> Column:
-    """The start of the slot a timestamp falls in, in the timestamp's own type."""
-    minutes_in = (F.hour(time) * 60 + F.minute(time)) % step_minutes
-    seconds_in = F.extract(F.lit("SECOND"), time)
-    return time - F.make_dt_interval(mins=minutes_in, secs=seconds_in)
+def _filled(
+    df: DataFrame, group: str, time: str, first_day: date, last_day: date, step_minutes: int
+) -> DataFrame:
+    """``group`` and ``slot``, the start of the slot, of every row in the period."""
+    slot = F.window(col(time).cast("timestamp_ntz"), f"{step_minutes} minutes")["start"]
+    rows = df.filter(_in_period(col(time), first_day, last_day))
+    return rows.select(col(group).alias(group), slot.alias("slot"))
 
 
 def _in_period(time: Column, first_day: date, last_day: date) -> Column:
@@ -98,15 +101,12 @@ def grid_completeness(
     """
     require_columns(df, [group, time])
     expected = _slots_per_day(step_minutes) * _days(first_day, last_day)
-    per_slot = (
-        df.filter(_in_period(col(time), first_day, last_day))
-        .groupBy(col(group).alias(group), _slot(col(time), step_minutes).alias("slot"))
-        .agg(F.count(F.lit(1)).alias("n"))
-    )
+    filled = _filled(df, group, time, first_day, last_day, step_minutes)
+    per_slot = filled.groupBy(col(group), "slot").agg(F.count(F.lit(1)).alias("n"))
     if groups is not None:
         per_slot = per_slot.unionByName(
             _named_groups(df, group, groups).select(
-                "*", F.lit(None).cast(df.schema[time].dataType).alias("slot"), F.lit(0).alias("n")
+                "*", F.lit(None).cast("timestamp_ntz").alias("slot"), F.lit(0).alias("n")
             )
         )
     n_slots = F.count(F.col("slot"))
@@ -142,12 +142,8 @@ def missing_slots(
     """
     require_columns(df, [group, time])
     n_slots = _slots_per_day(step_minutes)
-    filled = (
-        df.filter(_in_period(col(time), first_day, last_day))
-        .select(col(group).alias(group), _slot(col(time), step_minutes).alias("slot"))
-        .filter(F.col("slot").isNotNull())
-        .distinct()
-    )
+    filled = _filled(df, group, time, first_day, last_day, step_minutes)
+    filled = filled.filter(F.col("slot").isNotNull()).distinct()
     seen = (
         filled.groupBy(col(group).alias(group))
         .agg(F.count(F.col("slot")).alias("n_slots"))
@@ -158,7 +154,7 @@ def missing_slots(
         seen = seen.unionByName(_named_groups(df, group, groups))
     day = F.explode(F.sequence(F.lit(0), F.lit(_days(first_day, last_day) - 1)))
     number = F.explode(F.sequence(F.lit(0), F.lit(n_slots - 1)))
-    start = F.lit(first_day).cast(df.schema[time].dataType)
+    start = F.lit(first_day).cast("timestamp_ntz")
     after_start = F.make_dt_interval(days=F.col("day"), mins=F.col("number") * step_minutes)
     calendar = (
         seen.distinct()

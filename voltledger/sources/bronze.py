@@ -15,20 +15,38 @@ from pyspark.sql import types as T
 
 ACCEPTED, REJECTED = "accepted", "rejected"
 CORRUPT = "_corrupt_record"
+RESERVED = ("raw_line", "landing", CORRUPT)
+ONE_FLAT_OBJECT = r"^\s*\{[^}]*\}\s*$"
 
 
-def parse_lines(lines: DataFrame, schema: T.StructType) -> DataFrame:
+def _is_whole(line: Column) -> Column:
+    """A line that starts with a JSON object holds nothing after it.
+
+    ``from_json`` stops at the end of the first object, so this is asked separately. A line with
+    one closing brace, at its end, cannot hold more. Any other line, such as one with a nested
+    object, is put in brackets and must be an array of one.
+    """
+    n_values = F.json_array_length(F.concat(F.lit("["), line, F.lit("]")))
+    return F.when(line.rlike(ONE_FLAT_OBJECT), F.lit(True)).otherwise(
+        F.coalesce(n_values == 1, F.lit(False))
+    )
+
+
+def parse_lines(
+    lines: DataFrame, schema: T.StructType, extra: Mapping[str, Column] | None = None
+) -> DataFrame:
     """Typed columns, ``raw_line`` (for rejected lines only) and ``landing`` from a ``value`` column.
 
-    A line is rejected when it is not one JSON object, or has a value of another type. Blank lines
-    are no records. ``from_json`` stops at the end of the first object, so that a line is whole
-    is asked separately: in brackets it must be an array of one.
+    ``extra`` adds columns computed from the typed ones. A line is rejected when it is not one
+    JSON object, or has a value of another type. Empty lines, and lines of spaces, are no records.
     """
+    taken = [f.name for f in schema.fields if f.name in RESERVED]
+    if taken:
+        raise ValueError(f"columns {taken} are added on landing and cannot be in the schema")
     with_corrupt = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
     record = F.from_json(
         F.col("value"), with_corrupt, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
     )
-    n_values = F.json_array_length(F.concat(F.lit("["), F.col("value"), F.lit("]")))
     rejected = ~F.col("is_whole") | F.col("record").isNull() | F.col(f"record.{CORRUPT}").isNotNull()
     fields = [
         F.when(~rejected, F.col("record").getField(field.name)).alias(field.name)
@@ -36,16 +54,13 @@ def parse_lines(lines: DataFrame, schema: T.StructType) -> DataFrame:
     ]
     return (
         lines.filter(F.trim(F.col("value")) != "")
-        .select(
-            "value",
-            record.alias("record"),
-            F.coalesce(n_values == 1, F.lit(False)).alias("is_whole"),
-        )
+        .select("value", record.alias("record"), _is_whole(F.col("value")).alias("is_whole"))
         .select(
             *fields,
             F.when(rejected, F.col("value")).alias("raw_line"),
             F.when(rejected, REJECTED).otherwise(ACCEPTED).alias("landing"),
         )
+        .select("*", *[c.alias(name) for name, c in (extra or {}).items()])
     )
 
 
@@ -62,11 +77,9 @@ def land_json_lines(
     partitions by them after ``landing``, so that later reads can skip whole folders. Each task
     writes a file per partition it meets: right for raw files that each cover a short period.
     """
-    extra = dict(partition_by or {})
-    parsed = parse_lines(spark.read.text(source), schema).select(
-        "*", *[c.alias(name) for name, c in extra.items()]
-    )
-    parsed.write.partitionBy("landing", *extra).mode("errorifexists").parquet(target)
+    parsed = parse_lines(spark.read.text(source), schema, partition_by)
+    folders = ["landing", *(partition_by or {})]
+    parsed.write.partitionBy(folders).mode("errorifexists").parquet(target)
     return landing_counts(spark, target, schema)
 
 

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+from collections.abc import Mapping
+
+from pyspark.sql import Column, SparkSession
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
@@ -16,6 +18,7 @@ def land_new_files(
     schema: T.StructType,
     checkpoint: str,
     max_files_per_batch: int = 10_000,
+    partition_by: Mapping[str, Column] | None = None,
 ) -> StreamingQuery:
     """Land the JSON-lines files that came into the folder ``source`` since the last start.
 
@@ -24,9 +27,9 @@ def land_new_files(
     """
     lines = spark.readStream.option("maxFilesPerTrigger", max_files_per_batch).text(source)
     return (
-        parse_lines(lines, schema)
+        parse_lines(lines, schema, partition_by)
         .writeStream.format("parquet")
-        .partitionBy("landing")
+        .partitionBy("landing", *(partition_by or {}))
         .option("checkpointLocation", checkpoint)
         .outputMode("append")
         .trigger(availableNow=True)
