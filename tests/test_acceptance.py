@@ -70,3 +70,59 @@ def test_no_query_is_empty_of_meaning(duck):
 
 def test_entry_runs(spark):
     assert spark_entry.entry(spark).count() == 4
+
+
+# Answers at sf0.01 that were worked out before this library was written.
+ROW_COUNTS = {
+    "flagship": 4,
+    "group_share": 5,
+    "not_in_group": 3,
+    "ratio_threshold": 15_374,
+    "ne_missing": 54_204,
+    "duplicated_rows": 58_337,
+    "filter_is_null": 302,
+    "filter_not_null": 1_198,
+    "filter_eq": 308,
+    "filter_ne": 890,
+    "filter_gt": 17_260,
+    "status_period": 3,
+    "top_n_sorted": 20,
+    "sorted_group_top": 3,
+    "silver_projection": 25,
+    "select_name_contains": 60_000,
+}
+ONE_ROW = {
+    "duplicated_sum": (1_481_922.0,),
+    "columns_equal": (False,),
+    "count_distinct": (4,),
+    "row_count": (60_000,),
+    "sum_or_zero": (0.0,),
+    "sum_name_contains": (2_995.11,),
+    "endswith_sum": (15_978_190,),
+    "status_partition": (15_000, 4_933, 4_979, 5_088, False),
+}
+
+
+@pytest.mark.skipif(not SF_DIR.endswith("sf0.01"), reason="answers are for this scale")
+@pytest.mark.parametrize("name", ROW_COUNTS)
+def test_known_row_count(spark, name):
+    assert QUERIES[name](spark, SF_DIR).count() == ROW_COUNTS[name]
+
+
+@pytest.mark.skipif(not SF_DIR.endswith("sf0.01"), reason="answers are for this scale")
+@pytest.mark.parametrize("name", ONE_ROW)
+def test_known_answer(spark, name):
+    assert [tuple(row) for row in QUERIES[name](spark, SF_DIR).collect()] == [ONE_ROW[name]]
+
+
+@pytest.mark.skipif(not SF_DIR.endswith("sf0.01"), reason="answers are for this scale")
+def test_known_group_answers(spark):
+    def by_key(name):
+        return {row[0]: tuple(row)[1:] for row in QUERIES[name](spark, SF_DIR).collect()}
+
+    assert by_key("flagship")["1-URGENT"] == (50_706_806_642, 25.4)
+    assert by_key("group_share")["1-URGENT"][1] == 20.16
+    assert by_key("value_counts") == {"F": (4_933,), "O": (4_979,), "P": (5_088,)}
+    assert by_key("grid_completeness")["click"][1:] == (681, 720, 39)
+    assert by_key("duplicate_key_report") == {"k": (49_747,), "l_partkey": (60_000,)}
+    assert by_key("duplicate_event_keys") == {"value": (5_693,), "event_id": (0,)}

@@ -14,11 +14,11 @@ from voltledger.streaming import land_new_files
 
 STATIONS = "id string, nom string, dateFin string"
 STATION_ROWS = [
-    {"id": "13028001", "nom": "BEC DE L'AIGLE", "dateFin": ""},
-    {"id": "13028002", "nom": "CASSIS", "dateFin": "2001-05-31"},
-    {"id": "13028003", "nom": "CASSIS", "dateFin": ""},
-    {"id": "13028004", "nom": "CASSIS", "dateFin": ""},
-    {"id": "13028005", "nom": "BEC DE L'AIGLE", "dateFin": None},
+    {"id": "21000001", "nom": "COL D'EN HAUT", "dateFin": ""},
+    {"id": "21000002", "nom": "PORT", "dateFin": "2001-05-31"},
+    {"id": "21000003", "nom": "PORT", "dateFin": ""},
+    {"id": "21000004", "nom": "PORT", "dateFin": ""},
+    {"id": "21000005", "nom": "COL D'EN HAUT", "dateFin": None},
 ]
 RECORD = T.StructType(
     [
@@ -49,8 +49,8 @@ def test_weather_stations(spark, station_file):
     assert weather.active_stations(stations).count() == 3
     assert rows(weather.station_shapes(stations)) == [(5, 3, 3)]
     names = weather.same_name_stations(stations)
-    assert sorted_tuples(names.select("id")) == [("13028003",), ("13028004",)]
-    assert rows(weather.station(stations, "13028001").select("nom")) == [("BEC DE L'AIGLE",)]
+    assert sorted_tuples(names.select("id")) == [("21000003",), ("21000004",)]
+    assert rows(weather.station(stations, "21000001").select("nom")) == [("COL D'EN HAUT",)]
 
 
 def test_a_bad_array_is_refused_whole(spark, tmp_path):
@@ -79,9 +79,9 @@ def test_nested_results(spark, tmp_path):
 
 def test_csv(spark, tmp_path):
     path = tmp_path / "hours.csv"
-    path.write_text("aaaammjjhh,num_poste,t\n2020010100,01001,1.5\n2025123123,13028,\n")
+    path.write_text("aaaammjjhh,num_poste,t\n2020010100,01001,1.5\n2025123123,21000,\n")
     hours = sources.read_csv(spark, str(path), {"aaaammjjhh": "int", "t": "double"})
-    assert rows(hours) == [(2020010100, "01001", 1.5), (2025123123, "13028", None)]
+    assert rows(hours) == [(2020010100, "01001", 1.5), (2025123123, "21000", None)]
     assert rows(weather.observation_period(hours)) == [(2020010100, 2025123123)]
     assert rows(weather.observation_shape(hours)) == [(2, 3)]
 

@@ -12,6 +12,11 @@ from pyspark.sql import DataFrame, SparkSession
 SHUFFLE_PARTITION_BYTES = 128 * 1024 * 1024
 
 
+def shuffle_partitions(shuffle_bytes: int) -> int:
+    """How many partitions a shuffle of ``shuffle_bytes`` takes."""
+    return max(1, math.ceil(shuffle_bytes / SHUFFLE_PARTITION_BYTES))
+
+
 def build_session(
     app_name: str = "voltledger",
     master: str | None = None,
@@ -34,8 +39,7 @@ def build_session(
         .config("spark.ui.enabled", "false")
     )
     if shuffle_bytes is not None:
-        partitions = max(1, math.ceil(shuffle_bytes / SHUFFLE_PARTITION_BYTES))
-        builder = builder.config("spark.sql.shuffle.partitions", str(partitions))
+        builder = builder.config("spark.sql.shuffle.partitions", shuffle_partitions(shuffle_bytes))
     if master is not None:
         builder = builder.master(master)
     for name, value in conf.items():
