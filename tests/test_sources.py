@@ -167,6 +167,26 @@ def test_landing_all_good_or_empty(spark, tmp_path):
         sources.land_json_lines(spark, str(raw), target, RECORD)
 
 
+def test_landing_of_documents(spark, tmp_path):
+    raw, target = tmp_path / "raw", str(tmp_path / "bronze")
+    files = {
+        "list": json.dumps([{"id": 1, "nom": "x"}, {"id": 2}], indent=4),
+        "one": json.dumps({"id": 3}),
+        "nothing": "[]",
+        "type": json.dumps([{"id": 4}, {"id": "bad"}, {"id": 6}], indent=4),
+        "cut": '[{"id": 7},\n {"id": ',
+        "mixed": '[{"id": 8}, 5]',
+    }
+    for name, text in files.items():
+        write_lines(raw, f"{name}.json", [text])
+    assert rows(sources.land_json_documents(spark, str(raw), target, RECORD)) == [(3, 3)]
+    accepted = sources.read_accepted(spark, target, RECORD)
+    assert sorted_tuples(accepted) == [(1, "x", None), (2, None, None), (3, None, None)]
+    names = sources.read_rejected(spark, target, RECORD).distinct()
+    ends = sorted(row[0].rsplit("/", 1)[1] for row in rows(names))
+    assert ends == ["cut.json", "mixed.json", "type.json"]
+
+
 def test_landing_names_are_reserved(spark, tmp_path):
     schema = T.StructType([T.StructField("landing", T.StringType())])
     with pytest.raises(ValueError, match="added on landing"):

@@ -1,6 +1,11 @@
 """Readers, the landing of raw files, projections and catalog tables."""
 
-from voltledger.sources.bronze import land_json_lines, read_accepted, read_rejected
+from voltledger.sources.bronze import (
+    land_json_documents,
+    land_json_lines,
+    read_accepted,
+    read_rejected,
+)
 from voltledger.sources.files import flatten_results, read_csv, read_json_records, read_parquet
 from voltledger.sources.silver import project
 from voltledger.sources.tables import append_rows, create_table, insert_row, read_ordered
@@ -10,6 +15,7 @@ __all__ = [
     "create_table",
     "flatten_results",
     "insert_row",
+    "land_json_documents",
     "land_json_lines",
     "project",
     "read_accepted",

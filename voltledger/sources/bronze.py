@@ -1,4 +1,4 @@
-"""Landing of raw JSON lines as a typed table, with the unreadable lines kept aside.
+"""Landing of raw JSON as a typed table, with the unreadable lines or files kept aside.
 
 A landed table has two partitions, ``landing=accepted`` and ``landing=rejected``, written in one
 pass over the raw text. Both counts come from the file footers of what was written, so they hold
@@ -13,9 +13,12 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from voltledger.functions import col
+
 ACCEPTED, REJECTED = "accepted", "rejected"
 CORRUPT = "_corrupt_record"
 RESERVED = ("raw_line", "landing", CORRUPT)
+PERMISSIVE = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
 ONE_FLAT_OBJECT = r"^\s*\{[^}]*\}\s*$"
 
 
@@ -32,6 +35,13 @@ def _is_whole(line: Column) -> Column:
     )
 
 
+def _with_corrupt(schema: T.StructType) -> T.StructType:
+    taken = [f.name for f in schema.fields if f.name in RESERVED]
+    if taken:
+        raise ValueError(f"columns {taken} are added on landing and cannot be in the schema")
+    return T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
+
+
 def parse_lines(
     lines: DataFrame, schema: T.StructType, extra: Mapping[str, Column] | None = None
 ) -> DataFrame:
@@ -40,13 +50,7 @@ def parse_lines(
     ``extra`` adds columns computed from the typed ones. A line is rejected when it is not one
     JSON object, or has a value of another type. Empty lines, and lines of spaces, are no records.
     """
-    taken = [f.name for f in schema.fields if f.name in RESERVED]
-    if taken:
-        raise ValueError(f"columns {taken} are added on landing and cannot be in the schema")
-    with_corrupt = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
-    record = F.from_json(
-        F.col("value"), with_corrupt, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
-    )
+    record = F.from_json(F.col("value"), _with_corrupt(schema), PERMISSIVE)
     rejected = ~F.col("is_whole") | F.col("record").isNull() | F.col(f"record.{CORRUPT}").isNotNull()
     fields = [
         F.when(~rejected, F.col("record").getField(field.name)).alias(field.name)
@@ -83,6 +87,29 @@ def land_json_lines(
     return landing_counts(spark, target, schema)
 
 
+def land_json_documents(
+    spark: SparkSession, source: str, target: str, schema: T.StructType
+) -> DataFrame:
+    """Land files that are one JSON document each, a list of records or a single one, indented or not.
+
+    A file with a fault anywhere is rejected whole. ``raw_line`` then has the name of the file,
+    not its text, and stands once for every record that was read from it. Returns ``n_records``
+    and ``n_rejected_files``. One task reads a file, since a document cannot be split.
+    """
+    documents = spark.read.schema(_with_corrupt(schema)).options(**PERMISSIVE)
+    documents = documents.option("multiLine", True).json(source)
+    rejected = F.col(CORRUPT).isNotNull()
+    documents.select(
+        *[F.when(~rejected, col(f.name)).alias(f.name) for f in schema.fields],
+        F.when(rejected, F.col("_metadata.file_path")).alias("raw_line"),
+        F.when(rejected, REJECTED).otherwise(ACCEPTED).alias("landing"),
+    ).write.partitionBy("landing").mode("errorifexists").parquet(target)
+    return _read_landed(spark, target, schema).agg(
+        F.count_if(F.col("landing") == ACCEPTED).alias("n_records"),
+        F.count_distinct("raw_line").alias("n_rejected_files"),
+    )
+
+
 def _read_landed(spark: SparkSession, target: str, schema: T.StructType) -> DataFrame:
     extra = [T.StructField("raw_line", T.StringType()), T.StructField("landing", T.StringType())]
     return spark.read.schema(T.StructType([*schema.fields, *extra])).parquet(target)
@@ -103,6 +130,6 @@ def read_accepted(spark: SparkSession, target: str, schema: T.StructType) -> Dat
 
 
 def read_rejected(spark: SparkSession, target: str, schema: T.StructType) -> DataFrame:
-    """The rejected lines of a landed table, as they came: ``raw_line``."""
+    """The rejected lines of a landed table, as they came, or the names of files: ``raw_line``."""
     landed = _read_landed(spark, target, schema)
     return landed.filter(F.col("landing") == REJECTED).select("raw_line")
