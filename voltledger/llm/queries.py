@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from voltledger.llm import quality, secrets, toxicity, wordpieces
+from voltledger.llm import mainhtml, quality, secrets, sentencepieces, toxicity, wordpieces
 from voltledger.session import new_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -18,6 +18,7 @@ ORACLES: dict[str, str] = {}
 
 # The vocabulary files of public tokenizers; any other path of the same kind will do.
 WORD_PIECES = public_tokenizers.path("byte_bpe_50k.json")
+SENTENCE_PIECES = public_tokenizers.path("piece_bpe_32k.model")
 
 
 def query(function: Query) -> Query:
@@ -38,6 +39,12 @@ def scored(rows: DataFrame, held_out) -> DataFrame:
     )
 
 
+@query
+def op1_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return sentencepieces.with_pieces(docs, SENTENCE_PIECES).drop("text")
+
+
 @query
 def op3_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
@@ -63,3 +70,9 @@ def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return wordpieces.with_token_counts(docs, WORD_PIECES).drop("text")
+
+
+@query
+def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages")
+    return mainhtml.main_text(pages).select("page_id", "url", "text", "n_chars")
