@@ -8,7 +8,15 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from voltledger.llm import mainhtml, quality, secrets, sentencepieces, toxicity, wordpieces
+from voltledger.llm import (
+    boilerplate,
+    mainhtml,
+    quality,
+    secrets,
+    sentencepieces,
+    toxicity,
+    wordpieces,
+)
 from voltledger.session import new_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -45,6 +53,35 @@ def op1_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sentencepieces.with_pieces(docs, SENTENCE_PIECES).drop("text")
 
 
+@query
+def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
+    return boilerplate.without_boilerplate(docs).select("doc_id", "text", "n_removed")
+
+
+ORACLES["op2_line_dedup"] = """
+    WITH pieces AS (
+        SELECT doc_id, source, text, string_split(text, chr(10)) AS lines FROM documents
+    ), lines AS (
+        SELECT doc_id, source, text, unnest(lines) AS line,
+               unnest(range(len(lines))) AS place
+        FROM pieces
+    ), trimmed AS (
+        SELECT *, trim(line, ' ' || chr(9) || chr(13)) AS bare FROM lines
+    ), boilerplate AS (
+        SELECT bare, min({'doc_id': doc_id, 'place': place}) AS first
+        FROM trimmed WHERE bare <> '' GROUP BY bare HAVING count(DISTINCT source) >= 10
+    ), marked AS (
+        SELECT t.*, b.bare IS NOT NULL AND b.first <> {'doc_id': t.doc_id, 'place': t.place} AS gone
+        FROM trimmed t LEFT JOIN boilerplate b USING (bare)
+    )
+    SELECT doc_id,
+           coalesce(string_agg(line, chr(10) ORDER BY place) FILTER (WHERE NOT gone), '') AS text,
+           count(*) FILTER (WHERE gone) AS n_removed
+    FROM marked GROUP BY doc_id, marked.text
+"""
+
+
 @query
 def op3_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
