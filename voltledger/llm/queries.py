@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from voltledger.llm import (
     boilerplate,
+    decontaminate,
     mainhtml,
     quality,
     secrets,
@@ -109,6 +110,12 @@ def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return wordpieces.with_token_counts(docs, WORD_PIECES).drop("text")
 
 
+@query
+def op8_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, benchmark = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    return decontaminate.matches(docs, benchmark)
+
+
 @query
 def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages")
