@@ -12,6 +12,7 @@ from voltledger.llm import (
     boilerplate,
     decontaminate,
     mainhtml,
+    neardup,
     quality,
     secrets,
     sentencepieces,
@@ -116,6 +117,12 @@ def op8_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
     return decontaminate.matches(docs, benchmark)
 
 
+@query
+def op9_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return neardup.classes(docs).drop("node")
+
+
 @query
 def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages")
