@@ -109,7 +109,7 @@ def without_boilerplate(
         F.concat(F.array(F.lit(-1)), "places").alias("gone_places"),
     )
     rows = docs.select(
-        F.struct(*[name for name in names if name != "text"]).alias("row"),
+        F.struct(*[f"`{name}`" for name in names if name != "text"]).alias("row"),
         F.xxhash64("text").alias("text_key"),
         split_lines(F.col("text")).alias("lines"),
     )

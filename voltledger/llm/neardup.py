@@ -280,7 +280,7 @@ def survivors(docs: DataFrame, threshold: float = SIMILARITY) -> DataFrame:
     kept = classes(docs.select("doc_id", "text"), threshold).where("kept")
     kept = kept.select(F.col("doc_id").alias("kept_id"), F.col("node").alias("kept_node")).distinct()
     rows = docs.select(
-        F.struct(*docs.columns).alias("row"), "doc_id", node_of(F.col("text")).alias("node")
+        F.struct("*").alias("row"), "doc_id", node_of(F.col("text")).alias("node")
     )
     mine = (F.col("node") == F.col("kept_node")) & F.col("doc_id").eqNullSafe(F.col("kept_id"))
     once = rows.join(kept, mine, "left_semi").dropDuplicates(["node", "doc_id"])

@@ -17,6 +17,7 @@ from voltledger.llm import (
     secrets,
     sentencepieces,
     toxicity,
+    vectors,
     wordpieces,
 )
 from voltledger.session import new_path
@@ -111,6 +112,11 @@ def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return wordpieces.with_token_counts(docs, WORD_PIECES).drop("text")
 
 
+@query
+def op7_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vectors.near_vectors(table(spark, sf_dir, "embeddings"))
+
+
 @query
 def op8_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, benchmark = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
