@@ -30,8 +30,7 @@ TOKEN = re.compile(
     r"|<(?P<raw>script|style|textarea|title|iframe|noframes|noembed|xmp)\b[^>]*+>"
     r".*?(?:</(?P=raw)\s*+>|\Z)"
     r"|<(?P<close>/?)(?P<name>[a-zA-Z][\w:-]*+)"
-    r"(?P<attributes>(?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>"
-    r"|</?[a-zA-Z][^>]*+(?:>|\Z)"
+    r"(?P<attributes>(?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+>|[^>]*+(?:>|\Z))"
     r"|<[!?][^>]*+(?:>|\Z)"
     r"|(?P<text>[^<]++|<)",
     re.DOTALL | re.IGNORECASE,
