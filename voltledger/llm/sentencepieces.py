@@ -14,12 +14,15 @@ import os
 import struct
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass, field
+from functools import lru_cache
 from itertools import chain
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+import pyarrow as pa
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from voltledger.llm.words import chunked
 
@@ -28,7 +31,9 @@ MAX_MODEL_BYTES = 64 * 1024 * 1024
 SPACE = "▁"
 
 # Texts are encoded together up to this many characters.
-BATCH_CHARS = 1 << 21
+BATCH_CHARS = 1 << 19
+# Segments are forgotten when more than these are known.
+KNOWN_SEGMENTS = 1 << 18
 
 # Fixed values of the model format: model types and piece types.
 UNIGRAM, BPE = 1, 2
@@ -73,6 +78,7 @@ class Model:
     character_map: bytes = b""
     dummy_prefix: bool = True
     single_spaces: bool = True
+    unknown_text: str = " ⁇ "
 
 
 def parse(data: bytes) -> Model:
@@ -96,6 +102,7 @@ def parse(data: bytes) -> Model:
     return Model(
         pieces, scores, types, kind, bool(trainer.get(35, 0)), normaliser.get(2, b""),
         bool(normaliser.get(3, 1)), bool(normaliser.get(4, 1)),
+        trainer.get(44, " ⁇ ".encode()).decode(),
     )
 
 
@@ -127,16 +134,18 @@ class Codec:
         unknown = model.types.index(UNKNOWN) if UNKNOWN in model.types else 0
         if model.kind == UNIGRAM:
             # Control pieces get a real space in front: no normalised text can match them.
-            vocabulary = [
-                (piece if kind in (NORMAL, USER_DEFINED, BYTE) else f" {piece}", score)
-                for piece, score, kind in zip(model.pieces, model.scores, model.types)
+            core_names = [
+                piece if kind in (NORMAL, USER_DEFINED, BYTE) else f" {piece}"
+                for piece, kind in zip(model.pieces, model.types)
             ]
-            core = models.Unigram(vocabulary, unknown, model.byte_fallback)
+            scored = list(zip(core_names, model.scores))
+            core = models.Unigram(scored, unknown, model.byte_fallback)
         else:
+            core_names = model.pieces
             core = models.BPE(
-                {piece: k for k, piece in enumerate(model.pieces)},
+                {piece: k for k, piece in enumerate(core_names)},
                 merges(model),
-                unk_token=model.pieces[unknown],
+                unk_token=core_names[unknown],
                 fuse_unk=True,
                 byte_fallback=model.byte_fallback,
             )
@@ -148,14 +157,18 @@ class Codec:
         self.normalizer = normalizers.Sequence(rules) if rules else None
         self.model = model
         self.unknown = unknown
-        self.decoder = decoders.Sequence(
-            [decoders.Replace(SPACE, " "), decoders.ByteFallback(), decoders.Fuse()]
-            + ([decoders.Strip(" ", 1, 0)] if model.dummy_prefix else [])
+        self.tokenizer.decoder = decoders.Sequence(
+            [
+                decoders.Replace(core_names[unknown], model.unknown_text),
+                decoders.Replace(SPACE, " "),
+                decoders.ByteFallback(),
+                decoders.Fuse(),
+            ]
         )
-        self.tokenizer.decoder = self.decoder
         # Where a piece has a space behind another sign, texts are encoded whole.
         normal = [p for p, t in zip(model.pieces, model.types) if t in (NORMAL, USER_DEFINED)]
         self.splits = not any(SPACE in piece.lstrip(SPACE) for piece in normal)
+        self.forget()
 
     def normalise(self, text: str) -> str:
         if self.normalizer is not None:
@@ -182,29 +195,52 @@ class Codec:
             made.append(run)
         return made
 
-    def encode(self, texts: Sequence[str]) -> list[np.ndarray]:
-        """The ids of each text; every distinct segment of the batch is encoded once."""
-        number: dict[str, int] = {}
-        places, counts = [], []
-        for text in texts:
-            parts = self.segments(self.normalise(text))
-            counts.append(len(parts))
-            places += [number.setdefault(part, len(number)) for part in parts]
-        encoded = self.tokenizer.encode_batch_fast(list(number), add_special_tokens=False)
-        ids = [one.ids for one in encoded]
+    def learn(self, parts: list[str]) -> None:
+        """Encode and decode the segments that are not known yet, by all threads."""
+        if len(self.number) > KNOWN_SEGMENTS:
+            self.forget()
+        new = list(set(parts).difference(self.number))
+        ids = [one.ids for one in self.tokenizer.encode_batch_fast(new, add_special_tokens=False)]
+        self.decoded += self.tokenizer.decode_batch(ids, skip_special_tokens=False)
+        self.number.update(zip(new, range(len(self.number), len(self.number) + len(new))))
         sizes = np.fromiter(map(len, ids), np.int64, len(ids))
         flat = np.fromiter(chain.from_iterable(ids), np.int32, int(sizes.sum()))
-        begin = np.concatenate([[0], np.cumsum(sizes)])[:-1]
-        at = np.array(places, np.int64)
-        size = sizes[at]
+        self.sizes = np.concatenate([self.sizes, sizes])
+        self.flat = np.concatenate([self.flat, flat])
+
+    def forget(self) -> None:
+        self.number: dict[str, int] = {}
+        self.decoded: list[str] = []
+        self.sizes, self.flat = np.zeros(0, np.int64), np.zeros(0, np.int32)
+
+    def run(self, texts: Sequence[str]) -> tuple[np.ndarray, np.ndarray, list[str]]:
+        """The ids of all texts, where each text's begin, and what they decode to.
+
+        Each distinct segment is encoded and decoded once as long as it is remembered; no piece
+        and no sequence of fallback bytes reaches over the end of a segment.
+        """
+        each = [self.segments(self.normalise(text)) for text in texts]
+        parts = list(chain.from_iterable(each))
+        self.learn(parts)
+        at = np.fromiter(map(self.number.__getitem__, parts), np.int64, len(parts))
+        begin = np.cumsum(self.sizes) - self.sizes
+        size = self.sizes[at]
         ends = np.concatenate([[0], np.cumsum(size)])
         source = np.arange(ends[-1]) - np.repeat(ends[:-1] - begin[at], size)
-        whole = flat[source]
-        cuts = ends[np.concatenate([[0], np.cumsum(counts)]).astype(np.int64)]
+        counts = np.concatenate([[0], np.cumsum([len(one) for one in each])]).astype(np.int64)
+        words = list(map(self.decoded.__getitem__, at.tolist()))
+        joined = ["".join(words[a:b]) for a, b in zip(counts[:-1], counts[1:])]
+        if self.model.dummy_prefix:
+            joined = [text.removeprefix(" ") for text in joined]
+        return self.flat[source], ends[counts], joined
+
+    def encode(self, texts: Sequence[str]) -> list[np.ndarray]:
+        whole, cuts, _ = self.run(texts)
         return [whole[a:b] for a, b in zip(cuts[:-1], cuts[1:])]
 
     def decode(self, ids: Sequence[np.ndarray]) -> list[str]:
-        return self.tokenizer.decode_batch([one.tolist() for one in ids], skip_special_tokens=False)
+        texts = self.tokenizer.decode_batch([x.tolist() for x in ids], skip_special_tokens=False)
+        return [t.removeprefix(" ") for t in texts] if self.model.dummy_prefix else texts
 
     def plain(self, text: str) -> str:
         """What decoding must give back where nothing in the text is unknown to the model."""
@@ -212,6 +248,12 @@ class Codec:
         return text[1:] if self.model.dummy_prefix and text else text
 
 
+@lru_cache(maxsize=2)
+def codec_of(data: bytes, threads: int) -> Codec:
+    """One codec per model in a worker, which keeps the segments it knows from task to task."""
+    return Codec(parse(data), threads)
+
+
 def read_model(path: str) -> bytes:
     with open(path, "rb") as file:
         data = file.read(MAX_MODEL_BYTES + 1)
@@ -220,50 +262,61 @@ def read_model(path: str) -> bytes:
     return data
 
 
-CODED = "struct<ids:array<int>,n_tokens:long,decodes:boolean,parity:boolean>"
-
-
-def codes(text: Column, data: bytes, threads: int, verify: bool, spark) -> Column:
-    """``ids``, their number, whether they decode to the normalised text, and ``parity``: whether
-    the SentencePiece library gives the same ids (null unless ``verify``)."""
-    sent = spark.sparkContext.broadcast(data)
+ADDED = (
+    T.StructType()
+    .add("ids", T.ArrayType(T.IntegerType()))
+    .add("n_tokens", T.LongType())
+    .add("decodes", T.BooleanType())
+    .add("parity", T.BooleanType())
+)
 
-    @F.pandas_udf(CODED)
-    def coded(frames: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        codec = Codec(parse(sent.value), threads)
-        library = None
-        if verify:
-            import sentencepiece
 
-            library = sentencepiece.SentencePieceProcessor(model_proto=sent.value)
-        for column in frames:
-            rows: dict[str, list] = {"ids": [], "n_tokens": [], "decodes": [], "parity": []}
-            for part in chunked(column, BATCH_CHARS):
-                ids = codec.encode(part)
-                rows["ids"] += ids
-                rows["n_tokens"] += map(len, ids)
-                rows["decodes"] += [a == codec.plain(b) for a, b in zip(codec.decode(ids), part)]
-                if library is None:
-                    rows["parity"] += [None] * len(part)
-                else:
-                    expected = library.encode(part, num_threads=threads)
-                    rows["parity"] += [a.tolist() == b for a, b in zip(ids, expected)]
-            yield pd.DataFrame(rows)
-
-    return coded(text)
+def coded(part: list[str], codec: Codec, library, threads: int) -> list[pa.Array]:
+    """The columns of ``ADDED`` for some texts."""
+    flat, cuts, decoded = codec.run(part)
+    decodes = [a == codec.plain(b) for a, b in zip(decoded, part)]
+    parity = [None] * len(part)
+    if library is not None:
+        expected = library.encode(part, num_threads=threads)
+        ids = (flat[a:b].tolist() for a, b in zip(cuts[:-1], cuts[1:]))
+        parity = [a == b for a, b in zip(ids, expected)]
+    lists = pa.ListArray.from_arrays(pa.array(cuts, pa.int32()), pa.array(flat, pa.int32()))
+    columns = [lists, pa.array(np.diff(cuts), pa.int64())]
+    return [*columns, pa.array(decodes, pa.bool_()), pa.array(parity, pa.bool_())]
 
 
 def with_pieces(
     docs: DataFrame, path: str, threads: int = 2, verify: bool = True, text: str = "text"
 ) -> DataFrame:
-    """``docs`` with ``ids``, ``n_tokens``, ``decodes`` and ``parity``; see ``codes``.
+    """``docs`` with the ids of each text, their number, whether they decode to the normalised
+    text, and ``parity``: whether the SentencePiece library gives the same ids (null unless
+    ``verify``).
 
-    Columns of these names that are there already are replaced.
+    Rows go through in small batches, so that a task holds the ids of few texts at a time. Columns
+    of the new names that are there already are replaced.
     """
-    made = codes(F.col(text), read_model(path), threads, verify, docs.sparkSession)
-    names = ("ids", "n_tokens", "decodes", "parity")
-    rows = docs.select("*", made.alias("__coded"))
-    return rows.withColumns({n: F.col("__coded")[n] for n in names}).drop("__coded")
+    sent = docs.sparkSession.sparkContext.broadcast(read_model(path))
+    rows = docs.drop(*ADDED.names)
+    names, place = rows.columns, rows.columns.index(text)
+    plain = rows.toDF(*[f"c{k}" for k in range(len(names))])  # names with dots are not passed on
+
+    def code(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        codec = codec_of(sent.value, threads)
+        library = None
+        if verify:
+            import sentencepiece
+
+            library = sentencepiece.SentencePieceProcessor(model_proto=sent.value)
+        for batch in batches:
+            start = 0
+            for part in chunked((one.as_py() for one in batch.column(place)), BATCH_CHARS):
+                own = batch.slice(start, len(part))
+                start += len(part)
+                columns = [*own.columns, *coded(part, codec, library, threads)]
+                yield pa.RecordBatch.from_arrays(columns, [*own.schema.names, *ADDED.names])
+
+    made = plain.mapInArrow(code, T.StructType([*plain.schema.fields, *ADDED.fields]))
+    return made.toDF(*names, *ADDED.names)
 
 
 def with_text(rows: DataFrame, path: str, ids: str = "ids", name: str = "text") -> DataFrame:
@@ -272,7 +325,7 @@ def with_text(rows: DataFrame, path: str, ids: str = "ids", name: str = "text")
 
     @F.pandas_udf("string")
     def decoded(frames: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        codec = Codec(parse(sent.value))
+        codec = codec_of(sent.value, 2)
         for column in frames:
             given = [np.zeros(0, np.int32) if one is None else one for one in column]
             yield pd.Series(codec.decode(given), dtype="object")
