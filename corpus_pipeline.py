@@ -31,8 +31,9 @@ def remove_boilerplate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
     emptied = (F.col("__removed") > 0) & (F.trim("text") == "")
     kept = cleaned.where(~F.coalesce(emptied, F.lit(False))).drop("__removed")
     if "n_chars" in docs.columns:
-        kept = kept.withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType))
-    return kept.select(docs.columns)
+        chars = F.char_length("text").cast(docs.schema["n_chars"].dataType)
+        kept = kept.withColumn("n_chars", chars)
+    return kept
 
 
 def remove_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -1,0 +1,88 @@
+"""Every stage on its own input against plain Python, and the whole against its stages."""
+
+import pytest
+import sentencepiece
+
+import __spark_entry__ as spark_entry
+import corpus_pipeline
+from tests.llm import test_boilerplate, test_decontaminate, test_neardup
+from tests.llm.odd import SCHEMA, no_documents, odd_documents
+from voltledger.llm import queries
+from voltledger.session import written
+
+SF_DIR = "/root/testdata/sf0.001"
+COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
+
+
+@pytest.fixture(scope="module")
+def stages(spark):
+    """Rows before the first stage and after each one."""
+    docs = spark.read.parquet(f"{SF_DIR}/documents.parquet")
+    frames = [docs]
+    for name, stage in corpus_pipeline.STAGES:
+        frames.append(written(stage(spark, frames[-1], SF_DIR), name.replace(" ", "-")))
+    return frames
+
+
+def rows_of(frame):
+    return {row.doc_id: row for row in frame.collect()}
+
+
+def test_columns(stages):
+    assert all(frame.columns == COLUMNS for frame in stages[:-1])
+    assert stages[-1].columns[:5] == COLUMNS
+
+
+def test_rejected_documents_go_and_others_stay(spark, stages):
+    scores = queries.QUERIES["op3_quality_classifier"](spark, SF_DIR).collect()
+    accepted = {row.doc_id for row in scores if row.predicted == 1}
+    before, after = rows_of(stages[0]), rows_of(stages[1])
+    assert after == {k: v for k, v in before.items() if k in accepted}
+    assert 0 < len(after) < len(before)
+
+
+def test_boilerplate_goes(stages):
+    before, after = rows_of(stages[1]), rows_of(stages[2])
+    rows = [(row.doc_id, row.text, row.source) for row in before.values()]
+    want = {i: t for i, t, n in test_boilerplate.plain(rows, 10) if not n or t.strip(" ")}
+    assert {i: row.text for i, row in after.items()} == want
+    assert all(row.n_chars == len(row.text) for row in after.values())
+
+
+def test_one_of_each_group_stays(stages):
+    before, after = rows_of(stages[2]), rows_of(stages[3])
+    least = test_neardup.plain_components([(row.doc_id, row.text) for row in before.values()])
+    assert after == {i: row for i, row in before.items() if least[i] == i}
+    assert len(after) < len(before)
+
+
+def test_contaminated_documents_go(spark, stages):
+    items = [tuple(r) for r in spark.read.parquet(f"{SF_DIR}/benchmark.parquet").select("item_id", "text").collect()]
+    before, after = rows_of(stages[3]), rows_of(stages[4])
+    held = {i for i, row in before.items() if test_decontaminate.plain(row.text, items)}
+    assert held and after == {i: row for i, row in before.items() if i not in held}
+
+
+def test_ids_are_those_of_the_library(stages):
+    library = sentencepiece.SentencePieceProcessor(model_file=corpus_pipeline.SENTENCE_PIECES)
+    rows = rows_of(stages[5])
+    assert {i: row[:5] for i, row in rows.items()} == {i: tuple(r) for i, r in rows_of(stages[4]).items()}
+    for row in rows.values():
+        assert row.ids == library.encode(row.text) and row.decodes and row.parity
+
+
+def test_the_whole_is_its_stages(spark, stages):
+    assert spark_entry.queries()["pipeline"] is corpus_pipeline.run
+    assert rows_of(corpus_pipeline.run(spark, SF_DIR)) == rows_of(stages[-1])
+
+
+@pytest.mark.parametrize("make", [odd_documents, no_documents])
+def test_odd_rows(spark, make):
+    docs = make(spark)
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        made = stage(spark, docs, SF_DIR)
+        assert made.columns == docs.columns and made.schema["text"] == docs.schema["text"]
+        assert made.count() <= docs.count()
+    made = corpus_pipeline.encode(spark, docs, SF_DIR)
+    assert made.count() == docs.count() and set(docs.columns) <= set(made.columns)
+    assert "odd.name" in SCHEMA and "odd.name" in made.columns
