@@ -86,6 +86,56 @@ def bronze_records(spark, sf_dir):
     return sources.read_accepted(spark, target, LANDED)
 
 
+def _order_documents(spark, sf_dir, path, faults):
+    """Indented lists of the orders of 10,000 consecutive keys. With ``faults``, of three of them
+    one has a second list behind it and one is cut short."""
+    page = F.floor(F.col("o_orderkey") / 10_000).cast("int").alias("page")
+    record = F.to_json(F.struct("o_orderkey", "o_totalprice", "o_orderstatus"))
+    pages = table(spark, sf_dir, "orders").groupBy(page).agg(F.collect_list(record).alias("all"))
+    text = F.concat(F.lit("[\n  "), F.array_join("all", ",\n  "), F.lit("\n]"))
+    if faults:
+        third = F.col("page") % 3
+        twice, cut = F.concat(text, F.lit("\n"), text), F.left(text, F.length(text) - 3)
+        text = F.when(third == 1, twice).when(third == 2, cut).otherwise(text)
+    pages.select("page", text.alias("value")).write.partitionBy("page").text(path)
+
+
+@check("SELECT o_orderkey, o_totalprice, o_orderstatus FROM orders")
+def read_json_array(spark, sf_dir):
+    path = new_path(spark, "orders-documents")
+    _order_documents(spark, sf_dir, path, faults=False)
+    return sources.read_json_records(spark, path, LANDED)
+
+
+def _landed_documents(spark, sf_dir):
+    raw, target = new_path(spark, "orders-documents"), new_path(spark, "orders-bronze")
+    _order_documents(spark, sf_dir, raw, faults=True)
+    return target, sources.land_json_documents(spark, raw, target, LANDED)
+
+
+@check(
+    """
+    SELECT count(*) FILTER (WHERE o_orderkey // 10000 % 3 = 0) AS n_records,
+           count(DISTINCT o_orderkey // 10000) FILTER (WHERE o_orderkey // 10000 % 3 <> 0) AS n_rejected_files
+    FROM orders
+    """
+)
+def bronze_documents(spark, sf_dir):
+    return _landed_documents(spark, sf_dir)[1]
+
+
+@check(
+    """
+    SELECT DISTINCT cast(o_orderkey // 10000 AS int) AS page FROM orders
+    WHERE o_orderkey // 10000 % 3 <> 0
+    """
+)
+def bronze_documents_rejected(spark, sf_dir):
+    rejected = sources.read_rejected(spark, _landed_documents(spark, sf_dir)[0], LANDED)
+    page = F.regexp_extract("raw_line", "page=([0-9]+)", 1).cast("int")
+    return rejected.select(page.alias("page"))
+
+
 NUMBERED = T.StructType(
     [
         T.StructField("id", T.LongType()),
@@ -97,7 +147,7 @@ NUMBERED = T.StructType(
 
 def _new_table(spark):
     name = f"voltledger_{uuid.uuid4().hex}"
-    sources.create_table(spark, name, NUMBERED, location=new_path(spark, name))
+    sources.create_table(spark, name, NUMBERED, location=new_path(spark, name), id_column="id")
     return name
 
 
@@ -152,4 +202,4 @@ def append_fill_null(spark, sf_dir):
 
 @check("SELECT id, num FROM (" + CUSTOMERS + ") ORDER BY num NULLS LAST")
 def table_ordered_read(spark, sf_dir):
-    return sources.read_ordered(spark, _numbered_customers(spark, sf_dir), ["id", "num"], "num")
+    return sources.read_ordered(spark, _numbered_customers(spark, sf_dir), ["id", "num"], "num", ["id"])

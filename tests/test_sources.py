@@ -1,6 +1,7 @@
 """JSON, CSV and Parquet files, landing of raw lines at once and as they arrive, projection."""
 
 import json
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -56,7 +57,7 @@ def test_weather_stations(spark, station_file):
 def test_a_bad_array_is_refused_whole(spark, tmp_path):
     path = tmp_path / "bad.json"
     path.write_text('[{"id": "1"}, {"id": ]')
-    with pytest.raises(Exception, match="MALFORMED_RECORD|FAILED_READ"):
+    with pytest.raises(Exception, match="MALFORMED_RECORD|FAILED_READ|not one JSON document"):
         sources.read_json_records(spark, str(path), STATIONS).collect()
 
 
@@ -176,15 +177,47 @@ def test_landing_of_documents(spark, tmp_path):
         "type": json.dumps([{"id": 4}, {"id": "bad"}, {"id": 6}], indent=4),
         "cut": '[{"id": 7},\n {"id": ',
         "mixed": '[{"id": 8}, 5]',
+        "lines": '{"id": 9}\n{"id": 10}',
+        "two": '[{"id": 11}]\n[{"id": 12}]',
+        "after-list": '[{"id": 13}] oops',
+        "after-one": '{"id": 14} oops',
+        "closed": '{"id": 15}], {"id": 16}',
+        "closed-again": '{"id": 17}}, {"id": 18}',
+        "null": '[{"id": 19}, null]',
+        "empty": "",
     }
     for name, text in files.items():
         write_lines(raw, f"{name}.json", [text])
-    assert rows(sources.land_json_documents(spark, str(raw), target, RECORD)) == [(3, 3)]
+    assert rows(sources.land_json_documents(spark, str(raw), target, RECORD)) == [(3, 11)]
     accepted = sources.read_accepted(spark, target, RECORD)
     assert sorted_tuples(accepted) == [(1, "x", None), (2, None, None), (3, None, None)]
-    names = sources.read_rejected(spark, target, RECORD).distinct()
-    ends = sorted(row[0].rsplit("/", 1)[1] for row in rows(names))
-    assert ends == ["cut.json", "mixed.json", "type.json"]
+    names = rows(sources.read_rejected(spark, target, RECORD))
+    ends = sorted(row[0].rsplit("/", 1)[1] for row in names)
+    assert ends == sorted(f"{name}.json" for name in files if name not in ("list", "one", "nothing"))
+
+
+@pytest.mark.parametrize(
+    "text", ['{"id": 1}\n{"id": 2}', '[{"id": 1}]\n[{"id": 2}]', '[{"id": 1}] oops', '{"id": 1} oops', "[{}, 5]", ""]
+)
+def test_a_document_that_is_not_whole_is_an_error(spark, tmp_path, text):
+    write_lines(tmp_path, "1.json", [text])
+    with pytest.raises(Exception, match="not one JSON document"):
+        sources.read_json_records(spark, str(tmp_path), RECORD).collect()
+
+
+def test_a_rejected_document_takes_no_longer(spark, tmp_path):
+    """The time grows with the file, not with its square: 16,000 records, one of them faulty."""
+    records = [{"id": k, "nom": "x" * 60} for k in range(16_000)]
+    seconds = {}
+    for name, fault in (("warm", 5), ("good", None), ("bad", 9_000)):
+        one = [dict(r, id="bad") if r["id"] == fault else r for r in records]
+        raw = tmp_path / name
+        write_lines(raw, "1.json", [json.dumps(one, indent=2)])
+        start = time.perf_counter()
+        counts = sources.land_json_documents(spark, str(raw), str(tmp_path / f"{name}-bronze"), RECORD)
+        assert rows(counts) == [(16_000, 0) if fault is None else (0, 1)]
+        seconds[name] = time.perf_counter() - start
+    assert seconds["bad"] <= 3 * seconds["good"]
 
 
 def test_landing_names_are_reserved(spark, tmp_path):

@@ -1,10 +1,13 @@
 """Catalog tables: ids, null filling, quoting and order."""
 
+from pathlib import Path
+
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tests.frames import rows
+from voltledger import operators as ops
 from voltledger import sources
 from voltledger.session import new_path, shared_folder
 
@@ -28,19 +31,90 @@ def all_rows(spark, table):
     return rows(spark.table(table).orderBy("id"))
 
 
-def test_the_whole_snippet(spark, table):
-    sources.insert_row(spark, table, {"num": 100, "data": "abc'def"}, id_column="id")
-    assert all_rows(spark, table) == [(1, 100, "abc'def")]
-    batch = spark.createDataFrame([(33,), (66,), (99,)], "num int")
+def test_insert_append_and_read_in_order(spark, table):
+    sources.insert_row(spark, table, {"num": 50, "data": "it's \\ 'so'"}, id_column="id")
+    assert all_rows(spark, table) == [(1, 50, "it's \\ 'so'")]
+    batch = spark.createDataFrame([(7,), (5,), (90,)], "num int")
     sources.append_rows(table, batch, id_column="id", order_by=["num"])
-    assert all_rows(spark, table) == [
-        (1, 100, "abc'def"),
-        (2, 33, None),
-        (3, 66, None),
-        (4, 99, None),
-    ]
+    assert all_rows(spark, table)[1:] == [(2, 5, None), (3, 7, None), (4, 90, None)]
     ordered = sources.read_ordered(spark, table, ["id", "num"], "num")
-    assert rows(ordered) == [(2, 33), (3, 66), (4, 99), (1, 100)]
+    assert rows(ordered) == [(2, 5), (3, 7), (1, 50), (4, 90)]
+
+
+def test_no_append_reads_the_ids(spark, tmp_path):
+    """The files of a table are taken away, and ids go on where they were."""
+    place = tmp_path / "gone"
+    sources.create_table(spark, "gone", SCHEMA, str(place), id_column="id")
+    batch = spark.range(10, numPartitions=3).select(F.col("id").cast("int").alias("num"))
+    sources.append_rows("gone", batch, id_column="id")
+    sources.insert_row(spark, "gone", {"num": 1}, id_column="id")
+    for part in place.glob("part-*"):
+        part.rename(tmp_path / part.name)
+    spark.catalog.refreshTable("gone")
+    sources.append_rows("gone", batch, id_column="id")
+    sources.insert_row(spark, "gone", {"num": 2}, id_column="id")
+    assert [row[0] for row in all_rows(spark, "gone")] == list(range(12, 23))
+    spark.sql("DROP TABLE gone")
+
+
+def test_ids_of_a_table_made_elsewhere(spark, table):
+    spark.sql(f"INSERT INTO {table} VALUES (41, 1, 'x')")
+    sources.append_rows(table, spark.createDataFrame([(2,)], "num int"), id_column="id")
+    assert [row[0] for row in all_rows(spark, table)] == [41, 42]
+
+
+def test_the_staged_batch_is_removed(spark, table):
+    folder = Path(shared_folder(spark).removeprefix("file:"))
+    before = sorted(folder.iterdir())
+    sources.append_rows(table, spark.createDataFrame([(2,)], "num int"), id_column="id")
+    assert sorted(folder.iterdir()) == before
+
+
+def test_columns_named_like_the_helpers(spark, tmp_path):
+    names = ["file_name", "row_index", "rows_before", "_file_name", "n"]
+    schema = T.StructType([T.StructField(n, T.LongType()) for n in ["id", *names]])
+    place = str(tmp_path / "it's")
+    sources.create_table(spark, "odd_table", schema, place, id_column="id")
+    batch = spark.range(5).select(*[F.col("id").alias(name) for name in names])
+    sources.append_rows("odd_table", batch, id_column="id", order_by=["n"], broadcast_files=0)
+    got = all_rows(spark, "odd_table")
+    assert got == [(k + 1, k, k, k, k, k) for k in range(5)]
+    spark.sql("DROP TABLE odd_table")
+
+
+def positions(df, *columns):
+    """Rows with the partition they are in, in the order of the partitions and within them."""
+    placed = df.withColumn("part", F.spark_partition_id())
+    placed = placed.withColumn("place", F.monotonically_increasing_id())
+    found = sorted(placed.collect(), key=lambda row: (row.part, row.place))
+    return [tuple(row[c] for c in columns) for row in found], len({row.part for row in found})
+
+
+@pytest.mark.parametrize("how", ["table", "rows", "groups"])
+def test_order_holds_over_many_partitions(spark, tmp_path, how):
+    """One value has half of the rows; with a tie-break its rows are dealt to several tasks."""
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    spark.conf.set("spark.sql.shuffle.partitions", "8")
+    try:
+        num = F.when(F.col("id") % 2 == 0, F.lit(5)).when(F.col("id") % 7 != 0, F.col("id") % 100)
+        df = spark.range(20_000, numPartitions=6).select("id", num.cast("int").alias("num"))
+        if how == "table":
+            df.withColumn("data", F.lit("x")).write.mode("overwrite").option("path", str(tmp_path / "o")).saveAsTable("ordered")
+            ordered = sources.read_ordered(spark, "ordered", ["id", "num"], "num", ["id"])
+            key = lambda row: (row[1] is None, row[1] or 0, row[0])
+        elif how == "rows":
+            ordered = ops.sorted_rows(df, "num", descending=True, tie_break=["id"])
+            key = lambda row: (row[1] is not None, -(row[1] or 0), row[0])
+        else:
+            df = df.withColumn("num", F.when(F.col("id") > 9, F.col("id") % 3))
+            ordered = ops.group_sums(df, "id", ["num"], descending_by="num")
+            key = lambda row: (-row[1], row[0])
+        got, n_parts = positions(ordered, "id", "num")
+        assert n_parts >= 4 and len(got) == 20_000 and got == sorted(got, key=key)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+        spark.sql("DROP TABLE IF EXISTS ordered")
 
 
 def test_ordered_read_has_nulls_last(spark, table):

@@ -13,12 +13,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from voltledger.functions import col
+from voltledger.sources.documents import CORRUPT, PERMISSIVE, read_documents, with_corrupt
 
 ACCEPTED, REJECTED = "accepted", "rejected"
-CORRUPT = "_corrupt_record"
 RESERVED = ("raw_line", "landing", CORRUPT)
-PERMISSIVE = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
 ONE_FLAT_OBJECT = r"^\s*\{[^}]*\}\s*$"
 
 
@@ -35,11 +33,11 @@ def _is_whole(line: Column) -> Column:
     )
 
 
-def _with_corrupt(schema: T.StructType) -> T.StructType:
+def _checked(schema: T.StructType) -> T.StructType:
     taken = [f.name for f in schema.fields if f.name in RESERVED]
     if taken:
         raise ValueError(f"columns {taken} are added on landing and cannot be in the schema")
-    return T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
+    return schema
 
 
 def parse_lines(
@@ -50,7 +48,7 @@ def parse_lines(
     ``extra`` adds columns computed from the typed ones. A line is rejected when it is not one
     JSON object, or has a value of another type. Empty lines, and lines of spaces, are no records.
     """
-    record = F.from_json(F.col("value"), _with_corrupt(schema), PERMISSIVE)
+    record = F.from_json(F.col("value"), with_corrupt(_checked(schema)), PERMISSIVE)
     rejected = ~F.col("is_whole") | F.col("record").isNull() | F.col(f"record.{CORRUPT}").isNotNull()
     fields = [
         F.when(~rejected, F.col("record").getField(field.name)).alias(field.name)
@@ -92,22 +90,20 @@ def land_json_documents(
 ) -> DataFrame:
     """Land files that are one JSON document each, a list of records or a single one, indented or not.
 
-    A file with a fault anywhere is rejected whole. ``raw_line`` then has the name of the file,
-    not its text, and stands once for every record that was read from it. Returns ``n_records``
-    and ``n_rejected_files``. One task reads a file, since a document cannot be split.
+    A file that is not exactly one such document, or has a fault anywhere, is rejected whole. It
+    is then one row, whose ``raw_line`` has the name of the file, not its text. Returns
+    ``n_records`` and ``n_rejected_files``. One task reads a file, since a document cannot be
+    split, and the text of a file must fit in a row.
     """
-    documents = spark.read.schema(_with_corrupt(schema)).options(**PERMISSIVE)
-    documents = documents.option("multiLine", True).json(source)
-    rejected = F.col(CORRUPT).isNotNull()
-    documents.select(
-        *[F.when(~rejected, col(f.name)).alias(f.name) for f in schema.fields],
-        F.when(rejected, F.col("_metadata.file_path")).alias("raw_line"),
+    documents = read_documents(spark, source, _checked(schema))
+    rejected = F.col("rejected")
+    documents.where(rejected | (F.size("records") > 0)).select(
+        F.when(rejected, F.col("file")).alias("raw_line"),
         F.when(rejected, REJECTED).otherwise(ACCEPTED).alias("landing"),
-    ).write.partitionBy("landing").mode("errorifexists").parquet(target)
-    return _read_landed(spark, target, schema).agg(
-        F.count_if(F.col("landing") == ACCEPTED).alias("n_records"),
-        F.count_distinct("raw_line").alias("n_rejected_files"),
-    )
+        F.inline_outer(F.when(~rejected, F.col("records"))),
+    ).drop(CORRUPT).write.partitionBy("landing").mode("errorifexists").parquet(target)
+    counts = landing_counts(spark, target, schema)
+    return counts.withColumnRenamed("n_rejected", "n_rejected_files")
 
 
 def _read_landed(spark: SparkSession, target: str, schema: T.StructType) -> DataFrame:

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from voltledger.functions import col, require_columns
+from voltledger.sources.documents import CORRUPT, read_documents
 
 
 def read_parquet(spark: SparkSession, path: str) -> DataFrame:
@@ -21,12 +22,18 @@ def read_json_records(
 ) -> DataFrame:
     """Records from JSON, one row each; a record that does not fit the schema is an error.
 
-    ``lines=False`` reads documents (an array of records, or one record), indented or not. Such
-    a file cannot be split, so one task reads it: land it once and read the Parquet from then on.
-    ``lines=True`` reads one document per line, which Spark splits.
+    ``lines=False`` reads documents (an array of records, or one record), indented or not; a file
+    with anything behind its document is an error. Such a file cannot be split, so one task reads
+    it: land it once and read the Parquet from then on. ``lines=True`` reads one document per
+    line, which Spark splits.
     """
-    reader = spark.read.schema(schema).option("mode", "FAILFAST").option("multiLine", not lines)
-    return reader.json(path)
+    if lines:
+        return spark.read.schema(schema).option("mode", "FAILFAST").json(path)
+    if isinstance(schema, str):
+        schema = T.DataType.fromDDL(schema)
+    message = F.concat(F.lit("not one JSON document of the given schema: "), F.col("file"))
+    records = F.when(F.col("rejected"), F.raise_error(message)).otherwise(F.col("records"))
+    return read_documents(spark, path, schema).select(F.inline(records)).drop(CORRUPT)
 
 
 def flatten_results(df: DataFrame, column: str = "results", keep_empty: bool = False) -> DataFrame:

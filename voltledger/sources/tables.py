@@ -9,23 +9,65 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from voltledger.functions import col, quoted, require_columns
-from voltledger.session import written
+from voltledger.session import staged
 
 # The row offsets of a batch, one per staged file, are broadcast up to this many files.
 BROADCAST_FILES = 100_000
 
 
+def _name(table: str) -> str:
+    """A table name, with its catalog and database if it has them, fit for SQL."""
+    return table if "`" in table else ".".join(quoted(part) for part in table.split("."))
+
+
+def _literal(text: str) -> str:
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def _unused(names: Sequence[str], stem: str) -> str:
+    """A column name that is not among ``names``."""
+    taken = {name.lower() for name in names}
+    while stem.lower() in taken:
+        stem = f"_{stem}"
+    return stem
+
+
 def create_table(
-    spark: SparkSession, table: str, schema: T.StructType, location: str | None = None
+    spark: SparkSession,
+    table: str,
+    schema: T.StructType,
+    location: str | None = None,
+    id_column: str | None = None,
 ) -> None:
-    """Create an empty Parquet table; an error if it is there already."""
+    """Create an empty Parquet table; an error if it is there already.
+
+    Ids of ``id_column`` start at 1, and the next one is kept as a property of the table.
+    """
     columns = ", ".join(f"{quoted(f.name)} {f.dataType.simpleString()}" for f in schema.fields)
-    place = "" if location is None else f" LOCATION '{location}'"
-    spark.sql(f"CREATE TABLE {table} ({columns}) USING parquet{place}")
+    place = "" if location is None else f" LOCATION {_literal(location)}"
+    spark.sql(f"CREATE TABLE {_name(table)} ({columns}) USING parquet{place}")
+    if id_column is not None:
+        require_columns(spark.table(table), [id_column])
+        _keep_next_id(spark, table, id_column, 1)
+
+
+def _property(id_column: str) -> str:
+    return f"next_id.{id_column}"
 
 
-def _last_id(spark: SparkSession, table: str, id_column: str) -> int:
-    return spark.table(table).agg(F.coalesce(F.max(col(id_column)), F.lit(0))).first()[0]
+def _next_id(spark: SparkSession, table: str, id_column: str) -> int:
+    """The id after the last one given. Only a table that has never had an id from here, and was
+    not created with ``id_column``, has its ids read for it."""
+    properties = spark.sql(f"SHOW TBLPROPERTIES {_name(table)}").collect()
+    known = {row["key"]: row["value"] for row in properties}.get(_property(id_column))
+    if known is not None:
+        return int(known)
+    return spark.table(table).agg(F.coalesce(F.max(col(id_column)), F.lit(0))).first()[0] + 1
+
+
+def _keep_next_id(spark: SparkSession, table: str, id_column: str, next_id: int) -> None:
+    key, value = _literal(_property(id_column)), _literal(str(next_id))
+    spark.sql(f"ALTER TABLE {_name(table)} SET TBLPROPERTIES ({key} = {value})")
 
 
 def insert_row(
@@ -33,74 +75,105 @@ def insert_row(
 ) -> None:
     """Insert one row of bound values; columns not given are null, ``id_column`` gets the next id."""
     values = dict(values)
+    next_id = None
     if id_column is not None:
-        values[id_column] = _last_id(spark, table, id_column) + 1
+        next_id = _next_id(spark, table, id_column)
+        values[id_column] = next_id
     require_columns(spark.table(table), values)
+    if next_id is not None:
+        _keep_next_id(spark, table, id_column, next_id + 1)
     names = ", ".join(quoted(name) for name in values)
     marks = ", ".join("?" for _ in values)
-    spark.sql(f"INSERT INTO {table} ({names}) VALUES ({marks})", args=list(values.values()))
+    spark.sql(f"INSERT INTO {_name(table)} ({names}) VALUES ({marks})", args=list(values.values()))
 
 
-def _numbered(
-    batch: DataFrame, first_id: int, id_column: str, order_by: Sequence[str]
-) -> DataFrame:
-    """The rows of ``batch`` with consecutive ids from ``first_id`` on.
-
-    The batch is written to the shared folder once. A row's id is the number of rows in the files
-    before its own plus its position in its file; both are fixed by what was written, so a task
-    that runs again gives the same ids, and no task sees more than its own files. Only the
-    offsets, one row per file, are put in one order.
-    """
-    if order_by:
-        batch = batch.orderBy(*[F.asc_nulls_last(col(name)) for name in order_by])
-    staged = written(batch, "append")
-
-    file_name = F.col("_metadata.file_name")
-    write_order = [F.regexp_extract("file_name", r"^part-(\d+)", 1).cast("int"), F.col("file_name")]
-    rows_before = Window.orderBy(*write_order).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = (
-        staged.groupBy(file_name.alias("file_name"))
-        .agg(F.count(F.lit(1)).alias("n_rows"))
-        .select("file_name", F.coalesce(F.sum("n_rows").over(rows_before), F.lit(0)).alias("rows_before"))
-    )
-    if len(staged.inputFiles()) <= BROADCAST_FILES:
-        offsets = F.broadcast(offsets)
-    positioned = staged.select("*", file_name.alias("file_name"), F.col("_metadata.row_index"))
-    row_id = F.col("rows_before") + F.col("row_index") + first_id
-    return positioned.join(offsets, "file_name").select(
-        row_id.alias(id_column), *[col(name) for name in batch.columns]
-    )
+def _offsets(rows: DataFrame, file: str, before: str) -> DataFrame:
+    """Per file, the rows in the files written before it. Only these, one row per file, are put
+    in one order."""
+    write_order = [F.regexp_extract(file, r"^part-(\d+)", 1).cast("int"), F.col(file)]
+    earlier = Window.orderBy(*write_order).rowsBetween(Window.unboundedPreceding, -1)
+    counts = rows.groupBy(F.col("_metadata.file_name").alias(file)).agg(F.count("*").alias("n"))
+    return counts.select(file, "n", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias(before))
 
 
 def append_rows(
-    table: str, batch: DataFrame, id_column: str | None = None, order_by: Sequence[str] = ()
+    table: str,
+    batch: DataFrame,
+    id_column: str | None = None,
+    order_by: Sequence[str] = (),
+    order_ties: Sequence[str] = (),
+    broadcast_files: int = BROADCAST_FILES,
 ) -> None:
     """Append ``batch`` to ``table``; table columns it lacks are filled with nulls.
 
-    With ``id_column`` the rows get consecutive ids after the largest in the table, in the order
-    of ``order_by`` if given. Two writers at once would give out the same ids: one at a time.
+    With ``id_column`` the rows get consecutive ids after the last one given, in the order of
+    ``order_by`` if given; ``order_ties`` are further columns by which a value that holds a large
+    part of the rows is split over tasks. The next id is a property of the table, set before the
+    rows are written: an append that fails leaves a gap, never an id given twice. Two writers at
+    once would give out the same ids: one at a time, and ids from nowhere else.
+
+    Numbering costs a second write: the batch is written to the shared folder first, and removed
+    from there at the end. A row's id is the number of rows in the files before its own plus its
+    place in its file; both are fixed by what was written, so that a task that runs again gives
+    the same ids. The rows before each file are broadcast if there are at most ``broadcast_files``
+    files; beyond, the rows are shuffled by file.
     """
     spark = batch.sparkSession
     target = spark.table(table)
     extra = [name for name in batch.columns if name not in target.columns]
     if extra:
         raise ValueError(f"columns {extra} are not in {table}, which has {target.columns}")
-    if id_column is not None:
-        require_columns(target, [id_column])
-        if id_column in batch.columns:
-            raise ValueError(f"{id_column} is assigned on append and cannot be in the batch")
-        batch = _numbered(batch, _last_id(spark, table, id_column) + 1, id_column, order_by)
+    if id_column is None:
+        _insert(table, target, batch)
+        return
+    require_columns(target, [id_column])
+    if id_column in batch.columns:
+        raise ValueError(f"{id_column} is assigned on append and cannot be in the batch")
+    if order_by:
+        order = [F.asc_nulls_last(col(name)) for name in (*order_by, *order_ties)]
+        batch = batch.orderBy(*order)
+    names = [*batch.columns, id_column]
+    file, place, before = (_unused(names, stem) for stem in ("file_name", "row_index", "rows_before"))
+    with staged(batch, "append") as rows:
+        offsets = _offsets(rows, file, before)
+        n_files, n_rows = offsets.agg(F.count("*"), F.coalesce(F.sum("n"), F.lit(0))).first()
+        first_id = _next_id(spark, table, id_column)
+        _keep_next_id(spark, table, id_column, first_id + n_rows)
+        if n_files <= broadcast_files:
+            offsets = F.broadcast(offsets)
+        placed = rows.select(
+            "*",
+            F.col("_metadata.file_name").alias(file),
+            F.col("_metadata.row_index").alias(place),
+        )
+        numbered = placed.join(offsets.drop("n"), file).select(
+            (F.col(before) + F.col(place) + first_id).alias(id_column),
+            *[col(name) for name in batch.columns],
+        )
+        _insert(table, target, numbered)
+
+
+def _insert(table: str, target: DataFrame, rows: DataFrame) -> None:
     filled = [
-        (col(f.name) if f.name in batch.columns else F.lit(None)).cast(f.dataType).alias(f.name)
+        (col(f.name) if f.name in rows.columns else F.lit(None)).cast(f.dataType).alias(f.name)
         for f in target.schema.fields
     ]
-    batch.select(filled).write.insertInto(table)
+    rows.select(filled).write.insertInto(table)
 
 
 def read_ordered(
-    spark: SparkSession, table: str, columns: Sequence[str], order_by: str
+    spark: SparkSession,
+    table: str,
+    columns: Sequence[str],
+    order_by: str,
+    tie_break: Sequence[str] = (),
 ) -> DataFrame:
-    """Chosen columns of a table in ascending order of ``order_by``, nulls last."""
+    """Chosen columns of a table in ascending order of ``order_by``, nulls last.
+
+    With a fine ``tie_break`` (the id, say) the ranges of the sort can cut through a value that
+    holds a large part of the rows; without one such a value stays in one task.
+    """
     source = spark.table(table)
-    require_columns(source, [*columns, order_by])
-    return source.orderBy(F.asc_nulls_last(col(order_by))).select([col(name) for name in columns])
+    require_columns(source, [*columns, order_by, *tie_break])
+    order = [F.asc_nulls_last(col(name)) for name in (order_by, *tie_break)]
+    return source.orderBy(*order).select([col(name) for name in columns])
