@@ -10,6 +10,7 @@ from voltledger import operators as ops
 from voltledger.plans import grid
 
 JANUARY = (date(2024, 1, 1), date(2024, 1, 30))
+KINDS = ("click", "error", "purchase", "signup", "view")
 
 SERIES = """
 WITH series AS (
@@ -148,7 +149,7 @@ DEFINITIVE_SLOTS = (
                 1440 - count(DISTINCT slot) AS n_missing FROM s GROUP BY 1"""
 )
 def grid_definitive_completeness(spark, sf_dir):
-    return grid.definitive_completeness(series(spark, sf_dir), JANUARY)
+    return grid.definitive_completeness(series(spark, sf_dir), KINDS, JANUARY)
 
 
 @check(
@@ -158,7 +159,45 @@ def grid_definitive_completeness(spark, sf_dir):
          SELECT libelle_region, slot FROM c EXCEPT SELECT libelle_region, slot FROM s"""
 )
 def grid_missing_slots(spark, sf_dir):
-    return grid.definitive_missing_slots(series(spark, sf_dir), JANUARY)
+    return grid.definitive_missing_slots(series(spark, sf_dir), KINDS, JANUARY)
+
+
+EXPECTED = """, e AS (SELECT libelle_region FROM s UNION SELECT 'Corse'),
+    c AS (SELECT libelle_region, unnest(generate_series(TIMESTAMP '2024-01-01', TIMESTAMP '2024-01-30 23:30:00',
+                 INTERVAL 30 MINUTE)) AS slot FROM e)
+    """
+
+
+@check(
+    DEFINITIVE_SLOTS
+    + EXPECTED
+    + """SELECT e.libelle_region, count(slot) AS n_rows, count(DISTINCT slot) AS n_slots,
+                cast(1440 AS bigint) AS n_expected, 1440 - count(DISTINCT slot) AS n_missing
+         FROM e LEFT JOIN s USING (libelle_region) GROUP BY 1"""
+)
+def grid_region_without_rows(spark, sf_dir):
+    return grid.definitive_completeness(series(spark, sf_dir), [*KINDS, "Corse"], JANUARY)
+
+
+@check(
+    DEFINITIVE_SLOTS
+    + EXPECTED
+    + "SELECT libelle_region, slot FROM c EXCEPT SELECT libelle_region, slot FROM s"
+)
+def grid_missing_slots_without_rows(spark, sf_dir):
+    return grid.definitive_missing_slots(series(spark, sf_dir), [*KINDS, "Corse"], JANUARY)
+
+
+@check(
+    DEFINITIVE_SLOTS
+    + EXPECTED
+    + """, d AS (SELECT DISTINCT libelle_region, slot FROM s)
+    SELECT c.libelle_region, cast(c.slot AS date) AS day, count(d.slot) AS n_slots,
+           cast(48 AS bigint) AS n_expected, 48 - count(d.slot) AS n_missing
+    FROM c LEFT JOIN d ON c.libelle_region = d.libelle_region AND c.slot = d.slot GROUP BY 1, 2"""
+)
+def grid_day_completeness(spark, sf_dir):
+    return grid.definitive_day_completeness(series(spark, sf_dir), [*KINDS, "Corse"], JANUARY)
 
 
 @check(

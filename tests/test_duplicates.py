@@ -1,6 +1,7 @@
 """Duplicate detection against brute force, and its plans when one key holds a third of the rows."""
 
 from collections import Counter
+from pathlib import Path
 
 import pytest
 from hypothesis import given, settings
@@ -9,6 +10,7 @@ from pyspark.sql import functions as F
 
 from tests.frames import REGISTER_ROWS, REGISTER_SCHEMA, executed_plan, rows, sorted_tuples
 from voltledger import operators as ops
+from voltledger.session import new_path, shared_folder
 
 keys = st.one_of(st.none(), st.sampled_from(["", "a", "b", "c", "d"]), st.text(max_size=2))
 
@@ -20,7 +22,8 @@ def test_against_brute_force(spark, data, broadcast_bytes):
     count = Counter(k for k, _ in data)
     repeated = [(k, v) for k, v in data if count[k] > 1]
     order = lambda row: (row[0] is not None, row[0] or "", row[1])
-    got = sorted(rows(ops.duplicated_rows(df, "k", broadcast_bytes)), key=order)
+    folder = new_path(spark, "keys") if broadcast_bytes else None
+    got = sorted(rows(ops.duplicated_rows(df, "k", broadcast_bytes, folder)), key=order)
     assert got == sorted(repeated, key=order)
     assert rows(ops.duplicated_sum(df, "k", "v")) == [(sum(v for _, v in repeated),)]
     n = sum(1 for k, _ in repeated if k is not None)
@@ -60,8 +63,26 @@ def skewed(spark, tmp_path):
     return spark.read.parquet(f"{tmp_path}/skewed")
 
 
-def test_few_repeated_keys_leave_the_rows_unshuffled(spark, skewed):
-    result = ops.duplicated_rows(skewed, "k")
+def test_nothing_runs_and_nothing_is_written_before_the_result_is_asked_for(spark, skewed):
+    folder = Path(shared_folder(spark).removeprefix("file:"))
+    files = sorted(folder.iterdir())
+    spark.sparkContext.setJobGroup("duplicates", "")
+    try:
+        ops.duplicated_rows(skewed, "k")
+        ops.duplicated_sum(skewed, "k", "id")
+        jobs = spark.sparkContext.statusTracker().getJobIdsForGroup("duplicates")
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert list(jobs) == [] and sorted(folder.iterdir()) == files
+
+
+def test_a_broadcast_needs_a_folder(spark):
+    with pytest.raises(ValueError, match="needs a folder"):
+        ops.duplicated_rows(spark.range(3), "id", broadcast_bytes=1)
+
+
+def test_few_repeated_keys_leave_the_rows_unshuffled(spark, skewed, tmp_path):
+    result = ops.duplicated_rows(skewed, "k", 64 * 1024 * 1024, str(tmp_path / "keys"))
     text = executed_plan(result)
     assert "BroadcastHashJoin" in text and "SortMergeJoin" not in text
     # The keys were counted and written before, so what is left is a scan and a small build side.

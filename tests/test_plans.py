@@ -96,7 +96,7 @@ def test_filters_reach_the_scan(installations):
 
 
 def test_grid_period_reaches_the_scan(series):
-    df = grid.definitive_completeness(series, (date(2024, 1, 1), date(2024, 1, 31)))
+    df = grid.definitive_completeness(series, ["Corse"], (date(2024, 1, 1), date(2024, 1, 31)))
     filters = pushed(df)
     assert "GreaterThanOrEqual(date_heure,2024-01-01" in filters
     assert "LessThan(date_heure,2024-02-01" in filters
@@ -105,7 +105,7 @@ def test_grid_period_reaches_the_scan(series):
 
 
 def test_grid_is_shuffled_by_group_and_slot(series):
-    text = plan(grid.definitive_completeness(series))
+    text = plan(grid.definitive_completeness(series, ["Corse"]))
     shuffles = [line for line in text.splitlines() if "hashpartitioning(libelle_region" in line]
     # The rows go by group and slot; what is left goes by group alone.
     assert "slot#" in shuffles[-1] and "slot#" not in shuffles[0]
@@ -163,7 +163,7 @@ def test_no_analysis_leaves_the_jvm(installations, series):
         register.reconciliation(installations),
         register.region_power(installations),
         register.large_average_power(installations),
-        grid.definitive_missing_slots(series, (date(2024, 1, 1), date(2024, 1, 2))),
+        grid.definitive_missing_slots(series, ["Corse"], (date(2024, 1, 1), date(2024, 1, 2))),
     ):
         assert "Python" not in plan(df) and "Arrow" not in plan(df)
 

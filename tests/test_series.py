@@ -11,6 +11,7 @@ from voltledger.functions import days_between
 from voltledger.plans import grid
 
 DAYS = (date(2024, 2, 28), date(2024, 3, 1))
+REGIONS = ["Bretagne", "Normandie"]
 START = datetime(2024, 2, 28)
 SCHEMA = "date_heure timestamp_ntz, nature string, libelle_region string, column_30 string, tco_gaz double"
 
@@ -52,16 +53,49 @@ def test_status_periods(series):
 
 
 def test_a_repeated_slot_does_not_hide_a_missing_one(series):
-    got = sorted_tuples(grid.definitive_completeness(series, DAYS))
+    got = sorted_tuples(grid.definitive_completeness(series, REGIONS, DAYS))
     assert got == [("Bretagne", 144, 143, 144, 1), ("Normandie", 142, 142, 144, 2)]
 
 
+def test_an_expected_region_without_rows_is_missing_whole(series):
+    regions = [*REGIONS, "Corse"]
+    got = sorted_tuples(grid.definitive_completeness(series, regions, DAYS))
+    assert ("Corse", 0, 0, 144, 144) in got and len(got) == 3
+    slots = grid.definitive_missing_slots(series, regions, DAYS)
+    assert slots.filter("libelle_region = 'Corse'").count() == 144
+    days = grid.definitive_day_completeness(series, regions, DAYS)
+    got = {tuple(row)[:2]: tuple(row)[2:] for row in days.collect()}
+    assert len(got) == 9 and all(n + missing == 48 == expected for n, expected, missing in got.values())
+    assert [got["Corse", day][0] for day in sorted(d for r, d in got if r == "Corse")] == [0, 0, 0]
+    assert sum(missing for _, _, missing in got.values()) == 144 + 3
+
+
+@pytest.mark.parametrize("name", ["day", "number", "slot_", "n", "__slo", "SEEN"])
+def test_the_group_may_have_any_name(spark, name):
+    df = spark.createDataFrame([(START, "a"), (START, None)], f"t timestamp_ntz, `{name}` string")
+    day = DAYS[0]
+    assert ops.grid_completeness(df, name, "t", day, day, 60).count() == 2
+    assert ops.missing_slots(df, name, "t", day, day, 60).columns == [name, "slot"]
+    assert ops.missing_slots(df, name, "t", day, day, 60).count() == 46
+
+
+def test_group_names_that_clash_with_the_result(spark):
+    for name, check in (
+        ("slot", ops.missing_slots),
+        ("n_slots", ops.grid_completeness),
+        ("day", ops.grid_day_completeness),
+    ):
+        df = spark.createDataFrame([(START, "a")], f"t timestamp_ntz, {name} string")
+        with pytest.raises(ValueError, match="cannot be named"):
+            check(df, name, "t", DAYS[0], DAYS[0], 60)
+
+
 def test_plain_balance(series):
     assert rows(grid.definitive_balance(series, 2, DAYS)) == [(287, 288, -1)]
 
 
 def test_missing_slots(series):
-    got = sorted_tuples(grid.definitive_missing_slots(series, DAYS))
+    got = sorted_tuples(grid.definitive_missing_slots(series, REGIONS, DAYS))
     assert got == [("Bretagne", slot(60)), ("Normandie", slot(0)), ("Normandie", slot(143))]
 
 

@@ -28,6 +28,7 @@ from voltledger.operators.reconcile import exclusion_report, published_totals, r
 from voltledger.operators.series import (
     grid_balance,
     grid_completeness,
+    grid_day_completeness,
     missing_slots,
     status_partition,
     status_period,
@@ -44,6 +45,7 @@ __all__ = [
     "frame_shape",
     "grid_balance",
     "grid_completeness",
+    "grid_day_completeness",
     "group_share",
     "group_sums",
     "has_null",

@@ -10,10 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from voltledger.functions import col, quoted, require_columns, sum_or_zero
-from voltledger.session import written
 
-# Duplicate keys are broadcast up to this size in memory; beyond it the join shuffles.
-BROADCAST_KEY_BYTES = 64 * 1024 * 1024
 # What one broadcast row takes, beside the text of its key.
 BROADCAST_ROW_BYTES = 64
 FIXED_SIZE = (T.NumericType, T.BooleanType, T.DatetimeType)
@@ -38,20 +35,25 @@ def _key_bytes(keys: DataFrame) -> int:
 
 
 def duplicated_rows(
-    df: DataFrame, key: str, broadcast_bytes: int = BROADCAST_KEY_BYTES
+    df: DataFrame, key: str, broadcast_bytes: int = 0, folder: str | None = None
 ) -> DataFrame:
     """Rows whose key value occurs more than once.
 
-    Counting the keys shuffles one combined row per key and task, never whole rows. The repeated
-    keys are written to the shared folder and measured. If they fit in ``broadcast_bytes`` the
-    rows are not shuffled at all. If not, the null-safe semi join shuffles the rows by key, and
-    adaptive execution splits the partition of a hot key, which it can do here because the other
-    side has one row per key. ``broadcast_bytes=0`` runs no job and leaves the choice to Spark.
+    Counting the keys shuffles one combined row per key and task, never whole rows. The null-safe
+    semi join then shuffles the rows by key, and adaptive execution splits the partition of a hot
+    key, which it can do here because the other side has one row per key. No job is run.
+
+    With ``broadcast_bytes`` the repeated keys are counted at once, written to ``folder`` (which
+    the caller owns and removes when the result is no longer used) and measured. If they fit they
+    are broadcast and the rows are not shuffled at all; if not, the plan is the one above.
     """
     require_columns(df, [key])
     keys = _repeated_keys(df, key)
     if broadcast_bytes > 0:
-        keys = written(keys, "repeated-keys")
+        if folder is None:
+            raise ValueError("broadcast_bytes needs a folder for the repeated keys")
+        keys.write.parquet(folder)
+        keys = df.sparkSession.read.schema(keys.schema).parquet(folder)
         if _key_bytes(keys) <= broadcast_bytes:
             keys = F.broadcast(keys)
     return df.join(keys, df[quoted(key)].eqNullSafe(keys["repeated_key"]), "left_semi")

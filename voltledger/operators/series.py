@@ -31,13 +31,22 @@ def _days(first_day: date, last_day: date) -> int:
     return (last_day - first_day).days + 1
 
 
+# Columns that are added on the way; a frame cannot have them.
+SLOT, DAY, NUMBER, SEEN = "__slot", "__day", "__number", "__seen"
+
+
+def _require_free(group: str, made: Sequence[str]) -> None:
+    if group in made:
+        raise ValueError(f"the group column cannot be named {group}, as a column beside it is")
+
+
 def _filled(
     df: DataFrame, group: str, time: str, first_day: date, last_day: date, step_minutes: int
 ) -> DataFrame:
-    """``group`` and ``slot``, the start of the slot, of every row in the period."""
+    """``group`` and the start of the slot of every row in the period."""
     slot = F.window(col(time).cast("timestamp_ntz"), f"{step_minutes} minutes")["start"]
     rows = df.filter(_in_period(col(time), first_day, last_day))
-    return rows.select(col(group).alias(group), slot.alias("slot"))
+    return rows.select(col(group).alias(group), slot.alias(SLOT))
 
 
 def _in_period(time: Column, first_day: date, last_day: date) -> Column:
@@ -100,18 +109,19 @@ def grid_completeness(
     counted by group and slot together, so that one large group is spread over all tasks.
     """
     require_columns(df, [group, time])
+    _require_free(group, ("n_rows", "n_slots", "n_expected", "n_missing"))
     expected = _slots_per_day(step_minutes) * _days(first_day, last_day)
     filled = _filled(df, group, time, first_day, last_day, step_minutes)
-    per_slot = filled.groupBy(col(group), "slot").agg(F.count(F.lit(1)).alias("n"))
+    per_slot = filled.groupBy(col(group), SLOT).agg(F.count(F.lit(1)).alias(NUMBER))
     if groups is not None:
         per_slot = per_slot.unionByName(
             _named_groups(df, group, groups).select(
-                "*", F.lit(None).cast("timestamp_ntz").alias("slot"), F.lit(0).alias("n")
+                "*", F.lit(None).cast("timestamp_ntz").alias(SLOT), F.lit(0).alias(NUMBER)
             )
         )
-    n_slots = F.count(F.col("slot"))
+    n_slots = F.count(F.col(SLOT))
     return per_slot.groupBy(col(group)).agg(
-        F.sum("n").alias("n_rows"),
+        F.sum(NUMBER).alias("n_rows"),
         n_slots.alias("n_slots"),
         F.lit(expected).cast("long").alias("n_expected"),
         (F.lit(expected) - n_slots).alias("n_missing"),
@@ -124,6 +134,76 @@ def _named_groups(df: DataFrame, group: str, groups: Sequence[str]) -> DataFrame
     )
 
 
+def _calendar(
+    df: DataFrame,
+    group: str,
+    time: str,
+    first_day: date,
+    last_day: date,
+    step_minutes: int,
+    groups: Sequence[str] | None,
+) -> DataFrame:
+    """Per group and day of the period, the numbers of the slots that have a row.
+
+    The groups are those with a row in the period, and those named in ``groups``. Rows are read
+    and shuffled once, by group and day, with the slots of a day combined before; the array of a
+    day is no longer than its slots.
+    """
+    filled = _filled(df, group, time, first_day, last_day, step_minutes)
+    start = F.lit(first_day).cast("timestamp_ntz")
+    minute = F.timestamp_diff("MINUTE", start, F.col(SLOT))
+    per_day = (
+        filled.filter(F.col(SLOT).isNotNull())
+        .select(
+            col(group),
+            F.floor(minute / DAY_MINUTES).cast("int").alias(DAY),
+            (F.pmod(minute, F.lit(DAY_MINUTES)) / step_minutes).cast("int").alias(NUMBER),
+        )
+        .groupBy(col(group), DAY)
+        .agg(F.collect_set(NUMBER).alias(SEEN))
+    )
+    # The condition always holds. It keeps the array in the plan, so that this is the same shuffle.
+    known = per_day.filter(F.size(SEEN) > 0).select(col(group))
+    if groups is not None:
+        known = known.unionByName(_named_groups(df, group, groups))
+    day = F.explode(F.sequence(F.lit(0), F.lit(_days(first_day, last_day) - 1)))
+    whole = known.distinct().select(col(group).alias(group), day.alias(DAY))
+    same = whole[quoted(group)].eqNullSafe(per_day[quoted(group)])
+    same = same & whole[DAY].eqNullSafe(per_day[DAY])  # not ==, which would add a filter below
+    nothing = F.array().cast("array<int>")
+    return whole.join(per_day, same, "left").select(
+        whole[quoted(group)].alias(group), whole[DAY], F.coalesce(SEEN, nothing).alias(SEEN)
+    )
+
+
+def grid_day_completeness(
+    df: DataFrame,
+    group: str,
+    time: str,
+    first_day: date,
+    last_day: date,
+    step_minutes: int = 30,
+    groups: Sequence[str] | None = None,
+) -> DataFrame:
+    """Per group and day of the period: slots filled, slots a full day has, and slots missing.
+
+    The groups are those with a row in the period, and those named in ``groups``; days without a
+    row are there too.
+    """
+    require_columns(df, [group, time])
+    _require_free(group, ("day", "n_slots", "n_expected", "n_missing"))
+    expected = _slots_per_day(step_minutes)
+    calendar = _calendar(df, group, time, first_day, last_day, step_minutes, groups)
+    n_slots = F.size(SEEN).cast("long")
+    return calendar.select(
+        col(group),
+        F.date_add(F.lit(first_day), F.col(DAY)).alias("day"),
+        n_slots.alias("n_slots"),
+        F.lit(expected).cast("long").alias("n_expected"),
+        (F.lit(expected) - n_slots).alias("n_missing"),
+    )
+
+
 def missing_slots(
     df: DataFrame,
     group: str,
@@ -135,33 +215,16 @@ def missing_slots(
 ) -> DataFrame:
     """Every (group, slot) of the full grid that has no row: ``group``, ``slot``.
 
-    The groups are those with a row in the period, and those named in ``groups``. The calendar
-    is made per group, first its days and then the slots of each day, so no array is longer than
-    the period in days, and it is spread by group and day before it is widened. The groups are
-    read off the filled slots, so that the rows are read and shuffled once.
+    The groups are those with a row in the period, and those named in ``groups``. A day's missing
+    slots are what its filled ones leave of a full day; only these are made into rows.
     """
     require_columns(df, [group, time])
-    n_slots = _slots_per_day(step_minutes)
-    filled = _filled(df, group, time, first_day, last_day, step_minutes)
-    filled = filled.filter(F.col("slot").isNotNull()).distinct()
-    seen = (
-        filled.groupBy(col(group).alias(group))
-        .agg(F.count(F.col("slot")).alias("n_slots"))
-        .filter("n_slots > 0")
-        .select(col(group))
+    _require_free(group, ("slot",))
+    full = F.sequence(F.lit(0), F.lit(_slots_per_day(step_minutes) - 1))
+    calendar = _calendar(df, group, time, first_day, last_day, step_minutes, groups)
+    missing = calendar.select(
+        col(group), DAY, F.explode(F.array_except(full, F.col(SEEN))).alias(NUMBER)
     )
-    if groups is not None:
-        seen = seen.unionByName(_named_groups(df, group, groups))
-    day = F.explode(F.sequence(F.lit(0), F.lit(_days(first_day, last_day) - 1)))
-    number = F.explode(F.sequence(F.lit(0), F.lit(n_slots - 1)))
     start = F.lit(first_day).cast("timestamp_ntz")
-    after_start = F.make_dt_interval(days=F.col("day"), mins=F.col("number") * step_minutes)
-    calendar = (
-        seen.distinct()
-        .select(col(group), day.alias("day"))
-        .repartition(col(group), F.col("day"))
-        .select(col(group), "day", number.alias("number"))
-        .select(col(group).alias(group), (start + after_start).alias("slot"))
-    )
-    same_group = calendar[quoted(group)].eqNullSafe(filled[quoted(group)])
-    return calendar.join(filled, same_group & (calendar["slot"] == filled["slot"]), "left_anti")
+    after_start = F.make_dt_interval(days=F.col(DAY), mins=F.col(NUMBER) * step_minutes)
+    return missing.select(col(group).alias(group), (start + after_start).alias("slot"))

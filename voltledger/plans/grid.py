@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from datetime import date
 
 from pyspark.sql import DataFrame
@@ -13,6 +14,7 @@ from voltledger.operators import (
     count_per_column,
     grid_balance,
     grid_completeness,
+    grid_day_completeness,
     min_max,
     missing_slots,
     null_count,
@@ -39,7 +41,7 @@ def stray_values(regional: DataFrame, column: str = "column_30") -> DataFrame:
 
 
 def rate_null_counts(regional: DataFrame) -> DataFrame:
-    """Nulls in each of the cover-rate columns."""
+    """Nulls in each of the cover-rate columns; an error if there is none."""
     return null_count(regional, names_containing(regional, "tco"))
 
 
@@ -81,19 +83,39 @@ def definitive_balance(
 
 def definitive_completeness(
     regional: DataFrame,
+    regions: Sequence[str],
     days: tuple[date, date] = DEFINITIVE_PERIOD,
     step_minutes: int = STEP_MINUTES,
 ) -> DataFrame:
-    """The same by region, by filled slots, so that a repeated slot cannot hide a missing one."""
+    """The same by region, by filled slots, so that a repeated slot cannot hide a missing one.
+
+    ``regions`` are those expected; one without a row has all its slots missing. Others that have
+    rows come too.
+    """
     return grid_completeness(
-        _definitive(regional), "libelle_region", "date_heure", *days, step_minutes
+        _definitive(regional), "libelle_region", "date_heure", *days, step_minutes, regions
+    )
+
+
+def definitive_day_completeness(
+    regional: DataFrame,
+    regions: Sequence[str],
+    days: tuple[date, date] = DEFINITIVE_PERIOD,
+    step_minutes: int = STEP_MINUTES,
+) -> DataFrame:
+    """The same by region and day."""
+    return grid_day_completeness(
+        _definitive(regional), "libelle_region", "date_heure", *days, step_minutes, regions
     )
 
 
 def definitive_missing_slots(
     regional: DataFrame,
+    regions: Sequence[str],
     days: tuple[date, date] = DEFINITIVE_PERIOD,
     step_minutes: int = STEP_MINUTES,
 ) -> DataFrame:
-    """Every missing half hour of every region."""
-    return missing_slots(_definitive(regional), "libelle_region", "date_heure", *days, step_minutes)
+    """Every missing half hour of every region, expected or found."""
+    return missing_slots(
+        _definitive(regional), "libelle_region", "date_heure", *days, step_minutes, regions
+    )
