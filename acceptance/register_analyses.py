@@ -13,8 +13,26 @@ from acceptance.registry import check, table
 from voltledger import sources
 from voltledger.plans import register as reg
 
+def _day(name):
+    """A date from text that is wholly one of the two spellings, in SQL."""
+    return (
+        f"CASE WHEN regexp_full_match({name}, '[0-9]{{4}}-[0-9]{{2}}-[0-9]{{2}}') THEN try_cast({name} AS date) "
+        f"WHEN regexp_full_match({name}, '[0-9]{{2}}/[0-9]{{2}}/[0-9]{{4}}') "
+        f"THEN cast(try_strptime({name}, '%d/%m/%Y') AS date) END"
+    )
+
+
+def _dates_differ(a, b):
+    """Texts are compared where either is no date."""
+    day_a, day_b = f"{a}_day", f"{b}_day"
+    return (
+        f"CASE WHEN {day_a} IS NOT NULL AND {day_b} IS NOT NULL THEN {day_a} <> {day_b} "
+        f"ELSE {a} IS DISTINCT FROM {b} END"
+    )
+
+
 REGISTER = """
-WITH register AS (
+WITH raw AS (
   SELECT CASE WHEN l_returnflag <> 'A' THEN 'P' || l_partkey END AS idpeps,
          'Site ' || l_suppkey AS nominstallation,
          CASE WHEN l_linenumber = 1 THEN NULL WHEN l_linenumber = 2 THEN '' ELSE 'C' || l_orderkey END
@@ -46,13 +64,25 @@ WITH register AS (
          l_quantity + 6 AS energieannuelleglissanteinjectee, l_quantity + 7 AS energieannuelleglissanteproduite,
          l_quantity + 8 AS energieannuelleglissantesoutiree, l_extendedprice AS energieannuelleglissantestockee_brut,
          l_quantity + 9 AS energieannuelleglissantestockee,
-         CASE WHEN l_linenumber = 3 THEN strftime(l_shipdate, '%Y-%m-%d') ELSE strftime(l_shipdate, '%d/%m/%Y') END
+         CASE WHEN l_linenumber = 7 AND l_returnflag = 'R' THEN 'inconnu'
+              WHEN l_linenumber = 5 AND l_returnflag = 'A' THEN NULL
+              WHEN l_linenumber = 6 AND l_returnflag = 'N' THEN strftime(l_shipdate, '%Y-%m')
+              WHEN l_linenumber = 4 AND l_returnflag = 'R' THEN strftime(l_shipdate, '%d/%m/%Y') || ' env.'
+              WHEN l_linenumber = 3 THEN strftime(l_shipdate, '%Y-%m-%d') ELSE strftime(l_shipdate, '%d/%m/%Y') END
            AS datemiseenservice,
-         CASE WHEN l_linenumber < 4 THEN strftime(l_shipdate, '%Y-%m-%d')
+         CASE WHEN l_linenumber = 7 AND l_returnflag = 'R' THEN 'n/a'
+              WHEN l_linenumber = 6 AND l_returnflag = 'N' THEN strftime(l_shipdate, '%Y-%m')
+              WHEN l_linenumber = 1 AND l_returnflag = 'N' THEN strftime(l_shipdate, '%Y')
+              WHEN l_linenumber < 4 THEN strftime(l_shipdate, '%Y-%m-%d')
               WHEN l_linenumber < 7 THEN strftime(l_shipdate + INTERVAL 1 DAY, '%Y-%m-%d') END AS datedebutversion,
-         CASE WHEN l_returnflag = 'A' THEN strftime(l_shipdate, '%Y-%m-%d') END AS datederaccordement,
+         CASE WHEN l_returnflag = 'A' THEN strftime(l_shipdate, '%Y-%m-%d')
+              WHEN l_returnflag = 'N' AND l_linenumber = 2 THEN '' END AS datederaccordement,
          cast(l_shipdate AS date) AS datemiseenservice_date
   FROM lineitem),
+register AS (SELECT *, """ + ", ".join(
+    f"{_day(name)} AS {name}_day"
+    for name in ("datemiseenservice", "datedebutversion", "datederaccordement")
+) + """ FROM raw),
 mainland AS (SELECT * FROM register WHERE region NOT IN ('Martinique', 'Guadeloupe', 'Guyane', 'La Réunion'))
 """
 
@@ -68,7 +98,8 @@ def register(spark, sf_dir):
     part, supplier = F.col("l_partkey"), F.col("l_suppkey")
     power = F.when(quantity != 13, quantity - 10)
     iso = day.cast("date").cast("string")
-    slashed = F.date_format(day, "dd/MM/yyyy")
+    year, month = F.left(iso, F.lit(4)), F.left(iso, F.lit(7))
+    slashed = F.concat_ws("/", F.substring(iso, 9, 2), F.substring(iso, 6, 2), year)
     next_day = F.date_add(day.cast("date"), 1).cast("string")
     columns = {
         "idpeps": F.when(flag != "A", tagged("P", part)),
@@ -115,9 +146,18 @@ def register(spark, sf_dir):
         "energieannuelleglissantesoutiree": quantity + 8,
         "energieannuelleglissantestockee": quantity + 9,
         "energieannuelleglissantestockee_brut": F.col("l_extendedprice"),
-        "datemiseenservice": F.when(line == 3, iso).otherwise(slashed),
-        "datedebutversion": F.when(line < 4, iso).when(line < 7, next_day),
-        "datederaccordement": F.when(flag == "A", iso),
+        "datemiseenservice": F.when((line == 7) & (flag == "R"), "inconnu")
+        .when((line == 5) & (flag == "A"), None)
+        .when((line == 6) & (flag == "N"), month)
+        .when((line == 4) & (flag == "R"), F.concat(slashed, F.lit(" env.")))
+        .when(line == 3, iso)
+        .otherwise(slashed),
+        "datedebutversion": F.when((line == 7) & (flag == "R"), "n/a")
+        .when((line == 6) & (flag == "N"), month)
+        .when((line == 1) & (flag == "N"), year)
+        .when(line < 4, iso)
+        .when(line < 7, next_day),
+        "datederaccordement": F.when(flag == "A", iso).when((flag == "N") & (line == 2), ""),
         "datemiseenservice_date": day.cast("date"),
     }
     rows = table(spark, sf_dir, "lineitem")
@@ -205,6 +245,7 @@ def register_power_by_name(spark, sf_dir):
     + ", ".join(
         f"round_even(sum({name}), 3) AS {name}"
         for name in (
+            "energiestockable",
             "energieannuelleglissanteinjectee",
             "energieannuelleglissanteproduite",
             "energieannuelleglissantesoutiree",
@@ -215,7 +256,7 @@ def register_power_by_name(spark, sf_dir):
     + " FROM register"
 )
 def register_energy_by_name(spark, sf_dir):
-    return reg.totals_by_name(register(spark, sf_dir), "energieannuelle")
+    return reg.totals_by_name(register(spark, sf_dir), "energie")
 
 
 @check(
@@ -256,7 +297,7 @@ def register_rows_by_regime(spark, sf_dir):
          sum(puismaxinstallee) AS mainland_power, sum(puismaxcharge) AS mainland_charge,
          sum(puismaxraccharge) AS mainland_connected_charge,
          coalesce(sum(puismaxinstallee) FILTER (WHERE datemiseenservice LIKE '%2000'), 0) AS mainland_power_text_year,
-         coalesce(sum(puismaxinstallee) FILTER (WHERE year(datemiseenservice_date) = 2000), 0) AS mainland_power_date_year
+         coalesce(sum(puismaxinstallee) FILTER (WHERE year(datemiseenservice_day) = 2000), 0) AS mainland_power_date_year
   FROM mainland)
 SELECT *, power - charge AS power_less_charge, power - charge - 1101500 AS power_less_charge_withdrawn,
        mainland_power - mainland_charge AS mainland_less_charge,
@@ -264,7 +305,8 @@ SELECT *, power - charge AS power_less_charge, power - charge - 1101500 AS power
        mainland_power - cast('5648319.464' AS double) AS mainland_less_aggregated,
        mainland_power - mainland_power_text_year AS mainland_less_text_year,
        mainland_power - mainland_charge - mainland_connected_charge AS mainland_less_both_charges,
-       cast(161959 AS bigint) AS published_power FROM t"""
+       cast(161959 AS double) AS published_power,
+       mainland_power - 161959000.0::double AS mainland_less_published FROM t"""
 )
 def register_reconciliation(spark, sf_dir):
     return reg.reconciliation(register(spark, sf_dir), year=2000)
@@ -280,6 +322,18 @@ def register_region_exclusions(spark, sf_dir):
     return reg.region_exclusions(register(spark, sf_dir))
 
 
+@check(
+    """
+    SELECT l_returnflag AS name, cast(count(*) AS double) AS published,
+           cast(count(*) AS double) * 1000 AS power FROM lineitem GROUP BY 1
+    """
+)
+def published_totals(spark, sf_dir):
+    """Figures that someone has counted elsewhere: here, lines by return flag."""
+    counted = table(spark, sf_dir, "lineitem").groupBy("l_returnflag").count().collect()
+    return reg.published_by_fuel(spark, {row["l_returnflag"]: row["count"] for row in counted})
+
+
 # Groups.
 
 GROUPED = """SELECT {key}, {sums} FROM {rows} GROUP BY 1"""
@@ -456,7 +510,8 @@ def register_rows_with_connection_date(spark, sf_dir):
 @check(
     REGISTER
     + KEY
-    + "WHERE datedebutversion IS NOT NULL AND datemiseenservice_date <> cast(datedebutversion AS date)"
+    + "WHERE datedebutversion IS NOT NULL AND "
+    + _dates_differ("datemiseenservice", "datedebutversion")
 )
 def register_rows_versioned_after_start(spark, sf_dir):
     return _key(reg.rows_versioned_after_start(register(spark, sf_dir)))
@@ -464,11 +519,24 @@ def register_rows_versioned_after_start(spark, sf_dir):
 
 @check(
     REGISTER
-    + """, d AS (SELECT datemiseenservice_date AS s, cast(datederaccordement AS date) AS c,
-                        cast(datedebutversion AS date) AS v FROM register)
-SELECT count(*) FILTER (WHERE s IS DISTINCT FROM c) AS start_connection,
-       count(*) FILTER (WHERE s IS DISTINCT FROM v) AS start_version,
-       count(*) FILTER (WHERE c IS DISTINCT FROM v) AS connection_version FROM d"""
+    + "SELECT "
+    + ", ".join(
+        f"count(*) FILTER (WHERE {_dates_differ(a, b)}) AS {name}"
+        for a, b, name in (
+            ("datemiseenservice", "datederaccordement", "start_connection"),
+            ("datemiseenservice", "datedebutversion", "start_version"),
+            ("datederaccordement", "datedebutversion", "connection_version"),
+        )
+    )
+    + "".join(
+        f", count(*) FILTER (WHERE {column} IS NOT NULL AND {column}_day IS NULL) AS {name}_unreadable"
+        for column, name in (
+            ("datemiseenservice", "start"),
+            ("datederaccordement", "connection"),
+            ("datedebutversion", "version"),
+        )
+    )
+    + " FROM register"
 )
 def register_date_disagreements(spark, sf_dir):
     return reg.date_disagreements(register(spark, sf_dir))

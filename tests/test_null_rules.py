@@ -12,6 +12,7 @@ from tests.frames import REGISTER_ROWS, REGISTER_SCHEMA, rows, sorted_tuples
 from voltledger import operators as ops
 from voltledger.functions import (
     col,
+    dates_differ,
     differs,
     divide_ieee,
     first_available,
@@ -20,6 +21,7 @@ from voltledger.functions import (
     round_half_even,
     sum_or_zero,
 )
+from voltledger.plans import grid
 
 INF, NAN = math.inf, math.nan
 
@@ -192,9 +194,57 @@ def test_comparison_needs_one_type(spark):
 
 def test_dates_in_two_spellings(spark):
     texts = ["2010-02-26", "26/02/2010", "30/02/2010", "2010-02-30", "x", "", None, "1/2/2010"]
+    texts += ["2010", "2010-02", "26/02/2010junk", "2010-02-26 10:00", "2010-2-6", " 2010-02-26"]
     df = spark.createDataFrame([(t,) for t in texts], "s string")
     got = [r[0] and r[0].isoformat() for r in rows(df.select(parse_date(F.col("s"))))]
-    assert got == ["2010-02-26", "2010-02-26"] + [None] * 6
+    assert got == ["2010-02-26", "2010-02-26"] + [None] * 12
+
+
+def test_unreadable_dates_differ_as_texts(spark):
+    pairs = [
+        ("inconnu", "n/a", True), ("inconnu", "inconnu", False), ("x", None, True), (None, None, False),
+        ("26/02/2010", "2010-02-26", False), ("26/02/2010", "2010", True), ("2010", "2010", False),
+    ]
+    df = spark.createDataFrame([p[:2] for p in pairs], "a string, b string")
+    got = rows(df.select(dates_differ(F.col("a"), F.col("b"))))
+    assert got == [(want,) for *_, want in pairs]
+
+
+def test_an_empty_list_of_columns_is_refused(spark):
+    df = spark.createDataFrame([(None, 1)], "a int, b int")
+    for profile in (ops.null_count, ops.has_null, ops.count_per_column):
+        with pytest.raises(ValueError, match="no columns to profile"):
+            profile(df, [])
+        assert profile(df, ["b"]).columns == ["b"]
+    with pytest.raises(ValueError, match="no columns to profile"):
+        grid.rate_null_counts(df)
+
+
+def test_division_by_either_zero(spark):
+    values = [(1.0, 0.0), (1.0, -0.0), (-1.0, 0.0), (-1.0, -0.0), (0.0, -0.0), (None, 0.0), (1.0, None)]
+    df = spark.createDataFrame(values, "a double, b double")
+    got = [row[0] for row in rows(df.select(divide_ieee(F.col("a"), F.col("b"))))]
+    assert got[:4] == [math.inf, -math.inf, -math.inf, math.inf]
+    assert math.isnan(got[4]) and got[5:] == [None, None]
+
+
+def test_decimal_sums_stay_decimal(spark):
+    df = spark.sql("SELECT CAST(1.025 AS DECIMAL(10, 3)) AS d UNION ALL SELECT 0")
+    got = ops.sum_rounded(df, ["d"], 2)
+    assert "decimal" in got.schema["d"].dataType.simpleString()
+    assert str(got.first()[0]) == "1.02"
+
+
+def test_a_share_cannot_take_the_name_of_the_key(spark):
+    df = spark.createDataFrame([("a", 1.0)], "k string, v double")
+    for name in ("k", "v"):
+        with pytest.raises(ValueError, match="cannot be named"):
+            ops.group_share(df, "k", "v", name)
+
+
+def test_published_figures_may_have_fractions(spark):
+    got = ops.published_totals(spark, {"a": 1.5, "b": 2})
+    assert sorted_tuples(got) == [("a", 1.5), ("b", 2.0)]
 
 
 def test_dates_pass_through(spark):

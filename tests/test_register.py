@@ -61,10 +61,17 @@ def test_reconciliation(installations):
         "mainland_less_aggregated": 104.0 - 5_648_319.464,
         "mainland_less_text_year": 40.0,
         "mainland_less_both_charges": 88.0,
-        "published_power": 161_959,
+        "published_power": 161_959.0,
+        "mainland_less_published": 104.0 - 161_959_000.0,
     }
 
 
+def test_reconciliation_with_other_figures(installations):
+    got = reg.reconciliation(installations, published={"a": 0.5, "b": 1}, published_unit=2).first()
+    assert got["published_power"] == 1.5
+    assert got["mainland_less_published"] == got["mainland_power"] - 3
+
+
 def test_reconciliation_of_nothing(installations):
     got = reg.reconciliation(installations.limit(0)).first()
     assert got["power"] == 0.0 and got["mainland_less_both_charges"] == 0.0
@@ -178,11 +185,14 @@ def test_dates(spark):
         ("2010-02-26", None, "2022-09-21", date(1897, 3, 21)),
         (None, "2022-02-01", "2022-02-01", None),
         (None, None, None, date(2030, 1, 1)),
+        ("inconnu", None, "n/a", None),
+        ("2010", "2010", "2010-01-01", None),
+        ("26/02/2010junk", "2010-02", "26/02/2010junk", None),
     ]
     df = spark.createDataFrame(data, schema)
-    assert rows(reg.date_disagreements(df)) == [(2, 2, 1)]
-    assert reg.rows_versioned_after_start(df).count() == 2
-    assert reg.rows_with_connection_date(df).count() == 2
+    assert rows(reg.date_disagreements(df)) == [(4, 4, 4, 3, 2, 2)]
+    assert reg.rows_versioned_after_start(df).count() == 4
+    assert reg.rows_with_connection_date(df).count() == 4
     odd = reg.implausible_start_dates(df, date(1900, 1, 1), date(2026, 1, 1))
     assert sorted_tuples(odd.select("datemiseenservice_date")) == [
         (date(1897, 3, 21),),

@@ -5,17 +5,35 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from voltledger.functions.predicates import differs
+
+
+ISO_DATE, SLASHED_DATE = r"^\d{4}-\d{2}-\d{2}$", r"^\d{2}/\d{2}/\d{4}$"
+
 
 def parse_date(c: Column) -> Column:
-    """A date from text that casts to one (``2010-02-26``), or from ``26/02/2010``.
+    """A date from text that is wholly ``2010-02-26`` or ``26/02/2010``.
 
-    These are the two spellings of the register files. Any other text gives null, and a date
-    column passes through. Casts that fail here cost no exception, unlike a failed format.
+    These are the two spellings of the register files. Any other text gives null, as does a day
+    that the calendar lacks; a date column passes through. Casts that fail here cost no exception,
+    unlike a failed format.
     """
     text = c.cast("string")
     turned = F.concat_ws("-", text.substr(7, 4), text.substr(4, 2), text.substr(1, 2))
-    slashed = (text.substr(3, 1) == "/") & (text.substr(6, 1) == "/")
-    return F.coalesce(text.try_cast("date"), F.when(slashed, turned).try_cast("date"))
+    spelled = F.when(text.rlike(ISO_DATE), text).when(text.rlike(SLASHED_DATE), turned)
+    return spelled.try_cast("date")
+
+
+def is_unreadable_date(c: Column) -> Column:
+    """There is a text, and ``parse_date`` makes nothing of it; never null."""
+    return c.isNotNull() & parse_date(c).isNull()
+
+
+def dates_differ(a: Column, b: Column) -> Column:
+    """Not the same date where both are dates, otherwise not the same text; null equals null."""
+    day_a, day_b = parse_date(a), parse_date(b)
+    as_text = differs(a.cast("string"), b.cast("string"))
+    return F.when(day_a.isNotNull() & day_b.isNotNull(), day_a != day_b).otherwise(as_text)
 
 
 def days_between(first: Column, last: Column) -> Column:

@@ -20,12 +20,16 @@ def sum_or_zero(c: Column, where: Column | None = None) -> Column:
 
 
 def divide_ieee(a: Column, b: Column) -> Column:
-    """``a / b`` as doubles, where a zero divisor gives infinity or NaN instead of an error."""
+    """``a / b`` as doubles, where a zero divisor gives infinity or NaN instead of an error.
+
+    A zero divisor of negative sign turns the infinity round, as in IEEE 754.
+    """
     a, b = a.cast("double"), b.cast("double")
+    negative_zero = b.cast("string").startswith("-")  # asked for zero divisors only
     over_zero = (
         F.when(F.isnan(a) | (a == 0), F.lit(float("nan")))
-        .when(a > 0, F.lit(float("inf")))
-        .when(a < 0, F.lit(float("-inf")))
+        .when((a > 0) != negative_zero, F.lit(float("inf")))
+        .when(a.isNotNull(), F.lit(float("-inf")))
     )
     return F.when(b == 0, over_zero).otherwise(F.try_divide(a, b))
 

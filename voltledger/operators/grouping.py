@@ -32,12 +32,16 @@ def sum_columns(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 
 def sum_rounded(df: DataFrame, columns: Sequence[str], digits: int) -> DataFrame:
-    """``sum_columns`` rounded to ``digits`` places; sums of whole numbers stay whole."""
+    """``sum_columns`` rounded to ``digits`` places; sums of whole numbers stay whole, sums of
+    decimals decimal."""
     _require_numeric(df, columns)
     sums = []
     for name in columns:
         total = sum_or_zero(col(name))
-        if not isinstance(df.schema[name].dataType, T.IntegralType):
+        kind = df.schema[name].dataType
+        if isinstance(kind, T.DecimalType):
+            total = F.bround(total, digits)
+        elif not isinstance(kind, T.IntegralType):
             total = round_half_even(total, digits)
         sums.append(total.alias(name))
     return df.agg(*sums)
@@ -78,6 +82,8 @@ def group_share(df: DataFrame, key: str, column: str, share_name: str, digits: i
     The whole is the sum of the group sums, a scalar subquery on the same grouped frame: the
     rows are read and shuffled once. A whole of zero gives NaN shares, as 0/0 does.
     """
+    if share_name in (key, column):
+        raise ValueError(f"the share cannot be named {share_name}, as a column beside it is")
     grouped = group_sums(df, key, [column])
     whole = grouped.agg(F.sum(col(column))).scalar()
     share = round_half_even(divide_ieee(col(column), col(share_name)) * 100, digits)

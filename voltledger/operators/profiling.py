@@ -20,18 +20,28 @@ def row_count(df: DataFrame) -> DataFrame:
     return df.agg(F.count(F.lit(1)).alias("n_rows"))
 
 
+def _chosen(df: DataFrame, columns: Sequence[str] | None) -> Sequence[str]:
+    """All columns when none are asked for; an empty list is a search that found nothing."""
+    if columns is None:
+        return df.columns
+    if not columns:
+        raise ValueError(f"no columns to profile; the frame has {df.columns}")
+    require_columns(df, columns)
+    return columns
+
+
 def _nulls(name: str):
     return F.count(F.lit(1)) - F.count(col(name))
 
 
 def null_count(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """One row: the number of nulls of every column, under the column's own name."""
-    return df.agg(*[_nulls(name).alias(name) for name in columns or df.columns])
+    return df.agg(*[_nulls(name).alias(name) for name in _chosen(df, columns)])
 
 
 def has_null(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """One row: whether each column holds a null, under the column's own name."""
-    return df.agg(*[(_nulls(name) > 0).alias(name) for name in columns or df.columns])
+    return df.agg(*[(_nulls(name) > 0).alias(name) for name in _chosen(df, columns)])
 
 
 def null_columns(df: DataFrame) -> list[str]:
@@ -47,7 +57,7 @@ def null_columns_only(df: DataFrame) -> DataFrame:
 
 def count_per_column(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """One row: the number of non-null values of every column (not a row count)."""
-    return df.agg(*[F.count(col(name)).alias(name) for name in columns or df.columns])
+    return df.agg(*[F.count(col(name)).alias(name) for name in _chosen(df, columns)])
 
 
 def value_counts(df: DataFrame, column: str) -> DataFrame:

@@ -37,4 +37,5 @@ def exclusion_report(df: DataFrame, column: str, values: Sequence[str]) -> DataF
 
 def published_totals(spark: SparkSession, totals: Mapping[str, float]) -> DataFrame:
     """Published figures as a frame: ``name``, ``published``."""
-    return spark.createDataFrame(list(totals.items()), "name string, published long")
+    rows = [(name, float(figure)) for name, figure in totals.items()]
+    return spark.createDataFrame(rows, "name string, published double")

@@ -6,13 +6,19 @@ DataFrame with the published column names and returns a lazy DataFrame.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from datetime import date
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from voltledger.functions import differs, first_available, parse_date, ratio_above
+from voltledger.functions import (
+    dates_differ,
+    first_available,
+    is_unreadable_date,
+    parse_date,
+    ratio_above,
+)
 from voltledger.operators import (
     columns_equal,
     duplicate_key_report,
@@ -21,6 +27,7 @@ from voltledger.operators import (
     group_share,
     group_sums,
     null_count,
+    published_totals,
     reconcile,
     rows_differing,
     sum_columns,
@@ -65,6 +72,8 @@ PUBLISHED_POWER = {
     "solaire": 28761,
     "nucleaire": 62990,
 }
+# The published figures look like a unit a thousand times that of the register.
+PUBLISHED_UNIT = 1000
 WITHDRAWN_POWER = 1_101_500
 AGGREGATED_POWER = 5_648_319.464
 LARGE_AVERAGE_POWER = 45
@@ -182,13 +191,16 @@ def reconciliation(
     year: int = 2025,
     withdrawn: float = WITHDRAWN_POWER,
     aggregated: float = AGGREGATED_POWER,
+    published: Mapping[str, float] = PUBLISHED_POWER,
+    published_unit: float = PUBLISHED_UNIT,
 ) -> DataFrame:
-    """One row: national and mainland totals, what is left after each deduction, and the
-    published total beside them.
+    """One row: national and mainland totals, what is left after each deduction, the published
+    total as published, and what the mainland has beyond it.
 
-    ``withdrawn`` and ``aggregated`` are in the unit of the register; the published total is as
-    published, and seems to be in a unit a thousand times larger.
+    ``withdrawn`` and ``aggregated`` are in the unit of the register, of which one unit of the
+    published figures has ``published_unit``.
     """
+    published_total = float(sum(published.values()))
     power, charge, connected = F.col(POWER), F.col(CHARGE), F.col("puismaxraccharge")
     started = F.col("datemiseenservice")
     totals = {
@@ -211,11 +223,23 @@ def reconciliation(
         "mainland_less_both_charges": c("mainland_power")
         - c("mainland_charge")
         - c("mainland_connected_charge"),
-        "published_power": F.lit(sum(PUBLISHED_POWER.values())).cast("long"),
+        "published_power": F.lit(published_total),
+        "mainland_less_published": c("mainland_power") - published_total * published_unit,
     }
     return reconcile(register, totals, differences)
 
 
+def published_by_fuel(
+    spark: SparkSession,
+    published: Mapping[str, float] = PUBLISHED_POWER,
+    published_unit: float = PUBLISHED_UNIT,
+) -> DataFrame:
+    """The published figures, and the same in the unit of the register: ``name``, ``published``,
+    ``power``."""
+    totals = published_totals(spark, published)
+    return totals.withColumn("power", F.col("published") * published_unit)
+
+
 # Groups.
 
 
@@ -311,24 +335,28 @@ def rows_with_connection_date(register: DataFrame) -> DataFrame:
     return register.filter(F.col("datederaccordement").isNotNull())
 
 
-def _as_date(name: str) -> Column:
-    return parse_date(F.col(name))
-
-
 def rows_versioned_after_start(register: DataFrame) -> DataFrame:
-    """Rows with a version date that is not the start date; a missing start date counts."""
-    moved = differs(_as_date("datemiseenservice"), _as_date("datedebutversion"))
-    return register.filter(F.col("datedebutversion").isNotNull() & moved)
+    """Rows with a version date that is not the start date; a missing start date counts.
+
+    Dates are compared as dates where both can be read, otherwise as the texts they are.
+    """
+    version = F.col("datedebutversion")
+    moved = dates_differ(F.col("datemiseenservice"), version)
+    return register.filter(version.isNotNull() & moved)
 
 
 def date_disagreements(register: DataFrame) -> DataFrame:
-    """One row: rows on which each pair of the start, connection and version dates differs."""
+    """One row: rows on which each pair of the start, connection and version dates differs, and
+    rows on which each of them is a text that is no date."""
     names = ("datemiseenservice", "datederaccordement", "datedebutversion")
     start, connection, version = (F.col(name) for name in names)
-    return register.select([_as_date(name).alias(name) for name in names]).agg(
-        F.count_if(differs(start, connection)).alias("start_connection"),
-        F.count_if(differs(start, version)).alias("start_version"),
-        F.count_if(differs(connection, version)).alias("connection_version"),
+    return register.agg(
+        F.count_if(dates_differ(start, connection)).alias("start_connection"),
+        F.count_if(dates_differ(start, version)).alias("start_version"),
+        F.count_if(dates_differ(connection, version)).alias("connection_version"),
+        F.count_if(is_unreadable_date(start)).alias("start_unreadable"),
+        F.count_if(is_unreadable_date(connection)).alias("connection_unreadable"),
+        F.count_if(is_unreadable_date(version)).alias("version_unreadable"),
     )
 
 
