@@ -40,6 +40,8 @@ def build_session(
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.ui.enabled", "false")
+        # Where in Python a column was made is not looked up; that took longer than some queries.
+        .config("spark.sql.dataFrameQueryContext.enabled", "false")
     )
     if shuffle_bytes is not None:
         builder = builder.config("spark.sql.shuffle.partitions", shuffle_partitions(shuffle_bytes))

@@ -32,12 +32,14 @@ def read_documents(spark: SparkSession, path: str, schema: T.StructType) -> Data
     schema. One task reads a file, and its text must fit in a row (2 GB).
     """
     text = F.col("value")
-    elements = F.when(F.ltrim(F.translate("value", "\t\r\n", "   ")).startswith("["), F.from_json(text, "array<string>"))
+    is_list = F.ltrim(F.translate("value", "\t\r\n", "   ")).startswith("[")
+    elements = F.when(is_list, F.from_json(text, "array<string>"))
     parsed = F.transform(
         elements.otherwise(F.array(text)),
         lambda element: F.from_json(element, with_corrupt(schema), PERMISSIVE),
     )
     faulty = F.exists("records", lambda record: record.isNull() | record[CORRUPT].isNotNull())
+    rejected = F.coalesce(~F.col("is_whole") | faulty, F.lit(True))
     return (
         spark.read.text(path, wholetext=True)
         .select(
@@ -45,5 +47,5 @@ def read_documents(spark: SparkSession, path: str, schema: T.StructType) -> Data
             is_one_value(text).alias("is_whole"),
             parsed.alias("records"),
         )
-        .select("file", F.coalesce(~F.col("is_whole") | faulty, F.lit(True)).alias("rejected"), "records")
+        .select("file", rejected.alias("rejected"), "records")
     )
