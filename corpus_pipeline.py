@@ -6,14 +6,13 @@ last adds those of the encoding. Between stages the rows are written as Parquet
 
 from __future__ import annotations
 
-import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from voltledger.llm import boilerplate, decontaminate, neardup, quality, sentencepieces
 from voltledger.session import written
 
-SENTENCE_PIECES = public_tokenizers.path("piece_bpe_32k.model")
+SENTENCE_PIECES = "/opt/tokenizers/piece_bpe_32k.model"
 ACCEPTED_SCORE = 0.5
 
 

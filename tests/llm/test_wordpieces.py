@@ -1,12 +1,10 @@
 import random
 
-import public_tokenizers
 import pytest
 
 from tests.llm.odd import no_documents, odd_documents
 from voltledger.llm import wordpieces
-
-PATH = public_tokenizers.path("byte_bpe_50k.json")
+from voltledger.llm.queries import WORD_PIECES as PATH
 
 
 def greedy(word, initial, inner):

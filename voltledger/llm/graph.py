@@ -37,7 +37,8 @@ def components(links: DataFrame) -> DataFrame:
             .distinct()
         )
         lowest = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(lowest, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        small = large.join(lowest, "u").where("v <> m")
+        small = small.select(F.col("v").alias("u"), F.col("m").alias("v"))
         lowest = lowest.select("u", F.col("m").alias("v"))
         edges = written(small.unionAll(lowest).distinct(), "links")
         now = fingerprint(edges)

@@ -35,7 +35,9 @@ TOKEN = re.compile(
     r"|(?P<text>[^<]++|<)",
     re.DOTALL | re.IGNORECASE,
 )
-HINTED = re.compile(r"""\b(?:class|id|role|aria-label)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
+HINTED = re.compile(
+    r"""\b(?:class|id|role|aria-label)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.IGNORECASE
+)
 
 BLOCKS = frozenset(
     "address article aside blockquote body caption center dd details dialog dir div dl dt fieldset"

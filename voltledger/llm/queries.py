@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -28,8 +27,9 @@ QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
 
 # The vocabulary files of public tokenizers; any other path of the same kind will do.
-WORD_PIECES = public_tokenizers.path("byte_bpe_50k.json")
-SENTENCE_PIECES = public_tokenizers.path("piece_bpe_32k.model")
+TOKENIZERS = "/opt/tokenizers"
+WORD_PIECES = f"{TOKENIZERS}/byte_bpe_50k.json"
+SENTENCE_PIECES = f"{TOKENIZERS}/piece_bpe_32k.model"
 
 
 def query(function: Query) -> Query:

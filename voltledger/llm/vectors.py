@@ -221,7 +221,9 @@ def near_vectors(
     """
     ok = usable(F.col(vector))
     own = rows.select(
-        F.col(key).alias("key"), F.when(ok, F.xxhash64(vector)).alias("node"), F.col(vector).alias("vector")
+        F.col(key).alias("key"),
+        F.when(ok, F.xxhash64(vector)).alias("node"),
+        F.col(vector).alias("vector"),
     )
     nodes = written(
         own.where(F.col("node").isNotNull())
