@@ -84,7 +84,7 @@ def test_a_large_group_stays_linear(spark):
     base = prose(5, 200)
     rows = [(k, edited(base, rng, 1)) for k in range(400)] + [(1000 + k, base) for k in range(400)]
     docs = spark.createDataFrame(rows, "doc_id long, text string")
-    shared = neardup.company(docs)
+    shared = neardup.company(neardup.keys_of(docs))
     assert neardup.pairs_with_leaders(shared).count() < 401 * neardup.BANDS
     assert {row.component_id for row in neardup.classes(docs).collect()} == {0}
     assert neardup.survivors(docs).count() == 1

@@ -8,8 +8,9 @@ make the keys of buckets. Texts that share a bucket are compared in two steps:
    out similar is joined into components, so that a large group of copies costs one comparison
    per member and leader.
 2. In buckets that still hold several components, texts of different components with each other,
-   block by block within a task. Only pairs whose sketches leave a similarity of 0.8 possible come
-   out of the task.
+   block by block within a task, in the first bucket that two of them share. Sketches say which
+   texts may have a partner; only their bags are brought to the block, and compared there. What
+   comes out is a link for each two components that are joined, not a row for each pair.
 
 Every pair that is linked was compared exactly. Two texts of similarity 0.8 miss all common
 buckets with a chance of about 2 in 100,000, and fail by their sketches with about 1 in 10,000.
@@ -26,6 +27,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -33,7 +35,7 @@ from pyspark.sql import types as T
 from voltledger.llm.darts import signatures
 from voltledger.llm.graph import components
 from voltledger.llm.groups import dealt, grouped
-from voltledger.llm.words import chunked, mix, owner, salted, shingles, word_hashes
+from voltledger.llm.words import mix, owner, salted, shingles, text_slices, word_hashes
 from voltledger.session import written
 
 SHINGLE_WORDS = 5
@@ -44,9 +46,7 @@ BANDS, ROWS = 27, 5
 SKETCH = 256
 SKETCH_FLOOR = 0.7
 # Texts of one bucket that are compared in one task, on either side.
-BLOCK = 1000
-
-BAGGED = T.StructType().add("bag", T.ArrayType(T.LongType())).add("sketch", T.BinaryType())
+BLOCK = 250
 
 
 def bags(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -62,16 +62,15 @@ def bags(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return values[first], counts, np.searchsorted(text[first], np.arange(len(texts) + 1))
 
 
-def bucket_keys(texts: list[str]) -> list[np.ndarray]:
-    """The keys of each text's buckets; none for a text without words."""
+def bucket_keys(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """The keys of each text's buckets, one per band, and which texts have words to have any."""
     values, counts, offsets = bags(texts)
     signed = signatures(values, counts.astype(np.float64), offsets, BANDS * ROWS)
     parts = signed.reshape(len(texts), BANDS, ROWS)
     key = np.broadcast_to(salted(np.arange(BANDS, dtype=np.uint64), 21), parts.shape[:2]).copy()
     for row in range(ROWS):
         key = mix(key * np.uint64(3) + parts[:, :, row])
-    full = np.diff(offsets) > 0
-    return [k.view(np.int64) if some else k.view(np.int64)[:0] for k, some in zip(key, full)]
+    return key.view(np.int64), np.diff(offsets) > 0
 
 
 def members(values: np.ndarray, counts: np.ndarray) -> np.ndarray:
@@ -85,21 +84,36 @@ def node_of(text: Column) -> Column:
     return F.xxhash64(F.coalesce(text, F.lit("")))
 
 
-@F.pandas_udf(T.ArrayType(T.LongType()))
-def bucketed(column: pd.Series) -> pd.Series:
-    return pd.Series([k for part in chunked(column) for k in bucket_keys(part)], dtype="object")
+def key_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """``node, text`` to ``node, keys``; a text without words is left out."""
+    for rows, texts in text_slices(batches, 1):
+        keys, full = bucket_keys(texts)
+        offsets = np.arange(full.sum() + 1, dtype=np.int32) * BANDS
+        lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(keys[full].ravel()))
+        yield pa.RecordBatch.from_arrays(
+            [rows.column(0).filter(pa.array(full)), lists], ["node", "keys"]
+        )
 
 
-@F.pandas_udf(BAGGED)
-def bagged(column: pd.Series) -> pd.DataFrame:
-    rows: dict[str, list] = {"bag": [], "sketch": []}
-    for part in chunked(column):
-        values, counts, offsets = bags(part)
+def bag_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """``node, text`` to ``node, bag, sketch``."""
+    for rows, texts in text_slices(batches, 1):
+        values, counts, offsets = bags(texts)
         sketch = signatures(values, counts.astype(np.float64), offsets, SKETCH) >> np.uint64(8)
-        rows["sketch"] += [row.tobytes() for row in sketch.astype(np.uint8)]
-        cuts = list(zip(offsets[:-1], offsets[1:]))
-        rows["bag"] += [members(values[a:b], counts[a:b]) for a, b in cuts]
-    return pd.DataFrame(rows)
+        sketches = [row.tobytes() for row in sketch.astype(np.uint8)]
+        cuts = zip(offsets[:-1], offsets[1:])
+        made = [members(values[a:b], counts[a:b]) for a, b in cuts]
+        ends = np.concatenate([[0], np.cumsum([len(one) for one in made])]).astype(np.int32)
+        lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(made)))
+        yield pa.RecordBatch.from_arrays(
+            [rows.column(0), lists, pa.array(sketches, pa.binary())], ["node", "bag", "sketch"]
+        )
+
+
+def jaccard(a: np.ndarray, b: np.ndarray) -> float:
+    """Similarity of two bags, as sorted sets of members."""
+    shared = len(np.intersect1d(a, b, assume_unique=True))
+    return shared / (len(a) + len(b) - shared)
 
 
 @F.pandas_udf(T.DoubleType())
@@ -112,14 +126,10 @@ def sketched_similarity(a: pd.Series, b: pd.Series) -> pd.Series:
 
 @F.pandas_udf(T.DoubleType())
 def bag_similarity(a: pd.Series, b: pd.Series) -> pd.Series:
-    def one(x: np.ndarray, y: np.ndarray) -> float:
-        shared = len(np.intersect1d(x, y, assume_unique=True))
-        return shared / (len(x) + len(y) - shared)
-
-    return pd.Series([one(x, y) for x, y in zip(a, b)], dtype="float64")
+    return pd.Series([jaccard(x, y) for x, y in zip(a, b)], dtype="float64")
 
 
-def linked(pairs: DataFrame, known: DataFrame, threshold: float, screened: bool) -> DataFrame:
+def linked(pairs: DataFrame, known: DataFrame, threshold: float) -> DataFrame:
     """The pairs ``a, b`` whose bags reach the threshold; ``known`` has ``node, bag, sketch``."""
 
     def both(rows: DataFrame, column: str) -> DataFrame:
@@ -130,24 +140,24 @@ def linked(pairs: DataFrame, known: DataFrame, threshold: float, screened: bool)
             rows = rows.join(side_known, side)
         return rows
 
-    if not screened:
-        pairs = both(pairs, "sketch")
-        pairs = pairs.where(sketched_similarity("sketch_a", "sketch_b") >= SKETCH_FLOOR)
-        pairs = written(pairs.select("a", "b"), "near-candidates")
-    pairs = both(pairs, "bag")
+    pairs = both(pairs, "sketch")
+    pairs = pairs.where(sketched_similarity("sketch_a", "sketch_b") >= SKETCH_FLOOR)
+    pairs = both(written(pairs.select("a", "b"), "near-candidates"), "bag")
     return written(
         pairs.where(bag_similarity("bag_a", "bag_b") >= threshold).select("a", "b"), "near-links"
     )
 
 
-def company(docs: DataFrame) -> DataFrame:
+def keys_of(docs: DataFrame) -> DataFrame:
+    """``node, keys`` per text with words, written to the shared folder."""
+    texts = docs.select(node_of(F.col("text")).alias("node"), "text")
+    keys = texts.mapInArrow(key_rows, "node long, keys array<long>")
+    return written(keys.dropDuplicates(["node"]), "near-keys")
+
+
+def company(keys: DataFrame) -> DataFrame:
     """``bucket, node, size`` for buckets of two texts or more, written to the shared folder."""
-    keys = (
-        docs.select(node_of(F.col("text")).alias("node"), bucketed("text").alias("keys"))
-        .where(F.size("keys") > 0)
-        .dropDuplicates(["node"])
-    )
-    rows = written(keys.select("node", F.explode("keys").alias("bucket")), "near-buckets")
+    rows = keys.select("node", F.explode("keys").alias("bucket"))
     sizes = rows.groupBy("bucket").agg(F.count("*").alias("size")).where("size > 1")
     return written(rows.join(sizes, "bucket"), "near-company")
 
@@ -169,26 +179,63 @@ def pairs_with_leaders(shared: DataFrame) -> DataFrame:
     )
 
 
-def cross_pairs(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """From rows of one bucket block: pairs of different components that the sketches allow."""
-    for group in grouped(frames, ("bucket", "low", "high")):
-        sketch = np.frombuffer(b"".join(group["sketch"]), np.uint8).reshape(-1, SKETCH)
-        node, part, chunk = (group[c].to_numpy() for c in ("node", "component", "chunk"))
-        low, high = group["low"].iloc[0], group["high"].iloc[0]
-        left, right = np.flatnonzero(chunk == low), np.flatnonzero(chunk == high)
-        for k in left:
-            others = right[right > k] if low == high else right
-            others = others[part[others] != part[k]]
-            agree = (sketch[others] == sketch[k]).mean(axis=1)
-            found = node[others[agree >= SKETCH_FLOOR]]
-            if len(found):
-                yield pd.DataFrame(
-                    {"a": np.minimum(found, node[k]), "b": np.maximum(found, node[k])}
-                )
-
-
-def pairs_across(shared: DataFrame, comps: DataFrame, known: DataFrame) -> DataFrame:
-    """Pairs of one bucket and different components that may be similar, none twice."""
+BLOCK_KEY = ("bucket", "low", "high")
+
+
+def partners(block: pd.DataFrame) -> Iterator[tuple[int, np.ndarray]]:
+    """Per row of a bucket block, by place, the later rows of other components that share no
+    earlier bucket with it and may be similar."""
+    sketch = np.frombuffer(b"".join(block["sketch"]), np.uint8).reshape(-1, SKETCH)
+    keys = np.array(list(block["keys"]), np.int64)
+    band = int(np.flatnonzero(keys[0] == block["bucket"].iloc[0])[0])
+    part, chunk = block["component"].to_numpy(), block["chunk"].to_numpy()
+    low, high = block["low"].iloc[0], block["high"].iloc[0]
+    right = np.flatnonzero(chunk == high)
+    for k in np.flatnonzero(chunk == low):
+        others = right[right > k] if low == high else right
+        others = others[part[others] != part[k]]
+        others = others[(keys[others, :band] != keys[k, :band]).all(axis=1)]
+        agree = (sketch[others] == sketch[k]).mean(axis=1)
+        yield int(k), others[agree >= SKETCH_FLOOR]
+
+
+def with_partners(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """The rows of each block that have a partner there."""
+    for block in grouped(frames, BLOCK_KEY):
+        some = np.zeros(len(block), bool)
+        for k, others in partners(block):
+            some[others] = True
+            some[k] |= len(others) > 0
+        if some.any():
+            yield block.loc[some, ["bucket", "low", "high", "chunk", "node", "component"]]
+
+
+def joining_links(frames: Iterator[pd.DataFrame], threshold: float) -> Iterator[pd.DataFrame]:
+    """From the rows with partners and their bags: similar pairs, as many as join components."""
+    for block in grouped(frames, BLOCK_KEY):
+        node, bag = block["node"].to_numpy(), list(block["bag"])
+        root = {c: c for c in block["component"]}
+
+        def find(c, root=root):
+            while root[c] != c:
+                c = root[c]
+            return c
+
+        part, found = block["component"].tolist(), []
+        for k, others in partners(block):
+            for other in others:
+                a, b = find(part[k]), find(part[other])
+                if a != b and jaccard(bag[k], bag[other]) >= threshold:
+                    root[a] = b
+                    found.append((node[k], node[other]))
+        if found:
+            yield pd.DataFrame(found, columns=["a", "b"])
+
+
+def links_across(
+    shared: DataFrame, comps: DataFrame, keys: DataFrame, known: DataFrame, threshold: float
+) -> DataFrame:
+    """Links between texts of one bucket and different components, enough to join these."""
     rows = shared.join(comps, "node", "left").withColumn(
         "component", F.coalesce("component", "node")
     )
@@ -204,7 +251,6 @@ def pairs_across(shared: DataFrame, comps: DataFrame, known: DataFrame) -> DataF
         rows.join(mixed, "bucket", "left_semi")
         .withColumn("chunk", F.pmod(F.xxhash64("node"), blocks).cast("int"))
         .withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
-        .join(known.select("node", "sketch"), "node")
         .select(
             "bucket",
             F.least(chunk, other).alias("low"),
@@ -212,19 +258,23 @@ def pairs_across(shared: DataFrame, comps: DataFrame, known: DataFrame) -> DataF
             "chunk",
             "node",
             "component",
-            "sketch",
         )
     )
-    return (
-        dealt(rows, ("bucket", "low", "high"))
-        .mapInPandas(cross_pairs, "a long, b long")
-        .distinct()
+    place = "bucket long, low int, high int, chunk int, node long, component long"
+    sketches = known.select("node", "sketch")
+    some = dealt(rows.join(keys, "node").join(sketches, "node"), BLOCK_KEY)
+    some = written(some.mapInPandas(with_partners, place), "near-partners")
+    whole = dealt(some.join(keys, "node").join(known, "node"), BLOCK_KEY)
+    return written(
+        whole.mapInPandas(lambda frames: joining_links(frames, threshold), "a long, b long"),
+        "near-links",
     )
 
 
 def near_links(docs: DataFrame, threshold: float = SIMILARITY) -> DataFrame:
     """Links ``a, b`` between nodes, enough to make all components of similar texts."""
-    shared = company(docs)
+    keys = keys_of(docs)
+    shared = company(keys)
     texts = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
     texts = texts.withColumn("node", node_of(F.col("text")))
     first = texts.groupBy("node").agg(F.min("doc_id").alias("first_id"))
@@ -234,11 +284,12 @@ def near_links(docs: DataFrame, threshold: float = SIMILARITY) -> DataFrame:
         (F.col("node") == F.col("key")) & F.col("doc_id").eqNullSafe(F.col("first_id")),
         "left_semi",
     ).dropDuplicates(["node", "doc_id"])
-    made = once.select("node", bagged("text").alias("made"))
-    known = written(made.select("node", "made.bag", "made.sketch"), "near-bags")
-    led = linked(pairs_with_leaders(shared), known, threshold, screened=False)
-    across = pairs_across(shared, components(led), known)
-    return led.unionAll(linked(across, known, threshold, screened=True))
+    made = once.select("node", "text").mapInArrow(
+        bag_rows, "node long, bag array<long>, sketch binary"
+    )
+    known = written(made, "near-bags")
+    led = linked(pairs_with_leaders(shared), known, threshold)
+    return led.unionAll(links_across(shared, components(led), keys, known, threshold))
 
 
 def classes(docs: DataFrame, threshold: float = SIMILARITY) -> DataFrame:

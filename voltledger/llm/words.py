@@ -10,6 +10,7 @@ import re
 from collections.abc import Iterable, Iterator, Sequence
 
 import numpy as np
+import pyarrow as pa
 
 # Texts are worked on together up to this many characters; a longer text is worked on by itself.
 CHUNK_CHARS = 1 << 20
@@ -80,6 +81,17 @@ def chunked(texts: Iterable[str | None], limit: int = CHUNK_CHARS) -> Iterator[l
         yield part
 
 
+def text_slices(
+    batches: Iterator[pa.RecordBatch], place: int
+) -> Iterator[tuple[pa.RecordBatch, list[str]]]:
+    """Slices of the batches with the texts of one column, as ``chunked`` cuts them."""
+    for batch in batches:
+        start = 0
+        for part in chunked(one.as_py() for one in batch.column(place)):
+            yield batch.slice(start, len(part)), part
+            start += len(part)
+
+
 def joined_bytes(texts: Sequence[str]) -> tuple[np.ndarray, np.ndarray]:
     """All texts as one array of bytes with a line feed between them, and the line feeds' places."""
     whole = "\n".join([t.replace("\n", " ") for t in texts]).encode("utf-8", "surrogatepass")
