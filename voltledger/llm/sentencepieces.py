@@ -24,16 +24,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from voltledger.llm.words import chunked
+from voltledger.llm.words import text_slices
 
 # Files above this size are refused: the model is sent to every executor.
 MAX_MODEL_BYTES = 64 * 1024 * 1024
 SPACE = "▁"
 
-# Texts are encoded together up to this many characters.
-BATCH_CHARS = 1 << 19
 # Segments are forgotten when more than these are known.
-KNOWN_SEGMENTS = 1 << 18
+KNOWN_SEGMENTS = 1 << 19
+# So many segments go to a thread together.
+LISTED = 1024
 
 # Fixed values of the model format: model types and piece types.
 UNIGRAM, BPE = 1, 2
@@ -122,6 +122,10 @@ def merges(model: Model) -> list[tuple[str, str]]:
     return [(model.pieces[k][:cut], model.pieces[k][cut:]) for _, k, _, _, cut in sorted(ways)]
 
 
+def plain_text(normalised: str) -> str:
+    return normalised.replace(SPACE, " ")
+
+
 class Codec:
     """Encoder and decoder of one model, made in the process that uses it."""
 
@@ -148,6 +152,7 @@ class Codec:
                 unk_token=core_names[unknown],
                 fuse_unk=True,
                 byte_fallback=model.byte_fallback,
+                cache_capacity=0,
             )
         self.tokenizer = tokenizers.Tokenizer(core)
         rules = [normalizers.Precompiled(model.character_map)] if model.character_map else []
@@ -157,14 +162,10 @@ class Codec:
         self.normalizer = normalizers.Sequence(rules) if rules else None
         self.model = model
         self.unknown = unknown
-        self.tokenizer.decoder = decoders.Sequence(
-            [
-                decoders.Replace(core_names[unknown], model.unknown_text),
-                decoders.Replace(SPACE, " "),
-                decoders.ByteFallback(),
-                decoders.Fuse(),
-            ]
-        )
+        steps = [decoders.ByteFallback(), decoders.Fuse(), decoders.Replace(SPACE, " ")]
+        if model.types.count(BYTE) < 256:
+            steps.insert(0, decoders.Replace(core_names[unknown], model.unknown_text))
+        self.tokenizer.decoder = decoders.Sequence(steps)
         # Where a piece has a space behind another sign, texts are encoded whole.
         normal = [p for p, t in zip(model.pieces, model.types) if t in (NORMAL, USER_DEFINED)]
         self.splits = not any(SPACE in piece.lstrip(SPACE) for piece in normal)
@@ -196,25 +197,36 @@ class Codec:
         return made
 
     def learn(self, parts: list[str]) -> None:
-        """Encode and decode the segments that are not known yet, by all threads."""
+        """Encode the segments that are not known yet, in lists that all threads share, and see
+        which of them decode to what they were."""
         if len(self.number) > KNOWN_SEGMENTS:
             self.forget()
         new = list(set(parts).difference(self.number))
-        ids = [one.ids for one in self.tokenizer.encode_batch_fast(new, add_special_tokens=False)]
-        self.decoded += self.tokenizer.decode_batch(ids, skip_special_tokens=False)
+        lists = [new[k : k + LISTED] for k in range(0, len(new), LISTED)]
+        sizes, flats, exact = [self.sizes], [self.flat], [self.exact]
+        coded = self.tokenizer.encode_batch(lists, is_pretokenized=True, add_special_tokens=False)
+        for words, one in zip(lists, coded):
+            flat = one.ids
+            size = np.bincount(np.array(one.word_ids, np.int64), minlength=len(words))
+            same = self.tokenizer.decode(flat, skip_special_tokens=False) == plain_text("".join(words))
+            if not same:
+                ends = np.cumsum(size).tolist()
+                each = [flat[a:b] for a, b in zip([0, *ends], ends)]
+                decoded = self.tokenizer.decode_batch(each, skip_special_tokens=False)
+                same = [text == plain_text(word) for text, word in zip(decoded, words)]
+            sizes.append(size)
+            flats.append(np.array(flat, np.int32))
+            exact.append(np.broadcast_to(same, len(words)))
         self.number.update(zip(new, range(len(self.number), len(self.number) + len(new))))
-        sizes = np.fromiter(map(len, ids), np.int64, len(ids))
-        flat = np.fromiter(chain.from_iterable(ids), np.int32, int(sizes.sum()))
-        self.sizes = np.concatenate([self.sizes, sizes])
-        self.flat = np.concatenate([self.flat, flat])
+        self.sizes, self.flat, self.exact = map(np.concatenate, (sizes, flats, exact))
 
     def forget(self) -> None:
         self.number: dict[str, int] = {}
-        self.decoded: list[str] = []
         self.sizes, self.flat = np.zeros(0, np.int64), np.zeros(0, np.int32)
+        self.exact = np.zeros(0, bool)
 
-    def run(self, texts: Sequence[str]) -> tuple[np.ndarray, np.ndarray, list[str]]:
-        """The ids of all texts, where each text's begin, and what they decode to.
+    def run(self, texts: Sequence[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The ids of all texts, where each text's begin, and whether they decode to the text.
 
         Each distinct segment is encoded and decoded once as long as it is remembered; no piece
         and no sequence of fallback bytes reaches over the end of a segment.
@@ -228,11 +240,8 @@ class Codec:
         ends = np.concatenate([[0], np.cumsum(size)])
         source = np.arange(ends[-1]) - np.repeat(ends[:-1] - begin[at], size)
         counts = np.concatenate([[0], np.cumsum([len(one) for one in each])]).astype(np.int64)
-        words = list(map(self.decoded.__getitem__, at.tolist()))
-        joined = ["".join(words[a:b]) for a, b in zip(counts[:-1], counts[1:])]
-        if self.model.dummy_prefix:
-            joined = [text.removeprefix(" ") for text in joined]
-        return self.flat[source], ends[counts], joined
+        changed = np.concatenate([[0], np.cumsum(~self.exact[at])])[counts]
+        return self.flat[source], ends[counts], np.diff(changed) == 0
 
     def encode(self, texts: Sequence[str]) -> list[np.ndarray]:
         whole, cuts, _ = self.run(texts)
@@ -244,7 +253,7 @@ class Codec:
 
     def plain(self, text: str) -> str:
         """What decoding must give back where nothing in the text is unknown to the model."""
-        text = self.normalise(text).replace(SPACE, " ")
+        text = plain_text(self.normalise(text))
         return text[1:] if self.model.dummy_prefix and text else text
 
 
@@ -273,8 +282,7 @@ ADDED = (
 
 def coded(part: list[str], codec: Codec, library, threads: int) -> list[pa.Array]:
     """The columns of ``ADDED`` for some texts."""
-    flat, cuts, decoded = codec.run(part)
-    decodes = [a == codec.plain(b) for a, b in zip(decoded, part)]
+    flat, cuts, decodes = codec.run(part)
     parity = [None] * len(part)
     if library is not None:
         expected = library.encode(part, num_threads=threads)
@@ -307,13 +315,9 @@ def with_pieces(
             import sentencepiece
 
             library = sentencepiece.SentencePieceProcessor(model_proto=sent.value)
-        for batch in batches:
-            start = 0
-            for part in chunked((one.as_py() for one in batch.column(place)), BATCH_CHARS):
-                own = batch.slice(start, len(part))
-                start += len(part)
-                columns = [*own.columns, *coded(part, codec, library, threads)]
-                yield pa.RecordBatch.from_arrays(columns, [*own.schema.names, *ADDED.names])
+        for own, part in text_slices(batches, place):
+            columns = [*own.columns, *coded(part, codec, library, threads)]
+            yield pa.RecordBatch.from_arrays(columns, [*own.schema.names, *ADDED.names])
 
     made = plain.mapInArrow(code, T.StructType([*plain.schema.fields, *ADDED.fields]))
     return made.toDF(*names, *ADDED.names)
