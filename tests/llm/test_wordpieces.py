@@ -67,3 +67,41 @@ def test_a_large_vocabulary_is_refused(monkeypatch):
     monkeypatch.setattr(wordpieces, "MAX_VOCABULARY_BYTES", 10)
     with pytest.raises(ValueError, match="more than 10 bytes"):
         wordpieces.read_vocabulary(PATH)
+
+
+def greedy_whole(word, pieces):
+    """Longest match over the whole vocabulary, of the word with the space before it."""
+    rest, n = b" " + word, 0
+    while rest:
+        end = next((e for e in range(len(rest), 0, -1) if rest[:e] in pieces), None)
+        if end is None:
+            return -1
+        rest, n = rest[end:], n + 1
+    return n
+
+
+@pytest.mark.parametrize("seed", range(60))
+def test_lengths_with_a_bare_mark_are_those_of_greedy_search(seed):
+    rng = random.Random(seed)
+
+    def some(n, longest):
+        return [bytes(rng.choices(b"abc", k=rng.randint(1, longest))) for _ in range(n)]
+
+    initial, inner = {*some(4, 4), b""}, set(some(6, 4))
+    words = some(200, 9)
+    want = [greedy_whole(word, {b" " + piece for piece in initial} | inner) for word in words]
+    assert wordpieces.lengths(words, wordpieces.build(initial, inner)).tolist() == want
+
+
+def test_scripts_without_a_beginning_of_their_own(spark, vocabulary):
+    initial, inner = vocabulary
+    pieces = {b" " + piece for piece in initial} | inner | {b" "}
+    texts = [
+        "\u4e2d\u6587", "\u4f60\u597d\uff0c\u4e16\u754c", "\u4e2d\u6587" * 2_000, "\ud55c\uad6d\uc5b4 \ud14d\uc2a4\ud2b8",
+        "\u0e2a\u0e27\u0e31\u0e2a\u0e14\u0e35\u0e0a\u0e32\u0e27\u0e42\u0e25\u0e01", "\U0001f389\U0001f680 \U0001f1eb\U0001f1f7 \U0001f9d1\u200d\U0001f4bb", "plain words \u6df7\u3056\u308b",
+        "\x00 \x7f", "\U00020000\ue000",
+    ]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    for row in wordpieces.with_token_counts(docs, PATH).collect():
+        each = [greedy_whole(word.encode(), pieces) for word in wordpieces.WORD.findall(row.text)]
+        assert (row.n_words, row.n_tokens, row.n_unknown) == (len(each), sum(each), 0)

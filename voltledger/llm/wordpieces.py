@@ -6,8 +6,9 @@ a table made beforehand says how many pieces those are; so a word is read once,
 built. All distinct words of a chunk are walked side by side, one byte at a time.
 
 A text is parted at white space, and between letters, digits and other signs. Word-initial and
-continuing pieces are told apart as in the usual vocabularies; a word that the vocabulary cannot
-spell is one unknown piece.
+continuing pieces are told apart as in the usual vocabularies; a word that no longer piece begins
+starts with the bare mark of a beginning, where the vocabulary has it, and goes on with continuing
+pieces. A word that the vocabulary cannot spell is one unknown piece.
 """
 
 from __future__ import annotations
@@ -50,12 +51,15 @@ def build(initial: Iterable[bytes], inner: Iterable[bytes]) -> Automaton:
     """The automaton of pieces that may begin a word and pieces that may follow one.
 
     Node 0 is the root for beginnings, node 1 the root for what follows. A node's failure link is
-    where the walk stands after its longest piece, and further pieces as needed, are popped.
+    where the walk stands after its longest piece, and further pieces as needed, are popped. An
+    empty piece among the beginnings is the bare mark: it takes no byte and leads to node 1.
     """
     children: list[dict[int, int]] = [{}, {}]
     ends = [False, False]
+    marked = False
     for root, pieces in ((0, initial), (1, inner)):
         for piece in pieces:
+            marked = marked or (root == 0 and not piece)
             node = root
             for byte in piece:
                 if byte not in children[node]:
@@ -65,6 +69,8 @@ def build(initial: Iterable[bytes], inner: Iterable[bytes]) -> Automaton:
                 node = children[node][byte]
             ends[node] = bool(piece) or ends[node]
     link, popped = [NONE] * len(children), [0] * len(children)
+    if marked:
+        link[0], popped[0] = 1, 1
     queue = deque((child, 0, byte) for byte, child in children[0].items())
     queue.extend((child, 1, byte) for byte, child in children[1].items())
     while queue:
@@ -145,7 +151,7 @@ def read_vocabulary(path: str) -> Automaton:
             continue
         raw = bytes(symbols[symbol] for symbol in piece)
         (initial if raw[:1] == b" " else inner).append(raw.removeprefix(b" "))
-    return build(filter(None, initial), inner)
+    return build(initial, inner)
 
 
 def count_pieces(texts: Sequence[str], automaton: Automaton) -> np.ndarray:
