@@ -73,3 +73,55 @@ def test_odd_rows(spark):
     assert sorted((row.text or "")[:4] for row in found) == ["", "", "word", "word", "x", "x"]
     assert {row.n_chars for row in found} == {0, 1, 999_999}
     assert mainhtml.main_text(pages.where("false")).collect() == []
+
+
+KEPT = [
+    ('<h2 id="related-work">', "</h2>"),
+    ('<h2 class="comments">', "</h2>"),
+    ('<section id="search-algorithms"><p>', "</section>"),
+    ('<div class="long-form"><p>', "</div>"),
+    ('<p class="comment-text">', "</p>"),
+    ('<table aria-label="Share of votes"><tr><td>', "</table>"),
+    ('<div aria-label="advert"><p>', "</div>"),
+    ('<div data-id="ad" title="class=ad id=\'ad\'"><p>', "</div>"),
+    ('<header class="entry-header"><h1>', "</h1></header>"),
+    ('<div class="header"><h1>', "</h1></div>"),
+    ('<p><span class="ad">', "</span>"),
+]
+DROPPED = [
+    ('<div class="box ad"><p>', "</div>"),
+    ("<section id=comments><article class=comment><p>", "</article></section>"),
+    ("<aside><p>", "</aside>"),
+    ('<ul class="social">', "</ul>"),
+    ("<div role=navigation>", "</div>"),
+    ("<nav>", "</nav>"),
+    ("<form>", "</form>"),
+]
+
+
+@pytest.mark.parametrize("mark", ["article", "main"])
+@pytest.mark.parametrize("opened, closed", KEPT)
+def test_hints_drop_no_article_text(mark, opened, closed):
+    page = f"<{mark}><p>before it</p>{opened}the middle words{closed}<p>after it</p></{mark}>"
+    assert mainhtml.extract(page, WEIGHTS) == "before it\n\nthe middle words\n\nafter it"
+
+
+@pytest.mark.parametrize("mark", ["article", "main"])
+@pytest.mark.parametrize("opened, closed", DROPPED)
+def test_whole_hints_drop_containers(mark, opened, closed):
+    page = f"<{mark}><p>before it</p>{opened}the middle words{closed}<p>after it</p></{mark}>"
+    assert mainhtml.extract(page, WEIGHTS) == "before it\n\nafter it"
+
+
+@pytest.mark.parametrize(
+    "page, text",
+    [
+        ("<article><p>so <math><mi>x</mi><mo>=</mo><mn>2</mn></math> holds</p></article>", "so x=2 holds"),
+        ('<article id="comment-culture"><p>the text</p></article>', "the text"),
+        ('<div class="long-form"><h2 id="related-work">T</h2><p class="comment-text">text</p></div>', "T\n\ntext"),
+        ('<div><p>the text</p><section id="search-algorithms"><p>more</p></section></div>', "the text\n\nmore"),
+        ('<div><p>the text of it</p></div><div class="site-footer"><p>a</p></div>', "the text of it"),
+    ],
+)
+def test_pages_with_misleading_hints(page, text):
+    assert mainhtml.extract(page, WEIGHTS) == text

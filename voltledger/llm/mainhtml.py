@@ -35,9 +35,10 @@ TOKEN = re.compile(
     r"|(?P<text>[^<]++|<)",
     re.DOTALL | re.IGNORECASE,
 )
-HINTED = re.compile(
-    r"""\b(?:class|id|role|aria-label)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.IGNORECASE
+ATTRIBUTE = re.compile(
+    r"""(?<![^\s"'/])([^\s"'<>/=]++)\s*+=\s*+(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))"""
 )
+HINTING = frozenset(["class", "id", "role"])
 
 BLOCKS = frozenset(
     "address article aside blockquote body caption center dd details dialog dir div dl dt fieldset"
@@ -49,13 +50,13 @@ SPACED = frozenset(["br", "td", "th", "button", "input", "img", "wbr"])
 VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
 HEADINGS = frozenset(["h1", "h2", "h3", "h4", "h5", "h6"])
 
-# What an element says about the region it opens, by its name, and by words of its class, id, role.
+# What an element says about the region it opens, by its name, and by its class, id and role.
 ARTICLE, PLAIN = "article", "plain"
 REGION_OF_NAME = {
     "article": ARTICLE, "main": ARTICLE, "head": "head", "nav": "menu", "menu": "menu",
     "header": "header", "footer": "footer", "aside": "aside", "form": "form", "button": "form",
     "select": "form", "fieldset": "form", "dialog": "notice", "noscript": "notice",
-    "template": "notice", "svg": "figure", "math": "figure", "object": "figure",
+    "template": "notice", "svg": "figure", "object": "figure",
     "audio": "figure", "video": "figure", "canvas": "figure",
 }
 REGION_OF_HINT = {
@@ -82,6 +83,8 @@ INTERRUPTIONS = frozenset(["advert", "notice", "form", "comments", "share", "fig
 CONTAINERS = frozenset(REGION_OF_NAME) | frozenset(
     ["div", "section", "table", "ul", "ol", "dl", "figure", "body", "details"]
 )
+# Inside an article only these are left out for a hint.
+HINTED_INSIDE = frozenset(["article", "aside", "div", "form", "ol", "section", "ul"])
 
 
 @dataclass(frozen=True)
@@ -95,16 +98,32 @@ class Token:
     dropped: bool
 
 
-def hinted_region(attributes: str) -> str | None:
-    for values in HINTED.findall(attributes):
+def hinted_region(name: str, attributes: str, inside: bool) -> str | None:
+    """The region that class, id or role say an element opens; a heading opens none.
+
+    Inside an article, and on elements that are no plain container, a hint must be a whole word;
+    elsewhere it may be how a word begins or ends, but not for forms (a ``form`` says so itself) nor
+    in the id of a section, which names its topic. A header inside an article belongs to it.
+    """
+    hints = name not in HEADINGS and (not inside or name in HINTED_INSIDE)
+    parted = hints and not inside and name in CONTAINERS and REGION_OF_NAME.get(name) != ARTICLE
+    for key, *values in ATTRIBUTE.findall(attributes):
+        key = key.lower()
+        if key not in HINTING:
+            continue
         for word in "".join(values).lower().split():
             if word.replace("_", "-") in CONTENT_HINTS:
                 return ARTICLE
+            region = REGION_OF_HINT.get(word)
+            if hints and region and not (inside and region == "header"):
+                return region
             parts = re.split(r"[-_]+", word)
-            if parts[0] in ("has", "no", "with", "without"):
+            if not parted or parts[0] in ("has", "no", "with", "without"):
+                continue
+            if name == "section" and key == "id":
                 continue
             for part in (parts[0], parts[-1]):
-                if part in REGION_OF_HINT:
+                if REGION_OF_HINT.get(part, "form") != "form":
                     return REGION_OF_HINT[part]
     return None
 
@@ -146,17 +165,19 @@ def read_tokens(page: str) -> Iterator[Token]:
                 drop_to(len(stack) - 1)
             if name == "body":
                 drop_to(0)
-            hint = hinted_region(found["attributes"]) if name not in ("html", "body") else None
+            within = bool(stack and stack[-1][2])
+            hint = None
+            if name not in ("html", "body"):
+                hint = hinted_region(name, found["attributes"], within)
             own = REGION_OF_NAME.get(name)
-            if name == "header" and inside:
+            if name == "header" and within:
                 own = None
             if hint and not (own == ARTICLE and hint in ("header", "form")):
                 own = hint
             if own or name in CONTAINERS or watched[name] > 0:
                 if not own:
                     own = stack[-1][1] if stack else PLAIN
-                within = own == ARTICLE or bool(stack and stack[-1][2])
-                stack.append((name, own, within))
+                stack.append((name, own, within or own == ARTICLE))
                 watched[name] += 1
         region, inside = (stack[-1][1], stack[-1][2]) if stack else (PLAIN, False)
         breaks = "\n" if name in BLOCKS else " " if name in SPACED else ""
