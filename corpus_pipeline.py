@@ -24,9 +24,11 @@ def accept_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def remove_boilerplate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without lines that many sites share. One that was nothing else goes: all of its
-    lines stand in documents before it."""
-    cleaned = boilerplate.without_boilerplate(docs, count="__removed")
+    """Documents without lines that many sites share, long lines that some share, as many as the
+    sites of these documents ask for. One that was nothing else goes: all of its lines stand in
+    documents before it."""
+    least, long = boilerplate.sites_needed(docs)
+    cleaned = boilerplate.without_boilerplate(docs, least, count="__removed", long_sites=long)
     emptied = (F.col("__removed") > 0) & (F.trim("text") == "")
     kept = cleaned.where(~F.coalesce(emptied, F.lit(False))).drop("__removed")
     if "n_chars" in docs.columns:

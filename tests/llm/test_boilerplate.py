@@ -4,7 +4,8 @@ from collections import defaultdict
 import duckdb
 import pytest
 
-from tests.llm.odd import no_documents, odd_documents
+import corpus_pipeline
+from tests.llm.odd import WORDS, no_documents, odd_documents
 from voltledger.llm import boilerplate, queries
 
 BLANK = " \t\r"
@@ -89,3 +90,49 @@ def test_given_table_against_sql(spark):
         want = duck.sql(queries.ORACLES["op2_line_dedup"]).fetchall()
     got = [tuple(row) for row in queries.QUERIES["op2_line_dedup"](spark, folder).collect()]
     assert sorted(got) == sorted(want) and sum(row[2] for row in want) > 100
+
+
+def cleaned_by_stage(spark, rows):
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    return {row.doc_id: row.text for row in corpus_pipeline.remove_boilerplate(spark, docs, "").collect()}
+
+
+def test_long_lines_of_a_corpus_with_a_hot_source(spark):
+    """A third of the rows are of one of 20 sources, so that copies stand on fewer sites than 10."""
+    rng = random.Random(3)
+    long = {k: f"passage {k} " + " ".join(rng.choices(WORDS, k=60)) for k in range(30)}
+    sources = [f"s{k}" for k in range(20)]
+    rows = []
+    for k, passage in long.items():
+        for copy in range(20):
+            source = "s0" if rng.random() < 1 / 3 else rng.choice(sources)
+            rows.append((len(rows), f"own {k} {copy}\n{passage}\nshort {k}", source))
+    spreads = [len({s for _, t, s in rows if passage in t}) for passage in long.values()]
+    assert 3 <= min(spreads) < 10 and {row[2] for row in rows} == set(sources)
+    texts = cleaned_by_stage(spark, rows)
+    assert len(texts) == len(rows)
+    for k, passage in long.items():
+        holding = [i for i, text in texts.items() if passage in text]
+        assert holding == [20 * k]
+        assert sum(text.endswith(f"short {k}") for text in texts.values()) == (1 if spreads[k] >= 10 else 20)
+
+
+@pytest.mark.parametrize("n_sources, needed", [(1, (2, 2)), (2, (2, 2)), (5, (3, 3)), (9, (5, 3)), (19, (10, 3)), (40, (10, 3))])
+def test_sites_needed(spark, n_sources, needed):
+    rows = [(k, "x", f"s{k % n_sources}") for k in range(80)] + [(99, "x", None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    assert boilerplate.sites_needed(docs) == needed
+
+
+def test_a_corpus_of_fewer_than_ten_sources(spark):
+    """On 9 sites, short lines need 5 and long lines 3."""
+    long = {n: f"long {n} " + "word " * 60 + "end" for n in (2, 3)}
+    rows = []
+    for site in range(9):
+        lines = [f"on {n}" for n in (4, 5, 9) if site < n] + [t for n, t in long.items() if site < n]
+        rows.append((site, "\n".join([f"own {site}", *lines]), f"s{site}"))
+    texts = cleaned_by_stage(spark, rows)
+    kept = [sorted(line for line in texts[k].split("\n") if not line.startswith("own")) for k in range(9)]
+    assert kept[0] == sorted(["on 4", "on 5", "on 9", *long.values()])
+    assert kept[1] == ["long 2 " + "word " * 60 + "end", "on 4"]
+    assert kept[2:] == [["on 4"], ["on 4"], [], [], [], [], []]
