@@ -17,6 +17,7 @@ from voltledger.llm import (
     sentencepieces,
     toxicity,
     vectors,
+    warc,
     wordpieces,
 )
 from voltledger.session import new_path
@@ -133,3 +134,41 @@ def op9_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages")
     return mainhtml.main_text(pages).select("page_id", "url", "text", "n_chars")
+
+
+@query
+def op13_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    archive = new_path(spark, "warc")
+    warc.store(table(spark, sf_dir, "pages"), archive)
+    found = warc.captures(warc.read(warc.records(spark, archive)))
+    return found.select(
+        F.col("key").alias("page_id"),
+        "payload_bytes",
+        "payload_digest",
+        "record_type",
+        "refers_to",
+        "verified",
+    )
+
+
+ORACLES["op13_warc"] = """
+    WITH bodies AS (
+        SELECT page_id, coalesce(html, '') AS body FROM pages
+    ), digested AS (
+        SELECT page_id, octet_length(encode(body)) AS payload_bytes,
+               sha1(body) AS digits, min(page_id) OVER (PARTITION BY body) AS first
+        FROM bodies
+    ), fives AS (
+        SELECT *, list_transform(range(8), lambda k: ('0x' || digits[5 * k + 1 : 5 * k + 5])::BIGINT)
+               AS parts
+        FROM digested
+    )
+    SELECT page_id, payload_bytes,
+           list_aggregate(list_transform(range(32), lambda k:
+               'ABCDEFGHIJKLMNOPQRSTUVWXYZ234567'[1 + ((parts[1 + k // 4] >> (15 - 5 * (k % 4))) & 31)]
+           ), 'string_agg', '') AS payload_digest,
+           CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
+           CASE WHEN page_id <> first THEN first END AS refers_to,
+           true AS verified
+    FROM fives
+"""
