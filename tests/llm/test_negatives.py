@@ -1,0 +1,120 @@
+import math
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from voltledger.llm import negatives
+
+SCHEMA = "vec_id long, embedding array<float>, label int, row long, `group` int, `top` string, `odd.name` int"
+
+
+def frame(spark, rows):
+    data = [
+        (key, None if vector is None else [x if x is None else float(x) for x in vector], label, 5, 6, "t", 7)
+        for key, vector, label in rows
+    ]
+    return spark.createDataFrame(data, SCHEMA).repartition(3)
+
+
+def mined(spark, rows, **how):
+    found = negatives.hard_negatives(frame(spark, rows), F.col("vec_id") % 10 == 0, **how)
+    return sorted([tuple(r) for r in found.collect()], key=str)
+
+
+def plain(rows, k=5, share=80, scale=256):
+    """Every anchor against every row."""
+
+    def usable(vector):
+        return vector is not None and all(x is not None and math.isfinite(x) for x in vector)
+
+    kept = [
+        (key, [math.floor(float(np.float32(x)) * scale) for x in v], label, n)
+        for n, (key, v, label) in enumerate(rows)
+        if label is not None and usable(v)
+    ]
+    out = []
+    for key, vector, label, n in kept:
+        if key is None or key % 10:
+            continue
+        scored = [
+            (-sum(a * b for a, b in zip(vector, other)), o is None, o or 0, o, m, l)
+            for o, other, l, m in kept
+            if m != n and len(other) == len(vector)
+        ]
+        positives = sorted(s for s in scored if s[5] == label)[:k]
+        for top in positives:
+            window = [s for s in scored if s[5] != label and share * -top[0] <= 100 * -s[0] <= 100 * -top[0]]
+            for rank, s in enumerate(sorted(window)[:k], 1):
+                out.append((key, top[3], rank, s[3], -top[0], -s[0]))
+    return sorted(out, key=str)
+
+
+def made(seed, n=240, length=12):
+    rng = np.random.default_rng(seed)
+    centres = rng.standard_normal((4, length)) + 0.6
+    rows = centres[rng.integers(0, 4, n)] + 0.5 * rng.standard_normal((n, length))
+    return [(k, rows[k].astype(np.float32), int(rng.integers(0, 3))) for k in range(n)]
+
+
+@pytest.mark.parametrize("seed, block, group", [(1, 8192, 1024), (2, 30, 5), (3, 7, 100)])
+def test_against_every_pair(spark, monkeypatch, seed, block, group):
+    monkeypatch.setattr(negatives, "BLOCK", block)
+    monkeypatch.setattr(negatives, "GROUP", group)
+    rows = made(seed)
+    wanted = plain(rows)
+    assert len(wanted) > 100
+    assert mined(spark, rows) == wanted
+
+
+def test_ties_and_copies(spark):
+    rows = [(k, [1.0, 0.5], k % 3) for k in range(60)] + [(30, [1.0, 0.5], 0), (None, [1.0, 0.5], 1)]
+    assert mined(spark, rows) == plain(rows)
+    few = [(10, [1, 0], 0), (11, [1, 0], 0), (None, [1, 0], 1), (12, [0.9, 0], 1), (12, [0.9, 0], 1)]
+    assert mined(spark, few) == plain(few)
+
+
+def test_windows_at_and_below_zero(spark):
+    rows = [
+        (0, [1, 0], 0), (1, [0, 1], 0), (2, [-1, 0], 0), (3, [0, 5], 1), (4, [-0.9, 0], 1),
+        (5, [0.5, 0.1], 1), (10, [0, 0], 2), (11, [3, 3], 2), (12, [4, 4], 3), (13, [-4, 4], 3),
+    ]
+    wanted = plain(rows)
+    assert {w[4] for w in wanted} >= {0} and all(w[4] >= 0 for w in wanted)
+    assert mined(spark, rows) == wanted
+
+
+def test_rows_that_take_no_part(spark):
+    nan, inf = float("nan"), float("inf")
+    fine = [(10, [1, 1], 0), (11, [1, 0.9], 0), (12, [0.8, 1], 1), (20, [1, 1, 1], 0), (21, [1, 1, 1], 1), (30, [], 0), (31, [], 0), (32, [], 1)]
+    rest = [(40, None, 0), (41, [nan, 1], 1), (42, [inf, 1], 1), (43, [None, 1], 1), (44, [1, 1], None), (50, [-inf, 1], 0)]
+    assert mined(spark, fine + rest) == plain(fine)
+    assert plain(fine)
+
+
+def test_no_rows(spark):
+    assert mined(spark, []) == []
+    assert mined(spark, [(1, [1, 1], 0), (2, [1, 1], 1)]) == []
+
+
+def test_large_components_are_exact_or_refused(spark):
+    big = 500_000.0
+    rows = [(0, [big, big], 0), (1, [big, big - 1], 0), (2, [big - 2, big], 1), (3, [big - 3, big], 1)]
+    assert mined(spark, rows) == plain(rows)
+    with pytest.raises(Exception, match="(?i)overflow"):
+        mined(spark, [(0, [1e30, 1], 0), (1, [1e30, 1], 0)])
+
+
+def test_the_walk_ends_early_and_loses_no_tie():
+    rng = np.random.default_rng(5)
+    anchor = np.array([40.0, -30, 20])
+    rows = rng.integers(-256, 256, (20_000, 3)).astype(float)
+    rows[7:12] = rows[(rows @ anchor).argmax()]
+    lists = negatives.Lists(rows)
+    found, scores = negatives.alike(lists, anchor, np.ones(len(rows), bool), 5)
+    assert len(found) < 3_000
+    kth = np.sort(rows @ anchor)[-5]
+    assert set(np.flatnonzero(rows @ anchor >= kth)) <= set(found)
+    assert (scores == rows[found] @ anchor).all()
+    ends = [threshold for _, _, threshold in lists.walk(anchor)]
+    assert ends == sorted(ends, reverse=True)

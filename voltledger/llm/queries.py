@@ -12,6 +12,7 @@ from voltledger.llm import (
     decontaminate,
     mainhtml,
     neardup,
+    negatives,
     quality,
     secrets,
     sentencepieces,
@@ -136,6 +137,40 @@ def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mainhtml.main_text(pages).select("page_id", "url", "text", "n_chars")
 
 
+@query
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "embeddings")
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return negatives.hard_negatives(rows.withColumn("label", moved), F.col("vec_id") % 100 == 0)
+
+
+ORACLES["op12_hard_negatives"] = """
+    WITH kept AS (
+        SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+               list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS vector
+        FROM embeddings
+        WHERE label IS NOT NULL AND embedding IS NOT NULL
+          AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    ), scored AS (
+        SELECT a.vec_id AS anchor_id, c.vec_id AS id, a.label = c.label AS alike,
+               list_sum(list_transform(range(1, len(a.vector) + 1),
+                                       lambda k: a.vector[k] * c.vector[k]))::BIGINT AS score
+        FROM kept a JOIN kept c ON a.vec_id <> c.vec_id
+        WHERE a.vec_id % 100 = 0
+    ), positives AS (
+        SELECT anchor_id, id AS positive_id, score AS positive_score FROM scored WHERE alike
+        QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) <= 5
+    )
+    SELECT anchor_id, positive_id, s.id AS negative_id, positive_score, s.score AS negative_score,
+           row_number() OVER (PARTITION BY anchor_id, positive_id
+                              ORDER BY s.score DESC, s.id)::INTEGER AS rank
+    FROM positives JOIN scored s USING (anchor_id)
+    WHERE NOT s.alike AND 80 * positive_score <= 100 * s.score
+      AND 100 * s.score <= 100 * positive_score
+    QUALIFY row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY s.score DESC, s.id) <= 5
+"""
+
+
 @query
 def op13_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     archive = new_path(spark, "warc")
