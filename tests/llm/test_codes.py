@@ -1,0 +1,145 @@
+import hashlib
+import math
+
+import numpy as np
+import pytest
+
+from voltledger.llm import codes
+
+SCHEMA = "vec_id long, embedding array<float>, label int, code string, `error` int, `part` int, `odd.name` int"
+
+
+def frame(spark, rows):
+    data = [
+        (key, None if vector is None else [x if x is None else float(x) for x in vector], label, "c", 5, 6, 7)
+        for key, vector, label in rows
+    ]
+    return spark.createDataFrame(data, SCHEMA).repartition(3)
+
+
+def coded(spark, rows, **how):
+    found, books = codes.product_codes(frame(spark, rows), **how)
+    got = sorted([(r.vec_id, r.code, r.error, r.label_error) for r in found.collect()], key=str)
+    return got, [book.tolist() for book in books]
+
+
+def plain(rows, parts=4, entries=256, rounds=4, scale=1024):
+    """Every part against every entry, in whole numbers of any size."""
+
+    def usable(vector):
+        return vector is not None and all(x is not None and math.isfinite(x) for x in vector)
+
+    kept = [
+        (key, [math.floor(float(np.float32(x)) * scale) for x in vector], label)
+        for key, vector, label in rows
+        if usable(vector)
+    ]
+    kept.sort(key=lambda row: (row[0] is None, row[0] or 0, row[1]))
+    width = len(kept[0][1]) // parts
+    cut = [[row[1][width * p : width * p + width] for row in kept] for p in range(parts)]
+    books = [part[:entries] for part in cut]
+
+    def nearest(point, book):
+        return min((sum((a - b) ** 2 for a, b in zip(point, e)), n) for n, e in enumerate(book))
+
+    for _ in range(rounds):
+        for part, book in zip(cut, books):
+            own = {}
+            for point in part:
+                own.setdefault(nearest(point, book)[1], []).append(point)
+            for n, points in own.items():
+                book[n] = [sum(column) // len(points) for column in zip(*points)]
+    found = [[nearest(part[k], book) for part, book in zip(cut, books)] for k in range(len(kept))]
+    errors = [sum(error for error, _ in one) for one in found]
+    totals = {}
+    for row, error in zip(kept, errors):
+        totals[row[2]] = totals.get(row[2], 0) + error
+    out = [
+        (row[0], "".join(f"{n:02x}" for _, n in one), error, totals[row[2]])
+        for row, one, error in zip(kept, found, errors)
+    ]
+    return sorted(out, key=str), books
+
+
+def made(seed, n=300, length=16):
+    rng = np.random.default_rng(seed)
+    centres = rng.standard_normal((9, length))
+    rows = centres[rng.integers(0, 9, n)] + rng.uniform(0.01, 0.5, (n, 1)) * rng.standard_normal((n, length))
+    rows[20:40] = rows[20]
+    return [(int(k), rows[k].astype(np.float32), int(k) % 4 or None) for k in rng.permutation(n)]
+
+
+@pytest.mark.parametrize("seed, block, leaf, entries", [(1, 2048, 24, 256), (2, 50, 3, 20), (3, 150, 1, 7)])
+def test_against_plain_python(spark, monkeypatch, seed, block, leaf, entries):
+    monkeypatch.setattr(codes, "BLOCK", block)
+    monkeypatch.setattr(codes, "LEAF", leaf)
+    rows = made(seed)
+    assert coded(spark, rows, entries=entries) == plain(rows, entries=entries)
+
+
+def test_many_labels_are_joined_by_a_shuffle(spark, monkeypatch):
+    monkeypatch.setattr(codes, "FEW_LABELS", 1)
+    rows = made(4, 80)
+    assert coded(spark, rows, entries=5) == plain(rows, entries=5)
+
+
+def test_odd_rows(spark):
+    nan, inf = float("nan"), float("inf")
+    rows = [
+        (3, [0, 0, 0, 0], 1), (3, [0, 0, 0, 0], 1), (1, [-0.5, 0.1, 2, -3], None), (2, [0.5, 0, 0, 1], None),
+        (None, [9, 9, 9, 9], 2), (None, [-9, 9, 8, 9], 2), (5, [1e-30, -1e-30, 0.25, 0.999], 1),
+    ]
+    dropped = [(0, None, 1), (0, [nan, 1, 1, 1], 1), (0, [inf, 1, 1, 1], 2), (0, [None, 1, 1, 1], 2), (0, [], 1), (0, [1, 2, 3], 1), (0, [1] * 8, 1)]
+    assert coded(spark, rows + dropped, entries=3) == plain(rows, entries=3)
+
+
+def test_no_rows_and_empty_vectors(spark):
+    assert coded(spark, []) == ([], [[], [], [], []])
+    assert codes.digest([np.zeros((0, 0), int)]) == hashlib.sha256(b"").hexdigest()
+    got, _ = coded(spark, [(1, [], 3), (2, [], 3)])
+    assert got == [(1, "00000000", 0, 0), (2, "00000000", 0, 0)]
+
+
+def test_large_components_are_exact_or_refused(spark):
+    rng = np.random.default_rng(8)
+    rows = [(k, rng.uniform(-16_000, 16_000, 8).astype(np.float32), 1) for k in range(60)]
+    assert coded(spark, rows, entries=9) == plain(rows, entries=9)
+    for large in (20_000.0, 1e30):
+        with pytest.raises(Exception, match="(?i)overflow|too large"):
+            coded(spark, [(0, [1.0] * 4, 1), (1, [large] * 4, 1)])
+
+
+def balls(tree):
+    return range(len(tree.radius))
+
+
+def test_every_ball_holds_its_points_and_their_sums():
+    points = np.random.default_rng(3).integers(-500, 500, (900, 6))
+    tree = codes.Tree.made(points)
+    assert sorted(tree.order) == list(range(900)) and (tree.points == points[tree.order]).all()
+    for ball in balls(tree):
+        inside = tree.points[tree.start[ball] : tree.end[ball]]
+        gaps = np.sqrt(((inside - tree.centre[ball]) ** 2).sum(axis=1))
+        assert gaps.max() <= tree.radius[ball] * (1 + 1e-12) and (tree.sums[ball] == inside.sum(axis=0)).all()
+        if tree.left[ball] >= 0:
+            left, right = tree.left[ball], tree.right[ball]
+            assert (tree.start[left], tree.end[right]) == (tree.start[ball], tree.end[ball])
+            assert tree.end[left] == tree.start[right]
+    back = codes.Tree.unpacked(6, tree.packed())
+    assert all((getattr(back, name) == getattr(tree, name)).all() for name in codes.Tree.FIELDS)
+
+
+def test_whole_balls_are_owned():
+    rng = np.random.default_rng(6)
+    centres = rng.integers(-900, 900, (12, 5))
+    points = centres[rng.integers(0, 12, 2_000)] + rng.integers(-6, 6, (2_000, 5))
+    tree = codes.Tree.made(points)
+    owned = [ball for ball, entry in tree.owners(centres) if isinstance(entry, int)]
+    assert sum(tree.end[ball] - tree.start[ball] for ball in owned) > 1_500 and len(owned) < 200
+
+
+def test_many_equal_points_are_one_leaf():
+    tree = codes.Tree.made(np.tile([[3, 4]], (5_000, 1)))
+    assert len(tree.radius) == 1
+    code, error = tree.codes(np.array([[5, 4], [1, 4], [3, 2]]))
+    assert set(code) == {0} and set(error) == {4}

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from voltledger.llm import (
     boilerplate,
+    codes,
     decontaminate,
     mainhtml,
     neardup,
@@ -137,6 +138,67 @@ def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mainhtml.main_text(pages).select("page_id", "url", "text", "n_chars")
 
 
+@query
+def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found, codebooks = codes.product_codes(table(spark, sf_dir, "embeddings"))
+    return found.withColumn("codebooks_sha256", F.lit(codes.digest(codebooks)))
+
+
+def nearest(points: str, entries: str) -> str:
+    """SQL for the nearest entry of each point's part and its squared distance."""
+    return f"""
+        SELECT p.vec_id, p.label, p.part, p.point,
+               min({{'error': list_sum(list_transform(range(1, len(p.point) + 1), lambda k:
+                   (p.point[k] - e.point[k]) * (p.point[k] - e.point[k])))::BIGINT,
+                   'entry': e.entry}}) AS best
+        FROM {points} p JOIN {entries} e USING (part) GROUP BY ALL"""
+
+
+def one_round(before: str, after: str) -> str:
+    """SQL for a round: the codebook ``after`` from ``before``."""
+    return f"""
+    assigned_{after} AS ({nearest("points", before)}
+    ), sums_{after} AS (
+        SELECT part, entry, k, floor_div AS mean FROM (
+            SELECT part, best.entry AS entry, k, sum(point[k])::BIGINT AS total, count(*) AS n,
+                   (total - ((total % n) + n) % n) // n AS floor_div
+            FROM assigned_{after}, range(1, 17) places(k) GROUP BY ALL)
+    ), means_{after} AS (
+        SELECT part, entry, list(mean ORDER BY k) AS point FROM sums_{after} GROUP BY ALL
+    ), {after} AS (
+        SELECT b.part, b.entry, coalesce(m.point, b.point) AS point
+        FROM {before} b LEFT JOIN means_{after} m USING (part, entry)
+    ), """
+
+
+# The given vectors have 64 components and so 16 in a part, and no vec_id twice.
+ORACLES["op11_vector_codes"] = f"""
+    WITH kept AS (
+        SELECT vec_id, label,
+               list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)::BIGINT) AS vector
+        FROM embeddings
+        WHERE embedding IS NOT NULL
+          AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    ), points AS (
+        SELECT vec_id, label, part, vector[1 + 16 * part : 16 + 16 * part] AS point
+        FROM kept, range(4) parts(part)
+    ), book_0 AS (
+        SELECT part, row_number() OVER (PARTITION BY part ORDER BY vec_id) - 1 AS entry, point
+        FROM points QUALIFY entry < 256
+    ), {"".join(one_round(f"book_{k}", f"book_{k + 1}") for k in range(4))} last AS (
+        {nearest("points", "book_4")}
+    ), coded AS (
+        SELECT vec_id, label, string_agg(printf('%02x', best.entry), '' ORDER BY part) AS code,
+               sum(best.error)::BIGINT AS error
+        FROM last GROUP BY vec_id, label
+    )
+    SELECT vec_id, code, error, (sum(error) OVER (PARTITION BY label))::BIGINT AS label_error,
+           (SELECT sha256(string_agg(point[k]::VARCHAR, ',' ORDER BY part, entry, k))
+            FROM book_4, range(1, 17) places(k)) AS codebooks_sha256
+    FROM coded
+"""
+
+
 @query
 def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "embeddings")
