@@ -107,14 +107,28 @@ def test_large_components_are_exact_or_refused(spark):
 
 def test_the_walk_ends_early_and_loses_no_tie():
     rng = np.random.default_rng(5)
-    anchor = np.array([40.0, -30, 20])
+    anchors = np.array([[40, -30, 20], [-10, 0, 60]], np.float64)
     rows = rng.integers(-256, 256, (20_000, 3)).astype(float)
-    rows[7:12] = rows[(rows @ anchor).argmax()]
+    rows[7:12] = rows[(rows @ anchors[0]).argmax()]
     lists = negatives.Lists(rows)
-    found, scores = negatives.alike(lists, anchor, np.ones(len(rows), bool), 5)
-    assert len(found) < 3_000
-    kth = np.sort(rows @ anchor)[-5]
-    assert set(np.flatnonzero(rows @ anchor >= kth)) <= set(found)
-    assert (scores == rows[found] @ anchor).all()
-    ends = [threshold for _, _, threshold in lists.walk(anchor)]
-    assert ends == sorted(ends, reverse=True)
+    found = negatives.alike(lists, anchors, np.ones((2, len(rows)), bool), 5)
+    met = found > negatives.NOTHING
+    assert met.sum() < 2 * 8_000
+    for anchor, scores, seen in zip(anchors, found, met):
+        true = rows @ anchor
+        assert seen[true >= np.sort(true)[-5]].all() and (scores[seen] == true[seen]).all()
+    ceilings = np.array([ceiling for _, _, ceiling in lists.walk(anchors)])
+    assert (np.diff(ceilings, axis=0) <= 0).all()
+
+
+def test_ceilings_hold_for_all_rows_not_met():
+    rng = np.random.default_rng(6)
+    anchors = rng.integers(-50, 50, (9, 4)).astype(np.float32)
+    rows = rng.integers(-50, 50, (3_000, 4)).astype(np.float32)
+    unmet = np.ones(len(rows), bool)
+    for new, scores, ceiling in negatives.Lists(rows).walk(anchors):
+        assert unmet[new].all() and (scores == anchors @ rows[new].T).all()
+        unmet[new] = False
+        if unmet.any():
+            assert ((anchors @ rows[unmet].T).max(axis=1) <= ceiling).all()
+    assert not unmet.any()

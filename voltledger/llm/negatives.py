@@ -6,6 +6,7 @@ all lists at once, from the top where its own component is positive and from the
 negative. Every row met for the first time is scored in full. No row that has not been met can
 score more than the sum of the anchor's components times those at the present depth. The walk ends
 when that threshold is strictly below the score of the k-th best row found, so that no tie is lost.
+Some anchors walk side by side: a row that one of them meets is scored for all of them at once.
 
 It is done twice. The first walk finds an anchor's positives, the best rows of its own label. The
 second finds, for every positive score, the best rows of other labels with a score between a share
@@ -43,7 +44,10 @@ LEAST_SHARE = 80
 # Candidates whose lists are walked together, and anchors that meet them in one task.
 BLOCK = 8192
 GROUP = 1024
-FIRST_DEPTH = 8
+# Anchors that walk side by side, the share of a list that they take first, and how it grows.
+TOGETHER = 64
+FIRST_SHARE = 64
+GROWTH = 4
 
 
 def finite(vector: Column) -> Column:
@@ -55,74 +59,79 @@ def finite(vector: Column) -> Column:
 
 
 def exact_rows(vectors: list, anchors: list) -> tuple[np.ndarray, np.ndarray]:
-    """Both as arrays whose products are exact: doubles where all sums fit, else long integers."""
+    """Both as arrays of the shortest kind that holds all products and their sums exactly."""
     rows = np.array(vectors, np.int64).reshape(len(vectors), -1)
     others = np.array(anchors, np.int64).reshape(len(anchors), -1)
     bound = rows.shape[1] * int(np.abs(rows).max(initial=0)) * int(np.abs(others).max(initial=0))
     # A hundred times a score has to fit as well.
     if bound >= 1 << 56:
         raise OverflowError("the components are too large for scores of 64 bits")
-    kind = np.float64 if bound < 1 << 52 else np.int64
+    kind = np.float32 if bound < 1 << 24 else np.float64 if bound < 1 << 53 else np.int64
     return rows.astype(kind), others.astype(kind)
 
 
+# A score below all others: of rows not met yet, or not wanted. A hundred times it fits 64 bits.
+NOTHING = -(1 << 56)
+
+
 class Lists:
     """A block of rows, sorted by each of its dimensions."""
 
     def __init__(self, rows: np.ndarray) -> None:
         self.rows = rows
         order = np.argsort(rows, axis=0, kind="stable")
-        self.values = np.take_along_axis(rows, order, axis=0).T.copy()
+        self.values = np.take_along_axis(rows, order, axis=0).T.astype(np.int64)
         self.order = order.T.astype(np.int32)
 
-    def walk(self, anchor: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, float]]:
-        """Rows not met before, their scores, and what no row can exceed that is still unmet."""
+    def walk(self, anchors: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """Rows not met before, each anchor's scores of them, and what none still unmet can exceed,
+        for each anchor."""
         n = len(self.rows)
-        up, down = np.flatnonzero(anchor > 0), np.flatnonzero(anchor < 0)
-        if not len(up) + len(down):
-            yield np.arange(n), np.zeros(n, self.rows.dtype), -math.inf
-            return
+        whole = anchors.astype(np.int64)
+        rising, falling = np.maximum(whole, 0), np.minimum(whole, 0)
+        up, down = np.flatnonzero(rising.any(axis=0)), np.flatnonzero(falling.any(axis=0))
         met = np.zeros(n, bool)
-        depth, step = 0, FIRST_DEPTH
-        while depth < n:
+        depth, step = 0, max(1, n // FIRST_SHARE)
+        while not met.all():
             stop = min(n, depth + step)
             now = np.zeros(n, bool)
+            if stop == n:
+                now[:] = True
             now[self.order[:, n - stop : n - depth][up].ravel()] = True
             now[self.order[:, depth:stop][down].ravel()] = True
             new = np.flatnonzero(now & ~met)
             met |= now
-            threshold = (
-                anchor[up] @ self.values[up, n - stop] + anchor[down] @ self.values[down, stop - 1]
-            )
-            yield new, self.rows[new] @ anchor, threshold if stop < n else -math.inf
-            depth, step = stop, 2 * step
+            if met.all():
+                ceiling = np.full(len(anchors), NOTHING)
+            else:
+                ceiling = rising @ self.values[:, n - stop] + falling @ self.values[:, stop - 1]
+            yield new, anchors @ self.rows[new].T, ceiling
+            depth, step = stop, GROWTH * step
 
 
 def best(scores: np.ndarray, ids: np.ndarray, unknown: np.ndarray, rows: np.ndarray, k: int):
     """Places of the k best: by score downwards, then by id with unknown ones last, then by row."""
-    if len(scores) > k:
-        kth = np.partition(scores, len(scores) - k)[len(scores) - k]
-        places = np.flatnonzero(scores >= kth)
-    else:
-        places = np.arange(len(scores))
+    places = np.flatnonzero(scores >= kth_best(scores, k))
     order = np.lexsort((rows[places], ids[places], unknown[places], -scores[places]))
     return places[order[:k]]
 
 
-def kth_best(scores: np.ndarray, k: int) -> float:
-    return np.partition(scores, len(scores) - k)[len(scores) - k] if len(scores) >= k else -math.inf
+def kth_best(scores: np.ndarray, k: int) -> np.ndarray:
+    """The k-th largest score of each row of scores, or nothing where there are fewer."""
+    n = scores.shape[-1]
+    if n < k:
+        return np.full(scores.shape[:-1], NOTHING)
+    return np.partition(scores, n - k, axis=-1)[..., n - k].astype(np.int64)
 
 
-def alike(lists: Lists, anchor: np.ndarray, wanted: np.ndarray, k: int):
-    """Rows among the wanted ones that hold the k best, and their scores."""
-    found, scores = [np.zeros(0, np.int64)], [np.zeros(0, lists.rows.dtype)]
-    for new, points, threshold in lists.walk(anchor):
-        ok = wanted[new]
-        found.append(new[ok])
-        scores.append(points[ok])
-        if threshold < kth_best(np.concatenate(scores), k):
+def alike(lists: Lists, anchors: np.ndarray, wanted: np.ndarray, k: int) -> np.ndarray:
+    """Scores per anchor and row with the k best wanted rows of each anchor among them."""
+    found = np.full(wanted.shape, NOTHING, anchors.dtype)
+    for new, scores, ceiling in lists.walk(anchors):
+        found[:, new] = np.where(wanted[:, new], scores, NOTHING)
+        if (ceiling < kth_best(found, k)).all():
             break
-    return np.concatenate(found), np.concatenate(scores)
+    return found
 
 
 def inside(scores: np.ndarray, top: int, share: int) -> np.ndarray:
@@ -131,81 +140,95 @@ def inside(scores: np.ndarray, top: int, share: int) -> np.ndarray:
     return (100 * whole >= share * top) & (whole <= top)
 
 
-def windowed(lists: Lists, anchor: np.ndarray, wanted: np.ndarray, tops: list[int], k: int, share: int):
-    """Rows among the wanted ones that hold the k best of every window, and their scores."""
-    found, scores = [np.zeros(0, np.int64)], [np.zeros(0, lists.rows.dtype)]
-    # A window below zero is empty, since a share of its top lies above the top.
-    open_tops = [top for top in tops if 100 * top >= share * top]
-    for new, points, threshold in lists.walk(anchor) if open_tops else ():
-        ok = wanted[new]
-        found.append(new[ok])
-        scores.append(points[ok])
-        so_far = np.concatenate(scores)
-
-        def ended(top: int) -> bool:
-            if 100 * threshold < share * top:
-                return True
-            return threshold < kth_best(so_far[inside(so_far, top, share)], k)
-
-        open_tops = [top for top in open_tops if not ended(top)]
-        if not open_tops:
+def windowed(
+    lists: Lists, anchors: np.ndarray, wanted: np.ndarray, tops: list[list[int]], k: int, share: int
+) -> np.ndarray:
+    """Scores per anchor and row with the k best wanted rows of every window among them."""
+    found = np.full(wanted.shape, NOTHING, anchors.dtype)
+
+    def ended(scores: np.ndarray, ceiling: int, top: int) -> bool:
+        # A window below zero is empty, since a share of its top lies above the top.
+        if 100 * ceiling < share * top or share * top > 100 * top:
+            return True
+        return ceiling < kth_best(scores[inside(scores, top, share)], k)
+
+    for new, scores, ceilings in lists.walk(anchors):
+        found[:, new] = np.where(wanted[:, new], scores, NOTHING)
+        each = zip(found, ceilings.tolist(), tops)
+        if all(ended(row, ceiling, top) for row, ceiling, windows in each for top in windows):
             break
-    return np.concatenate(found), np.concatenate(scores)
+    return found
 
 
 def meetings(frames: Iterator[pd.DataFrame]) -> Iterator[tuple[pd.DataFrame, pd.DataFrame, Lists, np.ndarray]]:
-    """Anchors, candidates, the candidates' lists and the anchors' vectors of each block."""
+    """Some anchors, the candidates of a block, these as lists, and the anchors' vectors."""
     for part in grouped(frames, ("length", "group", "block")):
         anchors, rows = part[part["asks"]], part[~part["asks"]]
         if len(anchors) and len(rows):
             vectors, asking = exact_rows(list(rows["vector"]), list(anchors["vector"]))
-            yield anchors, rows, Lists(vectors), asking
+            lists = Lists(vectors)
+            for start in range(0, len(anchors), TOGETHER):
+                some = slice(start, start + TOGETHER)
+                yield anchors[some], rows, lists, asking[some]
+
+
+class Chosen:
+    """The rows found for some anchors, to be given out as one frame."""
+
+    def __init__(self, rows: pd.DataFrame) -> None:
+        self.row, self.id, self.unknown = (rows[c].to_numpy() for c in ("row", "id", "unknown"))
+        self.parts: list[tuple] = []
+
+    def add(self, anchor: int, top: int, scores: np.ndarray, places: np.ndarray, k: int) -> None:
+        """The k best of the rows at ``places``, which have these scores."""
+        first = best(scores, self.id[places], self.unknown[places], self.row[places], k)
+        self.parts.append((anchor, top, scores[first], places[first]))
+
+    def frame(self) -> pd.DataFrame:
+        sizes = [len(places) for _, _, _, places in self.parts]
+        places = np.concatenate([places for _, _, _, places in self.parts] or [np.zeros(0, int)])
+        scores = np.concatenate([scores for _, _, scores, _ in self.parts] or [np.zeros(0)])
+        return pd.DataFrame(
+            {
+                "anchor": np.repeat(np.array([one[0] for one in self.parts], np.int64), sizes),
+                "top": np.repeat(np.array([one[1] for one in self.parts], np.int64), sizes),
+                "score": scores.astype(np.int64),
+                "row": self.row[places],
+                "id": self.id[places],
+                "unknown": self.unknown[places],
+            }
+        )
 
 
-def labels_of(rows: pd.DataFrame) -> np.ndarray:
-    return rows["label"].to_numpy()
+def compared(anchors: pd.DataFrame, rows: pd.DataFrame) -> np.ndarray:
+    """Whether the label of each anchor is that of each row."""
+    return anchors["label"].to_numpy()[:, None] == rows["label"].to_numpy()[None, :]
 
 
 def positive_rows(frames: Iterator[pd.DataFrame], k: int) -> Iterator[pd.DataFrame]:
     for anchors, rows, lists, asking in meetings(frames):
-        labels = labels_of(rows)
-        row, ids, unknown = (rows[c].to_numpy() for c in ("row", "id", "unknown"))
-        for own, label, anchor in zip(anchors["row"], labels_of(anchors), asking):
-            found, scores = alike(lists, anchor, (labels == label) & (row != own), k)
-            top = best(scores, ids[found], unknown[found], row[found], k)
-            yield pd.DataFrame(
-                {
-                    "anchor": np.full(len(top), own),
-                    "top": np.zeros(len(top), np.int64),
-                    "score": scores[top].astype(np.int64),
-                    "row": row[found[top]],
-                    "id": ids[found[top]],
-                    "unknown": unknown[found[top]],
-                }
-            )
+        own = anchors["row"].to_numpy()[:, None] == rows["row"].to_numpy()[None, :]
+        found = alike(lists, asking, compared(anchors, rows) & ~own, k)
+        least = kth_best(found, k)
+        chosen = Chosen(rows)
+        for anchor, scores, enough in zip(anchors["row"], found, least):
+            places = np.flatnonzero((scores >= enough) & (scores > NOTHING))
+            chosen.add(anchor, 0, scores[places], places, k)
+        yield chosen.frame()
 
 
 def negative_rows(frames: Iterator[pd.DataFrame], k: int, share: int) -> Iterator[pd.DataFrame]:
     for anchors, rows, lists, asking in meetings(frames):
-        labels = labels_of(rows)
-        row, ids, unknown = (rows[c].to_numpy() for c in ("row", "id", "unknown"))
-        columns = zip(anchors["row"], labels_of(anchors), anchors["tops"], asking)
-        for own, label, tops, anchor in columns:
-            found, scores = windowed(lists, anchor, labels != label, list(tops), k, share)
-            parts = [np.flatnonzero(inside(scores, int(top), share)) for top in tops]
-            for top, part in zip(tops, parts):
-                at = found[part]
-                first = best(scores[part], ids[at], unknown[at], row[at], k)
-                yield pd.DataFrame(
-                    {
-                        "anchor": np.full(len(first), own),
-                        "top": np.full(len(first), int(top)),
-                        "score": scores[part[first]].astype(np.int64),
-                        "row": row[at[first]],
-                        "id": ids[at[first]],
-                        "unknown": unknown[at[first]],
-                    }
-                )
+        tops = [[int(top) for top in one] for one in anchors["tops"]]
+        found = windowed(lists, asking, ~compared(anchors, rows), tops, k, share)
+        chosen = Chosen(rows)
+        for anchor, scores, windows in zip(anchors["row"], found, tops):
+            high = 100 * scores.astype(np.int64) >= share * min(windows)
+            lowest = np.flatnonzero(high & (scores > NOTHING))
+            for top in windows:
+                places = lowest[inside(scores[lowest], top, share)]
+                chosen.add(anchor, top, scores[places], places, k)
+        yield chosen.frame()
 
 
 FOUND = "anchor long, top long, score long, row long, id long, unknown boolean"
