@@ -3,6 +3,7 @@
 from acceptance import (  # noqa: F401
     aggregates,
     duplicates,
+    exact_sums,
     filters,
     grid_series,
     ordering,

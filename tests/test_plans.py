@@ -85,6 +85,16 @@ def test_share_reads_and_shuffles_the_rows_once(spark, tmp_path):
     assert "w#" not in "".join(line for line in text.splitlines() if "FileScan" in line)
 
 
+def test_exact_share_reads_the_rows_once(spark, tmp_path):
+    path = str(tmp_path / "rows")
+    spark.range(1000).select((F.col("id") % 7).alias("k"), (F.col("id") / 3).alias("v")).write.parquet(path)
+    df = ops.group_share(spark.read.parquet(path), "k", "v", "share", exact=True)
+    assert final_scans(df) == 1
+    text = executed_plan(df)
+    assert "Python" not in text and "CartesianProduct" not in text
+    assert "partial_sum(s0" in text
+
+
 def test_filters_reach_the_scan(installations):
     filters = pushed(register.fuel_share_with_code(installations))
     assert "IsNotNull(codeeicresourceobject)" in filters and "Not(In(region" in filters

@@ -1,6 +1,7 @@
 """Operators from DataFrame to DataFrame, each one lazy unless its docstring says otherwise."""
 
 from voltledger.operators.duplicates import duplicate_key_report, duplicated_rows, duplicated_sum
+from voltledger.operators.exact import exact_sums
 from voltledger.operators.grouping import (
     group_share,
     group_sums,
@@ -41,6 +42,7 @@ __all__ = [
     "duplicate_key_report",
     "duplicated_rows",
     "duplicated_sum",
+    "exact_sums",
     "exclusion_report",
     "frame_shape",
     "grid_balance",

@@ -8,18 +8,25 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from voltledger.functions import col, require_columns, sum_or_zero
+from voltledger.operators.exact import exact_sums
 
 
 def reconcile(
     df: DataFrame,
     measures: Mapping[str, tuple[Column, Column | None]],
     differences: Mapping[str, Column],
+    exact: bool = False,
 ) -> DataFrame:
     """One row of sums and of differences between them, from one pass over ``df``.
 
     ``measures`` maps a name to (what to add up, condition or ``None``); ``differences`` maps a
-    name to arithmetic over the measure names and constants.
+    name to arithmetic over the measure names and constants. With ``exact`` the sums of floating
+    columns do not depend on the order of rows.
     """
+    if exact:
+        terms = {n: c if on is None else F.when(on, c) for n, (c, on) in measures.items()}
+        totals = exact_sums(df, terms)
+        return totals.select("*", *[c.alias(name) for name, c in differences.items()])
     totals = df.agg(*[sum_or_zero(c, where).alias(name) for name, (c, where) in measures.items()])
     return totals.select("*", *[c.alias(name) for name, c in differences.items()])
 
