@@ -136,6 +136,32 @@ def bronze_documents_rejected(spark, sf_dir):
     return rejected.select(page.alias("page"))
 
 
+@check("SELECT o_orderkey, o_totalprice, o_orderstatus FROM orders")
+def read_json_array_split(spark, sf_dir):
+    path = new_path(spark, "orders-documents")
+    _order_documents(spark, sf_dir, path, faults=False)
+    return sources.read_json_records(spark, path, LANDED, split=True)
+
+
+@check(
+    """
+    SELECT o_orderkey, o_totalprice, o_orderstatus, cast(NULL AS int) AS rejected_page
+    FROM orders WHERE o_orderkey // 10000 % 3 = 0
+    UNION ALL
+    SELECT DISTINCT NULL, NULL, NULL, cast(o_orderkey // 10000 AS int) FROM orders
+    WHERE o_orderkey // 10000 % 3 <> 0
+    """
+)
+def bronze_documents_split(spark, sf_dir):
+    raw, target = new_path(spark, "orders-documents"), new_path(spark, "orders-bronze")
+    _order_documents(spark, sf_dir, raw, faults=True)
+    sources.land_json_documents(spark, raw, target, LANDED, split=True)
+    accepted = sources.read_accepted(spark, target, LANDED)
+    page = F.regexp_extract("raw_line", "page=([0-9]+)", 1).cast("int")
+    rejected = sources.read_rejected(spark, target, LANDED).select(page.alias("rejected_page"))
+    return accepted.unionByName(rejected, allowMissingColumns=True)
+
+
 NUMBERED = T.StructType(
     [
         T.StructField("id", T.LongType()),

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from voltledger.sources.documents import CORRUPT, PERMISSIVE, read_documents, with_corrupt
+from voltledger.sources.split_documents import read_split_documents
 
 ACCEPTED, REJECTED = "accepted", "rejected"
 RESERVED = ("raw_line", "landing", CORRUPT)
@@ -86,15 +87,25 @@ def land_json_lines(
 
 
 def land_json_documents(
-    spark: SparkSession, source: str, target: str, schema: T.StructType
+    spark: SparkSession, source: str, target: str, schema: T.StructType, split: bool = False
 ) -> DataFrame:
     """Land files that are one JSON document each, a list of records or a single one, indented or not.
 
     A file that is not exactly one such document, or has a fault anywhere, is rejected whole. It
     is then one row, whose ``raw_line`` has the name of the file, not its text. Returns
-    ``n_records`` and ``n_rejected_files``. One task reads a file, since a document cannot be
-    split, and the text of a file must fit in a row.
+    ``n_records`` and ``n_rejected_files``. One task reads a file and its text must fit in a row,
+    unless ``split`` asks for files to be read by many tasks (``split_documents``).
     """
+    if split:
+        documents = read_split_documents(spark, source, _checked(schema))
+        rejected = F.col("rejected")
+        documents.select(
+            F.when(rejected, F.col("file")).alias("raw_line"),
+            F.when(rejected, REJECTED).otherwise(ACCEPTED).alias("landing"),
+            "record.*",
+        ).drop(CORRUPT).write.partitionBy("landing").mode("errorifexists").parquet(target)
+        counts = landing_counts(spark, target, schema)
+        return counts.withColumnRenamed("n_rejected", "n_rejected_files")
     documents = read_documents(spark, source, _checked(schema))
     rejected = F.col("rejected")
     documents.where(rejected | (F.size("records") > 0)).select(

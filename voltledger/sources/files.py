@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 
 from voltledger.functions import col, require_columns
 from voltledger.sources.documents import CORRUPT, read_documents
+from voltledger.sources.split_documents import read_split_documents
 
 
 def read_parquet(spark: SparkSession, path: str) -> DataFrame:
@@ -18,20 +19,28 @@ def read_parquet(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_json_records(
-    spark: SparkSession, path: str, schema: T.StructType | str, lines: bool = False
+    spark: SparkSession,
+    path: str,
+    schema: T.StructType | str,
+    lines: bool = False,
+    split: bool = False,
 ) -> DataFrame:
     """Records from JSON, one row each; a record that does not fit the schema is an error.
 
     ``lines=False`` reads documents (an array of records, or one record), indented or not; a file
-    with anything behind its document is an error. Such a file cannot be split, so one task reads
-    it: land it once and read the Parquet from then on. ``lines=True`` reads one document per
-    line, which Spark splits.
+    with anything behind its document is an error. One task reads such a file, unless ``split``
+    asks for large ones to be read by many, in two passes (``split_documents``). ``lines=True``
+    reads one document per line, which Spark splits.
     """
     if lines:
         return spark.read.schema(schema).option("mode", "FAILFAST").json(path)
     if isinstance(schema, str):
         schema = T.DataType.fromDDL(schema)
     message = F.concat(F.lit("not one JSON document of the given schema: "), F.col("file"))
+    if split:
+        record = F.when(F.col("rejected"), F.raise_error(message)).otherwise(F.col("record"))
+        found = read_split_documents(spark, path, schema).select(record.alias("record"))
+        return found.select("record.*").drop(CORRUPT)
     records = F.when(F.col("rejected"), F.raise_error(message)).otherwise(F.col("records"))
     return read_documents(spark, path, schema).select(F.inline(records)).drop(CORRUPT)
 
