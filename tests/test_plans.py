@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tests.frames import executed_plan, plan, scans
+from voltledger import functions as fn
 from voltledger import operators as ops
 from voltledger.plans import grid, register
 
@@ -95,6 +96,17 @@ def test_exact_share_reads_the_rows_once(spark, tmp_path):
     assert "partial_sum(s0" in text
 
 
+def test_a_date_is_parsed_once_per_column(spark, tmp_path):
+    path = str(tmp_path / "dates")
+    spark.createDataFrame([("2010-02-26", "26/02/2010")], "a string, b string").write.parquet(path)
+    df = spark.read.parquet(path)
+    moved = df.filter(fn.dates_differ(F.col("a"), F.col("b")))
+    filtered = [line for line in plan(moved).splitlines() if "Filter" in line and "Scan" not in line]
+    assert filtered[0].count("regexp_replace(") == 2 and filtered[0].count(" as date)") == 2
+    # Each column is named where it is parsed and where it stands for itself.
+    assert filtered[0].count("a#") == 2 and filtered[0].count("b#") == 2
+
+
 def test_filters_reach_the_scan(installations):
     filters = pushed(register.fuel_share_with_code(installations))
     assert "IsNotNull(codeeicresourceobject)" in filters and "Not(In(region" in filters

@@ -8,20 +8,20 @@ from pyspark.sql import functions as F
 from voltledger.functions.predicates import differs
 
 
-ISO_DATE, SLASHED_DATE = r"^\d{4}-\d{2}-\d{2}$", r"^\d{2}/\d{2}/\d{4}$"
+# The parts of a date in either spelling; any other text matches with none of them.
+SPELLINGS = r"(?s)^(?:(\d{4})-(\d{2})-(\d{2})|(\d{2})/(\d{2})/(\d{4})|.*)\z"
+YEAR_MONTH_DAY = "$1$6-$2$5-$3$4"
 
 
 def parse_date(c: Column) -> Column:
     """A date from text that is wholly ``2010-02-26`` or ``26/02/2010``.
 
     These are the two spellings of the register files. Any other text gives null, as does a day
-    that the calendar lacks; a date column passes through. Casts that fail here cost no exception,
-    unlike a failed format.
+    that the calendar lacks; a date column passes through. The column is named once, so that what
+    it is made of is worked out once. Casts that fail here cost no exception, unlike a failed
+    format.
     """
-    text = c.cast("string")
-    turned = F.concat_ws("-", text.substr(7, 4), text.substr(4, 2), text.substr(1, 2))
-    spelled = F.when(text.rlike(ISO_DATE), text).when(text.rlike(SLASHED_DATE), turned)
-    return spelled.try_cast("date")
+    return F.regexp_replace(c.cast("string"), SPELLINGS, YEAR_MONTH_DAY).try_cast("date")
 
 
 def is_unreadable_date(c: Column) -> Column:
@@ -29,11 +29,17 @@ def is_unreadable_date(c: Column) -> Column:
     return c.isNotNull() & parse_date(c).isNull()
 
 
+def spelled_alike(c: Column) -> Column:
+    """A date in its ISO spelling; any other text as it is."""
+    return F.coalesce(parse_date(c).cast("string"), c.cast("string"))
+
+
 def dates_differ(a: Column, b: Column) -> Column:
-    """Not the same date where both are dates, otherwise not the same text; null equals null."""
-    day_a, day_b = parse_date(a), parse_date(b)
-    as_text = differs(a.cast("string"), b.cast("string"))
-    return F.when(day_a.isNotNull() & day_b.isNotNull(), day_a != day_b).otherwise(as_text)
+    """Not the same date where both are dates, otherwise not the same text; null equals null.
+
+    A date and a text that is none never have the same spelling, so one comparison does.
+    """
+    return differs(spelled_alike(a), spelled_alike(b))
 
 
 def days_between(first: Column, last: Column) -> Column:
