@@ -1,14 +1,22 @@
 """Benchmark passages in documents, by SimHash over windows as long as the item.
 
-Every benchmark item has a 64-bit SimHash of its word shingles, each weighted by how often it
-occurs. A document's windows of the item's length get theirs from running sums. An index over
-blocks of the items' fingerprints gives every item within the radius of a window: two fingerprints
-that differ in at most ``RADIUS`` bits differ in at most ``RADIUS // BLOCKS`` bits of some block,
-and all such block values are listed. Candidates are then compared exactly: the weighted Jaccard
-similarity of the two multisets of shingles must reach the threshold.
-
-Windows without a single shingle of any item cannot reach it and get no fingerprint. Two shingle
-multisets that reach 0.8 differ by more than the radius with a chance of about 2 in 100,000.
+Every benchmark item has a 64-bit SimHash of its word shingles; the second occurrence of a shingle
+is an element of its own, and so on, so that fingerprints follow the weighted similarity also where
+shingles repeat. A document's windows of the item's length get theirs from running sums: a window
+that moves on by one loses the last occurrence of one shingle and gains one of another, and how
+many it held is counted beforehand for every place. An index over blocks of the items' fingerprints
+gives every item within the radius of a window: two fingerprints that differ in at most ``RADIUS``
+bits differ in at most ``RADIUS // BLOCKS`` bits of some block, and all such block values are
+listed. Candidates are then compared exactly: the weighted Jaccard similarity of the two multisets
+of shingles must reach the threshold.
+
+To reach a similarity t, a window of m shingles must share t / (1 + t) of its m + n with an item of
+n. Windows with fewer shingles of any items get no fingerprint; this loses nothing, and leaves few
+windows, so that it matters little that the index by itself would propose 71 % of unrelated items.
+Two multisets of shingles that reach 0.8 differ by more than the radius with a chance of about 2 in
+100,000, whether their shingles repeat or not.
+
+The index is sent to all executors, in parts, and a benchmark of more than ``MAX_CHARS`` is refused.
 
 Items shorter than a shingle are compared whole; a document shorter than the item is one window.
 Null and empty texts and items hold and match nothing. Rows are taken one by one, so repeated rows
@@ -26,7 +34,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from voltledger.llm.words import chunked, salted, shingles, word_hashes
+from voltledger.llm.words import BASE, chunked, salted, shingles, word_hashes
 
 SHINGLE_WORDS = 5
 SIMILARITY = 0.8
@@ -35,8 +43,10 @@ BLOCKS, BLOCK_BITS = 8, 8
 # The benchmark is taken in parts of about this many characters, so that what is sent to the
 # executors is bounded; each part is compared with all documents.
 PART_CHARS = 8_000_000
-# Anchors are looked around together as long as they have no more windows than this.
-WINDOWS_AT_ONCE = 1 << 18
+MAX_CHARS = 64_000_000
+# Windows are worked on together as long as they have no more places and pairs than this.
+PLACES_AT_ONCE = 1 << 17
+PAIRS_AT_ONCE = 1 << 20
 FILTER_BITS = 20
 
 HITS = "array<struct<item_id:bigint,start:int,n_words:int,similarity:double,distance:int>>"
@@ -62,13 +72,51 @@ class Benchmark:
     groups: list[Group]
 
 
-def prints(values: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """The SimHash of values[start:end] for each window; bit by bit, the sign of a running sum."""
-    raw = salted(values, 77).view(np.uint8).reshape(-1, 8)
-    signs = np.unpackbits(raw, axis=1).astype(np.int32) * 2 - 1
+def counts_within(
+    values: np.ndarray, low: np.ndarray, high: np.ndarray
+) -> tuple[np.ndarray, np.ndarray]:
+    """For each place p, how many of values[low[p]:p + 1] and of values[p:high[p]] equal values[p]."""
+    n = len(values)
+    order = np.argsort(values, kind="stable")
+    ordered = values[order]
+    new = np.concatenate([[True], ordered[1:] != ordered[:-1]])
+    if new.all():
+        return np.ones(n, np.int64), np.ones(n, np.int64)
+    kind = np.cumsum(new)
+    number, rank = np.empty(n, np.int64), np.empty(n, np.int64)
+    number[order], rank[order] = kind, np.arange(n)
+    keys = kind * (n + 1) + order
+    before = rank + 1 - np.searchsorted(keys, number * (n + 1) + low)
+    after = np.searchsorted(keys, number * (n + 1) + high) - rank
+    return before, after
+
+
+def running(values: np.ndarray, occurrence: np.ndarray) -> np.ndarray:
+    """Running sums, bit by bit, of the signs of each place's element."""
+    elements = salted(values + (occurrence - 1).astype(np.uint64) * np.uint64(BASE), 77)
+    signs = np.unpackbits(elements.view(np.uint8).reshape(-1, 8), axis=1).astype(np.int32) * 2 - 1
     sums = np.zeros((len(values) + 1, 64), np.int32)
     np.cumsum(signs, axis=0, out=sums[1:])
-    return np.packbits(sums[ends] > sums[starts], axis=1).view(np.uint64).ravel()
+    return sums
+
+
+def prints(
+    values: np.ndarray, region: np.ndarray, starts: np.ndarray, ends: np.ndarray, n: int
+) -> np.ndarray:
+    """The SimHash of values[start:end] for each window.
+
+    ``region`` is where the run of windows that each place belongs to begins; windows have ``n``
+    places, or are a whole shorter region.
+    """
+    place = np.arange(len(values))
+    gained, lost = counts_within(
+        values, np.maximum(place - n + 1, region), np.minimum(place + n, len(values))
+    )
+    adding = running(values, gained)
+    taking = running(values, lost) if (gained != lost).any() else adding
+    first = region[starts]
+    sums = adding[ends] - adding[first] - taking[starts] + taking[first]
+    return np.packbits(sums > 0, axis=1).view(np.uint64).ravel()
 
 
 def blocks_of(prints_: np.ndarray) -> np.ndarray:
@@ -93,7 +141,7 @@ def index(items: Sequence[tuple[int | None, str | None]]) -> Benchmark:
     for (size, n_shingles), own in sorted(members.items()):
         flat = np.concatenate([made for _, made in own])
         at = np.arange(len(own)) * n_shingles
-        fingerprints = prints(flat, at, at + n_shingles)
+        fingerprints = prints(flat, np.repeat(at, n_shingles), at, at + n_shingles, n_shingles)
         begin, listed = [], []
         for column in blocks_of(fingerprints).T:
             values = np.concatenate([near[v] for v in column])
@@ -154,29 +202,63 @@ def search(texts: Sequence[str], benchmark: Benchmark, threshold: float) -> list
         values, begins = made[group.size]
         hit = anchored[group.size]
         hit = hit[among(values[hit], group.anchors)] if len(hit) else hit
-        step = max(1, WINDOWS_AT_ONCE // group.n_shingles)
-        for k in range(0, len(hit), step):
-            look(hit[k : k + step], values, begins, group, benchmark, threshold, best)
+        starts = dense(hit, begins, group.n_shingles, threshold)
+        step = max(1, min(PLACES_AT_ONCE // group.n_shingles, PAIRS_AT_ONCE // len(group.items)))
+        for k in range(0, len(starts), step):
+            look(starts[k : k + step], values, begins, group, benchmark, threshold, best)
     return [
         [(benchmark.ids[item], *row) for item, row in sorted(found.items())] for found in best
     ]
 
 
-def look(hit, values, begins, group, benchmark, threshold, best) -> None:
-    """Fingerprint every window over the anchors ``hit``, and keep the best match by text."""
-    n = group.n_shingles
+def needed(places: np.ndarray | int, n: int, threshold: float) -> np.ndarray:
+    """How many shingles a window must share with an item of ``n`` to reach the threshold."""
+    return np.ceil(threshold / (1 + threshold) * (places + n) - 1e-9).astype(np.int64)
+
+
+def dense(hit: np.ndarray, begins: np.ndarray, n: int, threshold: float) -> np.ndarray:
+    """Starts of the windows with enough of the places ``hit``, in texts that begin as said."""
+    if not len(hit):
+        return hit
     text = np.searchsorted(begins, hit, side="right") - 1
-    low, high = begins[text], np.maximum(begins[text], begins[text + 1] - n)
-    starts = np.unique(np.clip(hit[:, None] - np.arange(n), low[:, None], high[:, None]))
+    size = begins[text + 1] - begins[text]
+    # A text shorter than the item is one window.
+    short, count = np.unique(text[size < n], return_counts=True)
+    whole = begins[short][count >= needed(begins[short + 1] - begins[short], n, threshold)]
+    hit, text = hit[size >= n], text[size >= n]
+    least = max(1, int(needed(n, n, threshold)))
+    if len(hit) < least:
+        return whole
+    first, last = hit[: len(hit) - least + 1], hit[least - 1 :]
+    close = (last - first < n) & (text[: len(first)] == text[least - 1 :])
+    text = text[: len(first)][close]
+    low = np.maximum(last[close] - n + 1, begins[text])
+    high = np.minimum(first[close], begins[text + 1] - n)
+    # Each range begins behind the one before, since places and texts come in order.
+    low = np.maximum(low, np.concatenate([[0], np.maximum.accumulate(high)[:-1] + 1])) if len(low) else low
+    count = np.maximum(high - low + 1, 0)
+    ends = np.cumsum(count)
+    made = np.arange(ends[-1] if len(ends) else 0) + np.repeat(low - (ends - count), count)
+    return np.sort(np.concatenate([whole, made]))
+
+
+def look(starts, values, begins, group, benchmark, threshold, best) -> None:
+    """Fingerprint the windows at ``starts``, and keep the best match by text."""
+    n = group.n_shingles
     text = np.searchsorted(begins, starts, side="right") - 1
     ends = np.minimum(starts + n, begins[text + 1])
-    used = np.zeros(ends[-1] - starts[0] + 1, np.int32)
+    used = np.zeros(ends.max() - starts[0] + 1, np.int32)
     np.add.at(used, starts - starts[0], 1)
     np.add.at(used, ends - starts[0], -1)
     inside = np.cumsum(used) > 0
     place = np.concatenate([[0], np.cumsum(inside)])
-    compact = values[starts[0] : ends[-1] + 1][inside[: len(values) - starts[0]]]
-    fingerprints = prints(compact, place[starts - starts[0]], place[ends - starts[0]])
+    at = np.flatnonzero(inside) + starts[0]
+    owner = np.searchsorted(begins, at, side="right")
+    opens = np.concatenate([[True], (np.diff(at) > 1) | (np.diff(owner) > 0)])
+    region = np.maximum.accumulate(np.where(opens, np.arange(len(at)), 0))
+    fingerprints = prints(
+        values[at], region, place[starts - starts[0]], place[ends - starts[0]], n
+    )
     for window, item in zip(*candidates(fingerprints, group)):
         number = int(group.items[item])
         a, b = starts[window], ends[window]
@@ -208,6 +290,8 @@ def parts_of(benchmark: DataFrame) -> list[Benchmark]:
     """The benchmark's index, in parts of bounded size."""
     items = benchmark.select(F.col("item_id").cast("long"), "text")
     chars = items.agg(F.sum(F.char_length("text"))).first()[0] or 0
+    if chars > MAX_CHARS:
+        raise ValueError(f"the benchmark has {chars} characters, more than the {MAX_CHARS} allowed")
     n = max(1, math.ceil(chars / PART_CHARS))
     part = F.pmod(F.xxhash64("item_id", "text"), F.lit(n))
     return [
