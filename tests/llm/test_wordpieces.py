@@ -1,4 +1,5 @@
 import random
+import time
 
 import pytest
 
@@ -8,7 +9,10 @@ from voltledger.llm.queries import WORD_PIECES as PATH
 
 
 def greedy(word, initial, inner):
+    """Longest match first; a word that nothing else begins takes the bare mark, if there is one."""
     at = n = 0
+    if b"" in initial and not any(word[:e] in initial for e in range(1, len(word) + 1)):
+        initial, n = inner, 1
     while at < len(word):
         known = inner if at else initial
         end = next((e for e in range(len(word), at, -1) if word[at:e] in known), None)
@@ -31,6 +35,28 @@ def test_lengths_are_those_of_greedy_search(seed):
     assert wordpieces.lengths(words, wordpieces.build(initial, inner)).tolist() == want
 
 
+@pytest.mark.parametrize("few", [0, 5, 10**6])
+def test_words_walked_one_by_one(monkeypatch, few):
+    monkeypatch.setattr(wordpieces, "FEW_WORDS", few)
+    rng = random.Random(few)
+    initial, inner = {b"a", b"ab", b"abca", b"c", b""}, {b"a", b"bc", b"cab", b"c"}
+    words = [bytes(rng.choices(b"abc", k=rng.randint(1, 30))) for _ in range(300)]
+    want = [greedy(word, initial, inner) for word in words]
+    assert wordpieces.lengths(words, wordpieces.build(initial, inner)).tolist() == want
+
+
+def test_a_word_of_ten_million_bytes():
+    automaton = wordpieces.read_vocabulary(PATH)
+    unit = "日本語の文章ですSomeunspacedtext".encode()
+    part = unit * 2_000
+    one, two = wordpieces.lengths([part, part * 2], automaton).tolist()
+    word = unit * (10_000_000 // len(part) * 2_000)
+    start = time.monotonic()
+    (n,) = wordpieces.lengths([word], automaton)
+    assert n == one + (two - one) * (len(word) // len(part) - 1)
+    assert time.monotonic() - start < 40
+
+
 def plain_counts(text, initial, inner):
     each = [greedy(w.encode(), initial, inner) for w in wordpieces.WORD.findall(text or "")]
     return len(each), sum(max(1, n) for n in each), sum(n < 0 for n in each)
@@ -44,7 +70,7 @@ def vocabulary():
     with open(PATH) as file:
         pieces = json.load(file)["model"]["vocab"]
     raw = [bytes(symbols[s] for s in p) for p in pieces if all(s in symbols for s in p)]
-    initial = {piece[1:] for piece in raw if piece[:1] == b" "} - {b""}
+    initial = {piece[1:] for piece in raw if piece[:1] == b" "}
     return initial, {piece for piece in raw if piece[:1] != b" "}
 
 

@@ -3,7 +3,8 @@
 The vocabulary is a trie over bytes with failure links. Where a walk can go no further, the link
 leads to the node reached after the longest piece and those that must follow it are taken off, and
 a table made beforehand says how many pieces those are; so a word is read once, and no piece is
-built. All distinct words of a chunk are walked side by side, one byte at a time.
+built. All distinct words of a chunk are walked side by side, one byte at a time; the last few, the
+longest, are walked one by one.
 
 A text is parted at white space, and between letters, digits and other signs. Word-initial and
 continuing pieces are told apart as in the usual vocabularies; a word that no longer piece begins
@@ -18,6 +19,7 @@ import re
 from collections import deque
 from collections.abc import Iterable, Sequence
 from dataclasses import dataclass
+from functools import cached_property
 
 import numpy as np
 import pandas as pd
@@ -29,6 +31,9 @@ from voltledger.llm.words import chunked
 # Files above this size are refused: the automaton is sent to every executor.
 MAX_VOCABULARY_BYTES = 64 * 1024 * 1024
 
+# So many words are no longer worth a step of arrays.
+FEW_WORDS = 24
+
 WORD = re.compile(r"[^\W\d_]+|\d+|[^\w\s]+|_+")
 NONE = -1
 
@@ -46,6 +51,26 @@ class Automaton:
     start: int
     inner: int
 
+    @cached_property
+    def tables(self) -> tuple[dict[int, int], list[int], list[int]]:
+        """Edges, links and popped counts as Python has them, for a walk word by word."""
+        edges = dict(zip(self.edge_keys.tolist(), self.edge_to.tolist()))
+        return edges, self.link.tolist(), self.popped.tolist()
+
+    def walk(self, word: bytes, node: int, count: int) -> tuple[int, int]:
+        """The node and the count after the rest of a word; no node if it cannot go on."""
+        edges, link, popped = self.tables
+        for byte in word:
+            to = edges.get(node << 8 | byte)
+            while to is None:
+                count += popped[node]
+                node = link[node]
+                if node == NONE:
+                    return NONE, NONE
+                to = edges.get(node << 8 | byte)
+            node = to
+        return node, count
+
 
 def build(initial: Iterable[bytes], inner: Iterable[bytes]) -> Automaton:
     """The automaton of pieces that may begin a word and pieces that may follow one.
@@ -112,7 +137,7 @@ def lengths(words: Sequence[bytes], automaton: Automaton) -> np.ndarray:
     place = np.zeros(len(words), np.int64)
     going = np.flatnonzero(sizes > 0)
     keys = automaton.edge_keys
-    while len(going):
+    while len(going) > FEW_WORDS:
         key = node[going] << 8 | data[begin[going] + place[going]]
         at = np.searchsorted(keys, key)
         at[at == len(keys)] = 0
@@ -124,6 +149,8 @@ def lengths(words: Sequence[bytes], automaton: Automaton) -> np.ndarray:
         node[stuck] = automaton.link[node[stuck]]
         count[stuck[node[stuck] == NONE]] = NONE
         going = going[(node[going] != NONE) & (place[going] < sizes[going])]
+    for k in going.tolist():
+        node[k], count[k] = automaton.walk(words[k][place[k] :], int(node[k]), int(count[k]))
     done = node != NONE
     rest = automaton.finish[np.where(done, node, 1)]
     spelled = done & (rest != NONE) & (sizes > 0)
