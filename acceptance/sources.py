@@ -5,10 +5,31 @@ import uuid
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from acceptance.registry import check, table
+from acceptance.registry import check, null_if, table
 from voltledger import sources
 from voltledger.session import new_path
 
+@check(
+    """
+    SELECT count(*) AS n_rows, count(l_orderkey) AS l_orderkey_values, cast(0 AS bigint) AS l_orderkey_nulls,
+           count(flag) AS flag_values, count(*) - count(flag) AS flag_nulls,
+           min(l_orderkey) AS l_orderkey_min, max(l_orderkey) AS l_orderkey_max,
+           min(shipped) AS shipped_min, max(shipped) AS shipped_max,
+           min(l_extendedprice) AS l_extendedprice_min, max(l_extendedprice) AS l_extendedprice_max
+    FROM (SELECT *, nullif(l_returnflag, 'A') AS flag, cast(l_shipdate AS date) AS shipped FROM lineitem)
+    """
+)
+def profile_from_footers(spark, sf_dir):
+    path = new_path(spark, "lines")
+    flag, shipped = null_if("l_returnflag", "A"), F.col("l_shipdate").cast("date")
+    lines = table(spark, sf_dir, "lineitem").select(
+        "l_orderkey", "l_extendedprice", flag.alias("flag"), shipped.alias("shipped")
+    )
+    lines.write.parquet(path)
+    bounds = ["l_orderkey", "shipped", "l_extendedprice"]
+    return sources.stored_profile(spark, path, ["l_orderkey", "flag"], bounds)
+
+
 ORDER_TYPES = "o_orderkey bigint, o_orderstatus string, o_totalprice double"
 
 

@@ -7,6 +7,7 @@ from voltledger.sources.bronze import (
     read_rejected,
 )
 from voltledger.sources.files import flatten_results, read_csv, read_json_records, read_parquet
+from voltledger.sources.footers import stored_profile
 from voltledger.sources.silver import project
 from voltledger.sources.tables import append_rows, create_table, insert_row, read_ordered
 
@@ -24,4 +25,5 @@ __all__ = [
     "read_ordered",
     "read_parquet",
     "read_rejected",
+    "stored_profile",
 ]
