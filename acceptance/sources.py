@@ -1,6 +1,7 @@
 """Files and tables written from the given tables into the shared folder, and read back."""
 
 import uuid
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -72,14 +73,19 @@ LANDED = T.StructType(
 )
 
 
-def _raw_orders(spark, sf_dir, path):
-    """Lines of which one kind is cut short, one has text for a number, and the rest are good."""
+def _raw_orders(spark, sf_dir, path, by_priority=False):
+    """Lines of which one kind is cut short, one has text for a number, and the rest are good; in
+    a file per task, or per priority."""
     priority = F.col("o_orderpriority")
     good = F.to_json(F.struct("o_orderkey", "o_totalprice", "o_orderstatus"))
     cut = F.left(good, F.length(good) - 1)
     wrong = F.to_json(F.struct(F.col("o_orderkey"), F.lit("n/a").alias("o_totalprice")))
     line = F.when(priority == "5-LOW", cut).when(priority == "2-HIGH", wrong).otherwise(good)
-    table(spark, sf_dir, "orders").select(line.alias("value")).write.text(path)
+    lines = table(spark, sf_dir, "orders").select(line.alias("value"), "o_orderpriority")
+    if by_priority:
+        lines.repartition("o_orderpriority").write.partitionBy("o_orderpriority").text(path)
+    else:
+        lines.drop("o_orderpriority").write.text(path)
 
 
 @check(
@@ -107,6 +113,32 @@ def bronze_records(spark, sf_dir):
     return sources.read_accepted(spark, target, LANDED)
 
 
+@check(
+    """
+    SELECT cast(5 AS bigint) AS n_files, cast(5 AS bigint) AS n_known, count(*) FILTER (WHERE NOT bad) AS n_records,
+           count(*) FILTER (WHERE bad) AS n_rejected, count(*) FILTER (WHERE NOT bad) AS n_read
+    FROM (SELECT o_orderpriority IN ('5-LOW', '2-HIGH') AS bad FROM orders)
+    """
+)
+def bronze_landed_again(spark, sf_dir):
+    """The orders in a file per priority are landed, then some of them and copies under other
+    names again, then all."""
+    raw, copies, target = (new_path(spark, name) for name in ("orders-raw", "orders-copy", "orders-bronze"))
+    _raw_orders(spark, sf_dir, raw, by_priority=True)
+    some = f"{raw}/o_orderpriority={{1-URGENT,5-LOW}}"
+    counts = [sources.land_new_contents(spark, some, target, LANDED)]
+    spark.read.text(raw).repartition("o_orderpriority").write.partitionBy("o_orderpriority").text(copies)
+    for source in (f"{copies}/*", f"{raw}/*"):
+        counts.append(sources.land_new_contents(spark, source, target, LANDED))
+    first, second, third = counts
+    n_read = sources.read_contents(spark, target, LANDED).agg(F.count("*").alias("n_read")).scalar()
+    taken = first.unionAll(second).agg(
+        F.sum("n_files").alias("n_files"), F.sum("n_records").alias("n_records"), F.sum("n_rejected").alias("n_rejected")
+    )
+    again = third.where("n_files = 0").select("n_known").scalar()
+    return taken.select("n_files", again.alias("n_known"), "n_records", "n_rejected", n_read.alias("n_read"))
+
+
 def _order_documents(spark, sf_dir, path, faults):
     """Indented lists of the orders of 10,000 consecutive keys. With ``faults``, of three of them
     one has a second list behind it and one is cut short."""
@@ -247,6 +279,34 @@ def append_fill_null(spark, sf_dir):
     return spark.table(name)
 
 
+@check(
+    """
+    SELECT count(*) AS n_rows, count(*) AS n_ids, cast(2 AS bigint) AS n_loads,
+           cast(sum(num) AS bigint) AS num, cast(true AS boolean) AS in_claims
+    FROM (SELECT c_nationkey AS num FROM customer UNION ALL SELECT s_suppkey FROM supplier)
+    """
+)
+def append_two_writers(spark, sf_dir):
+    name, claims = f"voltledger_{uuid.uuid4().hex}", new_path(spark, "claims")
+    sources.create_table(spark, name, NUMBERED, location=new_path(spark, name), load_column="load")
+    supplier = table(spark, sf_dir, "supplier").select(F.col("s_suppkey").cast("int").alias("num"))
+    batches = [_customers(spark, sf_dir).select("num", "data"), supplier]
+    with ThreadPoolExecutor(2) as writers:
+        appends = [
+            writers.submit(sources.append_claimed, name, batch, claims, "id", "load", size=1000)
+            for batch in batches
+        ]
+        for append in appends:
+            append.result()
+    return spark.table(name).agg(
+        F.count("*").alias("n_rows"),
+        F.count_distinct("id").alias("n_ids"),
+        F.count_distinct("load").alias("n_loads"),
+        F.sum("num").alias("num"),
+        (F.min("id") >= 1).alias("in_claims"),
+    )
+
+
 @check("SELECT id, num FROM (" + CUSTOMERS + ") ORDER BY num NULLS LAST")
 def table_ordered_read(spark, sf_dir):
     return sources.read_ordered(spark, _numbered_customers(spark, sf_dir), ["id", "num"], "num", ["id"])

@@ -1,0 +1,126 @@
+import uuid
+from concurrent.futures import ThreadPoolExecutor
+
+import pytest
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from voltledger import sources
+from voltledger.sources import claims, manifest
+
+SCHEMA = T.StructType().add("id", "long").add("name", "string")
+
+
+def counts(row):
+    return row.n_files, row.n_known, row.n_records, row.n_rejected
+
+
+def land(spark, source, target, **how):
+    return counts(sources.land_new_contents(spark, str(source), str(target), SCHEMA, **how).first())
+
+
+def ids(spark, target):
+    return sorted(r.id for r in sources.read_contents(spark, str(target), SCHEMA).collect())
+
+
+def write(folder, name, *numbers):
+    folder.mkdir(exist_ok=True)
+    (folder / name).write_text("".join(f'{{"id": {n}, "name": "n{n}"}}\n' for n in numbers) + "oops\n")
+
+
+def test_landing_twice_adds_nothing(spark, tmp_path):
+    raw, target = tmp_path / "raw", tmp_path / "landed"
+    write(raw, "a", 1, 2)
+    write(raw, "b", 3)
+    assert land(spark, raw, target) == (2, 0, 3, 2)
+    assert land(spark, raw, target) == (0, 2, 0, 0)
+    assert ids(spark, target) == [1, 2, 3]
+    rejected = sources.read_contents(spark, str(target), SCHEMA, rejected=True)
+    assert [r.raw_line for r in rejected.collect()] == ["oops", "oops"]
+    files = sources.read_manifest(spark, str(target)).collect()
+    assert sorted((r.file.split("/")[-1], r.n_lines) for r in files) == [("a", 3), ("b", 2)]
+
+
+def test_content_decides_not_the_name(spark, tmp_path):
+    raw, target = tmp_path / "raw", tmp_path / "landed"
+    write(raw, "a", 1, 2)
+    write(raw, "copy of a", 1, 2)
+    assert land(spark, raw, target) == (1, 1, 2, 1)
+    write(raw, "a", 1, 2, 2)
+    write(raw, "c", 4)
+    (raw / "empty").write_text("")
+    assert land(spark, raw, target) == (2, 1, 4, 2)
+    assert ids(spark, target) == [1, 1, 2, 2, 2, 4]
+
+
+def test_a_load_without_manifest_is_not_there(spark, tmp_path):
+    raw, target = tmp_path / "raw", tmp_path / "landed"
+    write(raw, "a", 1)
+    assert land(spark, raw, target) == (1, 0, 1, 1)
+    write(raw, "b", 2)
+    # The data of a load are written, and then the job dies before its manifest.
+    lines = manifest.parse_lines(spark.read.text(str(raw / "b")), SCHEMA)
+    lines.write.partitionBy("landing").parquet(f"{target}/data/load=died")
+    assert ids(spark, target) == [1]
+    assert land(spark, raw, target) == (1, 1, 1, 1)
+    assert ids(spark, target) == [1, 2]
+
+
+def test_partitions_and_nothing_to_land(spark, tmp_path):
+    raw, target = tmp_path / "raw", tmp_path / "landed"
+    raw.mkdir()
+    (raw / "none").write_text("")
+    assert land(spark, raw, target) == (0, 0, 0, 0)
+    assert ids(spark, target) == []
+    write(raw, "a", 1, 2, 3)
+    assert land(spark, raw, target, partition_by={"odd": F.col("id") % 2}) == (1, 0, 3, 1)
+    assert ids(spark, target) == [1, 2, 3]
+
+
+def test_one_of_many_creates_a_file(spark, tmp_path):
+    with ThreadPoolExecutor(8) as pool:
+        made = list(pool.map(lambda k: claims.created_alone(spark, f"{tmp_path}/x/{k % 5}"), range(60)))
+    assert sum(made) == 5 and not claims.created_alone(spark, f"{tmp_path}/x/0")
+
+
+def test_claims_do_not_overlap(spark, tmp_path):
+    folder = str(tmp_path / "claims")
+    with ThreadPoolExecutor(8) as pool:
+        taken = list(pool.map(lambda n: claims.claim_ids(spark, folder, n, 10), [25, 1, 10, 11, 0, 40, 9, 30]))
+    firsts = sorted(first for one in taken for first in one)
+    assert [len(one) for one in taken] == [3, 1, 1, 2, 0, 4, 1, 3]
+    assert firsts == [1 + 10 * k for k in range(15)]
+    assert claims.claim_ids(spark, folder, 5, 10) == [151]
+
+
+@pytest.fixture
+def table(spark, tmp_path):
+    name = f"shared_{uuid.uuid4().hex}"
+    schema = T.StructType().add("id", "long").add("num", "integer").add("data", "string")
+    sources.create_table(spark, name, schema, location=str(tmp_path / name), load_column="load")
+    yield name
+    spark.sql(f"DROP TABLE {name}")
+
+
+def test_several_writers_give_no_id_twice(spark, tmp_path, table):
+    folder = str(tmp_path / "claims")
+    batches = [spark.range(n * 100).select(F.lit(n).alias("num")).repartition(3) for n in range(5)]
+    with ThreadPoolExecutor(5) as pool:
+        loads = list(pool.map(lambda b: sources.append_claimed(table, b, folder, "id", "load", size=64), batches))
+    rows = spark.table(table).collect()
+    assert len(rows) == 1000 == len({r.id for r in rows}) and min(r.id for r in rows) >= 1
+    assert {r.data for r in rows} == {None} and len(set(loads)) == 5
+    each = {n: [r for r in rows if r.num == n] for n in range(5)}
+    assert [len(each[n]) for n in range(5)] == [0, 100, 200, 300, 400]
+    assert all({r.load for r in each[n]} == {loads[n]} for n in range(1, 5))
+
+
+def test_a_load_is_seen_whole_or_not(spark, tmp_path, table):
+    folder = str(tmp_path / "claims")
+    sources.append_claimed(table, spark.range(5).select(F.col("id").cast("int").alias("num")), folder, "id", "load")
+    bad = spark.range(100).select(F.when(F.col("id") == 99, F.raise_error(F.lit("stop"))).cast("int").alias("num"))
+    with pytest.raises(Exception, match="stop"):
+        sources.append_claimed(table, bad, folder, "id", "load")
+    assert spark.table(table).count() == 5
+    with pytest.raises(ValueError, match="set on append"):
+        sources.append_claimed(table, spark.range(1), folder, "id", "load")

@@ -8,20 +8,31 @@ from voltledger.sources.bronze import (
 )
 from voltledger.sources.files import flatten_results, read_csv, read_json_records, read_parquet
 from voltledger.sources.footers import stored_profile
+from voltledger.sources.manifest import land_new_contents, read_contents, read_manifest
 from voltledger.sources.silver import project
-from voltledger.sources.tables import append_rows, create_table, insert_row, read_ordered
+from voltledger.sources.tables import (
+    append_claimed,
+    append_rows,
+    create_table,
+    insert_row,
+    read_ordered,
+)
 
 __all__ = [
+    "append_claimed",
     "append_rows",
     "create_table",
     "flatten_results",
     "insert_row",
     "land_json_documents",
     "land_json_lines",
+    "land_new_contents",
     "project",
     "read_accepted",
+    "read_contents",
     "read_csv",
     "read_json_records",
+    "read_manifest",
     "read_ordered",
     "read_parquet",
     "read_rejected",

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -10,6 +11,7 @@ from pyspark.sql import types as T
 
 from voltledger.functions import col, quoted, require_columns
 from voltledger.session import staged
+from voltledger.sources.claims import BLOCK, claim_ids
 
 # The row offsets of a batch, one per staged file, are broadcast up to this many files.
 BROADCAST_FILES = 100_000
@@ -38,14 +40,20 @@ def create_table(
     schema: T.StructType,
     location: str | None = None,
     id_column: str | None = None,
+    load_column: str | None = None,
 ) -> None:
     """Create an empty Parquet table; an error if it is there already.
 
-    Ids of ``id_column`` start at 1, and the next one is kept as a property of the table.
+    Ids of ``id_column`` start at 1, and the next one is kept as a property of the table. A
+    ``load_column`` is added behind the others; the table is parted by it, which is what several
+    writers at once need (``append_claimed``).
     """
+    if load_column is not None:
+        schema = T.StructType([*schema.fields, T.StructField(load_column, T.StringType())])
     columns = ", ".join(f"{quoted(f.name)} {f.dataType.simpleString()}" for f in schema.fields)
     place = "" if location is None else f" LOCATION {_literal(location)}"
-    spark.sql(f"CREATE TABLE {_name(table)} ({columns}) USING parquet{place}")
+    parted = "" if load_column is None else f" PARTITIONED BY ({quoted(load_column)})"
+    spark.sql(f"CREATE TABLE {_name(table)} ({columns}) USING parquet{parted}{place}")
     if id_column is not None:
         require_columns(spark.table(table), [id_column])
         _keep_next_id(spark, table, id_column, 1)
@@ -153,6 +161,68 @@ def append_rows(
         _insert(table, target, numbered)
 
 
+def _location(spark: SparkSession, table: str) -> str:
+    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {_name(table)}").collect()
+    return next(row["data_type"] for row in rows if row["col_name"] == "Location").rstrip("/")
+
+
+def append_claimed(
+    table: str,
+    batch: DataFrame,
+    claims: str,
+    id_column: str,
+    load_column: str,
+    size: int = BLOCK,
+    broadcast_files: int = BROADCAST_FILES,
+) -> str:
+    """Append ``batch`` with ids that no other writer has, while others append as well.
+
+    The rows are written to the shared folder and counted; then blocks of ``size`` ids are claimed
+    in the folder ``claims`` (``claim_ids``) and given out by a row's place in what was written, so
+    that a task that runs again gives the same ids. Ids are unique, not consecutive between
+    writers. Each writer writes a folder of its own, which becomes a partition of the table, named
+    in ``load_column``, when it is whole: readers see all rows of a load or none, and a writer that
+    fails leaves nothing but unused ids. Returns the name of the load.
+    """
+    spark = batch.sparkSession
+    target = spark.table(table)
+    require_columns(target, [id_column, load_column])
+    own = [name for name in target.columns if name not in (id_column, load_column)]
+    extra = [name for name in batch.columns if name not in own]
+    if extra:
+        raise ValueError(f"columns {extra} are not in {table}, or are set on append")
+    names = [*batch.columns, id_column]
+    file, place, before = (_unused(names, stem) for stem in ("file_name", "row_index", "rows_before"))
+    load = uuid.uuid4().hex
+    with staged(batch, "append") as rows:
+        offsets = _offsets(rows, file, before)
+        n_files, n_rows = offsets.agg(F.count("*"), F.coalesce(F.sum("n"), F.lit(0))).first()
+        if not n_rows:
+            return load
+        # One number per claimed block.
+        firsts = F.array(*[F.lit(first) for first in claim_ids(spark, claims, n_rows, size)])
+        if n_files <= broadcast_files:
+            offsets = F.broadcast(offsets)
+        rank = F.col(before) + F.col(place)
+        block = F.floor(rank / size).cast("int")
+        given = rows.select(
+            "*",
+            F.col("_metadata.file_name").alias(file),
+            F.col("_metadata.row_index").alias(place),
+        ).join(offsets.drop("n"), file)
+        given = given.withColumn(id_column, F.get(firsts, block) + rank % size)
+        filled = [
+            (col(f.name) if f.name in names else F.lit(None)).cast(f.dataType).alias(f.name)
+            for f in target.schema.fields
+            if f.name != load_column
+        ]
+        given.select(filled).write.parquet(f"{_location(spark, table)}/{load_column}={load}")
+    spark.sql(
+        f"ALTER TABLE {_name(table)} ADD PARTITION ({quoted(load_column)} = {_literal(load)})"
+    )
+    return load
+
+
 def _insert(table: str, target: DataFrame, rows: DataFrame) -> None:
     filled = [
         (col(f.name) if f.name in rows.columns else F.lit(None)).cast(f.dataType).alias(f.name)
