@@ -3,6 +3,7 @@ from collections import defaultdict
 
 import duckdb
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from tests.llm.odd import WORDS, no_documents, odd_documents
@@ -136,3 +137,19 @@ def test_a_corpus_of_fewer_than_ten_sources(spark):
     assert kept[0] == sorted(["on 4", "on 5", "on 9", *long.values()])
     assert kept[1] == ["long 2 " + "word " * 60 + "end", "on 4"]
     assert kept[2:] == [["on 4"], ["on 4"], [], [], [], [], []]
+
+
+@pytest.mark.parametrize("n_sources", [2, 9, 20])
+def test_the_query_follows_the_sites_there_are(spark, tmp_path, n_sources):
+    """The same documents dealt over few sources: the query and its SQL agree, and lines go."""
+    folder = str(tmp_path)
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    dealt = docs.withColumn("source", F.concat(F.lit("s"), F.col("doc_id") % n_sources))
+    dealt.coalesce(1).write.parquet(f"{folder}/documents.parquet")
+    rows = queries.QUERIES["op2_line_dedup"](spark, folder).collect()
+    duck = duckdb.connect()
+    duck.execute(f"CREATE VIEW documents AS SELECT * FROM '{folder}/documents.parquet/*.parquet'")
+    want = duck.sql(queries.ORACLES["op2_line_dedup"])
+    assert want.columns == ["doc_id", "text", "n_removed"]
+    assert sorted(map(tuple, rows)) == sorted(want.fetchall())
+    assert sum(row.n_removed for row in rows) > 0

@@ -5,6 +5,10 @@ aggregated. Lines whose estimate lies near the threshold get an exact count of t
 the others are decided by the estimate. A boilerplate line stays where it comes first (lowest
 ``doc_id``, then place) and goes everywhere else. DataFrame functions only.
 
+How many sites make a line boilerplate may follow from the table (``sites_needed``): a line that
+half of all sites share, or ten of them, or three if it is long. That is a rule about the whole
+table, so a part of it, with other sites, may have other results.
+
 A line is compared without the blanks around it; blank lines are left alone. Null text stays null,
 a null site is no site, and a null ``doc_id`` comes first. Rows that repeat an id and a text are
 treated alike. Two lines are one when two 64-bit hashes of them agree.

@@ -62,7 +62,9 @@ def op1_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
-    return boilerplate.without_boilerplate(docs).select("doc_id", "text", "n_removed")
+    least, long = boilerplate.sites_needed(docs)
+    cleaned = boilerplate.without_boilerplate(docs, least, long_sites=long)
+    return cleaned.select("doc_id", "text", "n_removed")
 
 
 ORACLES["op2_line_dedup"] = """
@@ -74,9 +76,12 @@ ORACLES["op2_line_dedup"] = """
         FROM pieces
     ), trimmed AS (
         SELECT *, trim(line, ' ' || chr(9) || chr(13)) AS bare FROM lines
+    ), needed AS (
+        SELECT greatest(2, least(10, (count(DISTINCT source) + 1) // 2)) AS sites FROM documents
     ), boilerplate AS (
         SELECT bare, min({'doc_id': doc_id, 'place': place}) AS first
-        FROM trimmed WHERE bare <> '' GROUP BY bare HAVING count(DISTINCT source) >= 10
+        FROM trimmed, needed WHERE bare <> '' GROUP BY bare, sites
+        HAVING count(DISTINCT source) >= CASE WHEN length(bare) >= 200 THEN least(3, sites) ELSE sites END
     ), marked AS (
         SELECT t.*, b.bare IS NOT NULL AND b.first <> {'doc_id': t.doc_id, 'place': t.place} AS gone
         FROM trimmed t LEFT JOIN boilerplate b USING (bare)
