@@ -6,6 +6,7 @@ from acceptance import (  # noqa: F401
     exact_sums,
     filters,
     grid_series,
+    kept,
     ordering,
     projections,
     register_analyses,

@@ -9,6 +9,17 @@ from voltledger.operators.grouping import (
     sum_matching,
     sum_rounded,
 )
+from voltledger.operators.kept import (
+    add_grid_load,
+    add_key_counts,
+    add_sketches,
+    at_least_distinct,
+    duplicated_in_load,
+    kept_day_completeness,
+    kept_distinct,
+    kept_duplicates,
+    key_counts,
+)
 from voltledger.operators.ordering import sorted_rows, top_rows
 from voltledger.operators.profiling import (
     columns_equal,
@@ -36,10 +47,15 @@ from voltledger.operators.series import (
 )
 
 __all__ = [
+    "add_grid_load",
+    "add_key_counts",
+    "add_sketches",
+    "at_least_distinct",
     "columns_equal",
     "count_distinct",
     "count_per_column",
     "duplicate_key_report",
+    "duplicated_in_load",
     "duplicated_rows",
     "duplicated_sum",
     "exact_sums",
@@ -51,6 +67,10 @@ __all__ = [
     "group_share",
     "group_sums",
     "has_null",
+    "kept_day_completeness",
+    "kept_distinct",
+    "kept_duplicates",
+    "key_counts",
     "min_max",
     "missing_slots",
     "null_columns",
