@@ -36,3 +36,10 @@ def sorted_group_top(spark, sf_dir):
 def sorted_rows(spark, sf_dir):
     rows = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus", "o_orderdate")
     return ops.sorted_rows(rows, "o_orderstatus", tie_break=["o_orderkey"])
+
+
+@check("SELECT l_orderkey, l_linenumber, l_linestatus FROM lineitem ORDER BY l_linestatus DESC")
+def sorted_hot_value(spark, sf_dir):
+    """Two values share all rows, and there is no tie-break: ranges are cut by place."""
+    lines = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_linestatus")
+    return ops.sorted_rows(lines, "l_linestatus", descending=True)

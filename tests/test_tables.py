@@ -117,6 +117,34 @@ def test_order_holds_over_many_partitions(spark, tmp_path, how):
         spark.sql("DROP TABLE IF EXISTS ordered")
 
 
+@pytest.mark.parametrize("how", ["table", "rows"])
+def test_a_hot_value_is_split_without_a_tie_break(spark, tmp_path, how):
+    """One value has a third of the rows; equal values keep the order of the input."""
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    spark.conf.set("spark.sql.shuffle.partitions", "12")
+    try:
+        num = F.when(F.col("id") % 3 == 0, F.lit(50)).otherwise(F.col("id") % 101).cast("int")
+        df = spark.range(60_000, numPartitions=5).select("id", num.alias("num"), F.lit(1).alias("place"))
+        if how == "table":
+            df.write.mode("overwrite").option("path", str(tmp_path / "h")).saveAsTable("hot")
+            ordered = sources.read_ordered(spark, "hot", ["id", "num"], "num")
+        else:
+            ordered = ops.sorted_rows(df, "num", descending=True)
+            assert ordered.columns == df.columns
+        got, _ = positions(ordered, "id", "num")
+        values = [row[1] for row in got]
+        assert values == sorted(values, reverse=how == "rows") and len(got) == 60_000
+        sizes = sorted(r["count"] for r in ordered.groupBy(F.spark_partition_id()).count().collect())
+        assert sizes[-1] <= 2 * sizes[len(sizes) // 2]
+        if how == "rows":
+            ids = [row[0] for row in got]
+            assert all(a < b for (a, m), (b, n) in zip(got, got[1:]) if m == n) and len(set(ids)) == 60_000
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+        spark.sql("DROP TABLE IF EXISTS hot")
+
+
 def test_ordered_read_has_nulls_last(spark, table):
     batch = spark.createDataFrame([(None,), (2,), (1,)], "num int")
     sources.append_rows(table, batch)

@@ -6,7 +6,7 @@ from voltledger.functions.dates import (
     is_unreadable_date,
     parse_date,
 )
-from voltledger.functions.names import col, names_containing, quoted, require_columns
+from voltledger.functions.names import col, names_containing, quoted, require_columns, unused
 from voltledger.functions.numeric import divide_ieee, ratio_above, round_half_even, sum_or_zero
 from voltledger.functions.predicates import all_true, differs, first_available
 
@@ -26,4 +26,5 @@ __all__ = [
     "require_columns",
     "round_half_even",
     "sum_or_zero",
+    "unused",
 ]

@@ -25,6 +25,14 @@ def require_columns(df: DataFrame, names: Iterable[str]) -> None:
         raise ValueError(f"missing columns {missing}; the frame has {df.columns}")
 
 
+def unused(names: Iterable[str], stem: str) -> str:
+    """A column name that is not among ``names``."""
+    taken = {name.lower() for name in names}
+    while stem.lower() in taken:
+        stem = f"_{stem}"
+    return stem
+
+
 def names_containing(df: DataFrame, text: str) -> list[str]:
     """Names of the columns whose name contains ``text`` (case matters), in frame order."""
     return [name for name in df.columns if text in name]

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from voltledger.functions import col, require_columns
+from voltledger.functions import col, require_columns, unused
 
 
 def _order(df: DataFrame, by: str, descending: bool, tie_break: Sequence[str]) -> list[Column]:
@@ -21,11 +21,16 @@ def sorted_rows(
 ) -> DataFrame:
     """All rows in order of ``by``.
 
-    The sort is range-partitioned. With a fine ``tie_break`` (a unique id, say) the ranges can
-    cut through a value of ``by`` that holds a large part of the rows; without one such a value
-    stays in one task.
+    The sort is range-partitioned, and ranges can cut through a value of ``by`` that holds a large
+    part of the rows: by a fine ``tie_break`` (a unique id, say), or without one by a row's place in
+    the input, so that equal values also keep the order that they have there.
     """
-    return df.orderBy(*_order(df, by, descending, tie_break))
+    order = _order(df, by, descending, tie_break)
+    if tie_break:
+        return df.orderBy(*order)
+    place = unused(df.columns, "place")
+    placed = df.withColumn(place, F.monotonically_increasing_id())
+    return placed.orderBy(*order, place).drop(place)
 
 
 def top_rows(

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from voltledger.functions import col, quoted, require_columns
+from voltledger.functions import col, quoted, require_columns, unused
 from voltledger.session import staged
 from voltledger.sources.claims import BLOCK, claim_ids
 
@@ -26,14 +26,6 @@ def _literal(text: str) -> str:
     return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
-def _unused(names: Sequence[str], stem: str) -> str:
-    """A column name that is not among ``names``."""
-    taken = {name.lower() for name in names}
-    while stem.lower() in taken:
-        stem = f"_{stem}"
-    return stem
-
-
 def create_table(
     spark: SparkSession,
     table: str,
@@ -141,7 +133,7 @@ def append_rows(
         order = [F.asc_nulls_last(col(name)) for name in (*order_by, *order_ties)]
         batch = batch.orderBy(*order)
     names = [*batch.columns, id_column]
-    file, place, before = (_unused(names, stem) for stem in ("file_name", "row_index", "rows_before"))
+    file, place, before = (unused(names, stem) for stem in ("file_name", "row_index", "rows_before"))
     with staged(batch, "append") as rows:
         offsets = _offsets(rows, file, before)
         n_files, n_rows = offsets.agg(F.count("*"), F.coalesce(F.sum("n"), F.lit(0))).first()
@@ -192,7 +184,7 @@ def append_claimed(
     if extra:
         raise ValueError(f"columns {extra} are not in {table}, or are set on append")
     names = [*batch.columns, id_column]
-    file, place, before = (_unused(names, stem) for stem in ("file_name", "row_index", "rows_before"))
+    file, place, before = (unused(names, stem) for stem in ("file_name", "row_index", "rows_before"))
     load = uuid.uuid4().hex
     with staged(batch, "append") as rows:
         offsets = _offsets(rows, file, before)
@@ -240,10 +232,20 @@ def read_ordered(
 ) -> DataFrame:
     """Chosen columns of a table in ascending order of ``order_by``, nulls last.
 
-    With a fine ``tie_break`` (the id, say) the ranges of the sort can cut through a value that
-    holds a large part of the rows; without one such a value stays in one task.
+    The ranges of the sort can cut through a value that holds a large part of the rows: by a fine
+    ``tie_break`` (the id, say), or without one by a row's place in the files of the table, which
+    is also the order of equal values.
     """
     source = spark.table(table)
     require_columns(source, [*columns, order_by, *tie_break])
-    order = [F.asc_nulls_last(col(name)) for name in (order_by, *tie_break)]
-    return source.orderBy(*order).select([col(name) for name in columns])
+    if tie_break:
+        order = [F.asc_nulls_last(col(name)) for name in (order_by, *tie_break)]
+        return source.orderBy(*order).select([col(name) for name in columns])
+    file, row = (unused(source.columns, stem) for stem in ("file_name", "row_index"))
+    placed = source.select(
+        *{name: col(name) for name in (*columns, order_by)}.values(),
+        F.xxhash64("_metadata.file_path").alias(file),
+        F.col("_metadata.row_index").alias(row),
+    )
+    ordered = placed.orderBy(F.asc_nulls_last(col(order_by)), file, row)
+    return ordered.select([col(name) for name in columns])
