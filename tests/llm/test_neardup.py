@@ -3,6 +3,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from tests.llm.odd import no_documents, odd_documents, prose
 from voltledger.llm import darts, neardup
@@ -150,3 +151,42 @@ def test_components_of_paths_hubs_and_loops(spark):
     want |= {k: 201 for k in (201, 203, 205)}
     assert {row.node: row.component for row in found} == want and len(found) == len(want)
     assert components(spark.createDataFrame([], "a long, b long")).collect() == []
+
+
+def test_a_large_group_with_few_strays_is_sent_once(spark):
+    """50,000 texts of one component and three others in a bucket: rows grow with the texts."""
+    n, block = 50_000, neardup.BLOCK
+    rows = spark.range(n + 3).select(
+        F.lit(7).cast("long").alias("bucket"),
+        F.col("id").alias("node"),
+        F.when(F.col("id") < n, 0).otherwise(F.col("id")).cast("long").alias("component"),
+    )
+    rows = rows.unionAll(spark.range(9).select(F.lit(8).cast("long"), "id", F.lit(1).cast("long")))
+    made = neardup.block_rows(rows)
+    count = made.groupBy("bucket").count().collect()
+    assert [(r.bucket, r["count"]) for r in count] == [(7, n + 3 * (n // block + 1))]
+    largest = made.groupBy("low", "high").count().agg(F.max("count")).first()[0]
+    assert largest < 2 * block
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_blocks_hold_every_pair_of_two_components(spark, monkeypatch, seed):
+    monkeypatch.setattr(neardup, "BLOCK", 4)
+    rng = random.Random(seed)
+    data = [(b, 100 * b + k, rng.choice([1, 1, 1, 2, 100 + k])) for b in range(4) for k in range(25)]
+    rows = spark.createDataFrame(data, "bucket long, node long, component long")
+    met = {}
+    for r in neardup.block_rows(rows).collect():
+        met.setdefault((r.bucket, r.low, r.high), []).append(r)
+    pairs = set()
+    for (_, low, high), block in met.items():
+        for a in block:
+            for b in block:
+                ordered = a.chunk == low and b.chunk == high and (low < high or a.node < b.node)
+                if ordered and a.component != b.component:
+                    pair = frozenset((a.node, b.node))
+                    assert pair not in pairs
+                    pairs.add(pair)
+    assert pairs == {
+        frozenset((n, m)) for b, n, c in data for d, m, e in data if b == d and n < m and c != e
+    }

@@ -232,25 +232,38 @@ def joining_links(frames: Iterator[pd.DataFrame], threshold: float) -> Iterator[
             yield pd.DataFrame(found, columns=["a", "b"])
 
 
-def links_across(
-    shared: DataFrame, comps: DataFrame, keys: DataFrame, known: DataFrame, threshold: float
-) -> DataFrame:
-    """Links between texts of one bucket and different components, enough to join these."""
-    rows = shared.join(comps, "node", "left").withColumn(
-        "component", F.coalesce("component", "node")
-    )
+def block_rows(rows: DataFrame) -> DataFrame:
+    """``bucket, low, high, chunk, node, component`` of ``rows(bucket, node, component)``: the texts
+    of buckets with several components, in blocks that hold every pair to be compared.
+
+    The texts of a bucket's largest component are not compared with each other: they meet those
+    outside it only. So a large group with a few other texts is sent once, and these to all of it.
+    """
+    sizes = rows.groupBy("bucket", "component").agg(F.count("*").alias("n"))
     mixed = (
-        rows.groupBy("bucket")
-        .agg(F.min("component").alias("first"), F.max("component").alias("last"))
-        .where("first <> last")
-        .select("bucket")
+        sizes.groupBy("bucket")
+        .agg(
+            F.max(F.struct("n", "component")).alias("main"),
+            F.sum("n").alias("size"),
+            F.count("*").alias("components"),
+        )
+        .where("components > 1")
+        .select(
+            "bucket",
+            F.col("main.component").alias("main"),
+            F.ceil(F.col("main.n") / BLOCK).cast("int").alias("inside"),
+            F.ceil((F.col("size") - F.col("main.n")) / BLOCK).cast("int").alias("outside"),
+        )
     )
-    blocks = F.ceil(F.col("size") / BLOCK).cast("int")
+    is_main, inside = F.col("component") == F.col("main"), F.col("inside")
+    place, last = F.xxhash64("node"), F.col("inside") + F.col("outside") - 1
+    own = F.when(is_main, F.pmod(place, inside)).otherwise(inside + F.pmod(place, F.col("outside")))
+    first = F.when(is_main, inside).otherwise(F.lit(0))
     chunk, other = F.col("chunk"), F.col("other")
-    rows = (
-        rows.join(mixed, "bucket", "left_semi")
-        .withColumn("chunk", F.pmod(F.xxhash64("node"), blocks).cast("int"))
-        .withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
+    return (
+        rows.join(mixed, "bucket")
+        .withColumn("chunk", own.cast("int"))
+        .withColumn("other", F.explode(F.sequence(first, last)))
         .select(
             "bucket",
             F.least(chunk, other).alias("low"),
@@ -260,6 +273,16 @@ def links_across(
             "component",
         )
     )
+
+
+def links_across(
+    shared: DataFrame, comps: DataFrame, keys: DataFrame, known: DataFrame, threshold: float
+) -> DataFrame:
+    """Links between texts of one bucket and different components, enough to join these."""
+    rows = shared.join(comps, "node", "left").withColumn(
+        "component", F.coalesce("component", "node")
+    )
+    rows = block_rows(rows.select("bucket", "node", "component"))
     place = "bucket long, low int, high int, chunk int, node long, component long"
     sketches = known.select("node", "sketch")
     some = dealt(rows.join(keys, "node").join(sketches, "node"), BLOCK_KEY)
