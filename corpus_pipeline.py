@@ -17,7 +17,11 @@ ACCEPTED_SCORE = 0.5
 
 
 def accept_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality classifier accepts; it learns from their labels."""
+    """Documents that the quality classifier accepts; it learns from their labels.
+
+    Null and empty texts have a score like any other and go if it is below the bound. Repeated rows
+    have equal scores, so they stay or go together. Other columns pass through.
+    """
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     rated = quality.with_quality(docs, labels, name="__quality")
     return rated.where(F.col("__quality") >= ACCEPTED_SCORE).drop("__quality")
@@ -38,12 +42,20 @@ def remove_boilerplate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def remove_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates."""
+    """One document of each group of near duplicates: that with the smallest id.
+
+    Null texts count as empty ones, and texts without words are near duplicates of their equals
+    only. Of rows that repeat an id and a text one stays. A null id comes behind all others.
+    """
     return neardup.survivors(docs)
 
 
 def remove_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold no benchmark item."""
+    """Documents that hold no benchmark item, not even nearly.
+
+    Null and empty texts hold none and stay. Repeated rows stay or go together. An item without
+    words is in no document; a benchmark above the size that the operator allows is refused.
+    """
     benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
     searched = decontaminate.with_hits(docs, benchmark, name="__hits")
     return searched.where(F.size("__hits") == 0).drop("__hits")
