@@ -69,6 +69,14 @@ def test_only_unseen_pairs_are_scanned(spark, tmp_path):
     assert [s for s in secrets.digest(old).collect() if s.doc_id == 2][0].n_hex == 1
 
 
+def test_columns_named_as_the_results_are_replaced(spark, tmp_path):
+    docs = spark.createDataFrame([(1, "password = abcdefgh1", "b", "s")], "doc_id long, text string, blob string, spans_hex string")
+    (row,) = secrets.findings(docs, secrets.update_ledger(docs, str(tmp_path / "a"))).collect()
+    assert row.blob == hashlib.sha256(row.text.encode()).hexdigest()
+    assert row.spans_hex == [] and len(row.spans_assign) == 1
+    assert sorted(row.asDict()) == ["blob", "doc_id", "spans_access", "spans_assign", "spans_hex", "text"]
+
+
 def test_odd_rows(spark, tmp_path):
     docs = odd_documents(spark)
     found = secrets.findings(docs, secrets.update_ledger(docs, str(tmp_path / "a")))

@@ -134,7 +134,8 @@ def new_entries(
 
 
 def findings(docs: DataFrame, ledger: DataFrame, rules: Sequence[Rule] = RULES) -> DataFrame:
-    """``docs`` with their blob and, by rule name, the spans that the ledger has for it."""
+    """``docs`` with their ``blob`` and, as ``spans_`` and the rule's name, the spans that the ledger
+    has for it. Columns of ``docs`` that have these names are replaced."""
     per_blob = ledger.groupBy("blob").agg(
         *[
             F.max(

@@ -7,7 +7,8 @@ line the windows hold a fixed part of all vectors, since a pair at 0.9 is only t
 as an unrelated one; so each line is first cut into cells by the signs of some further
 projections, as many as keep cells at some hundred vectors, and sorted and swept cell by cell. The
 number of lines follows from the number of signs: a pair at the threshold reaches the count with
-the stated recall.
+the stated recall. So it is the cells that leave few pairs to look at; within a cell the window and
+the count of two then leave out what does not collide.
 
 A pair is looked at where it collides first, so every link is counted once and no pair leaves a
 task. Cells above a bound are dealt out as pairs of blocks.
