@@ -1,8 +1,9 @@
+import os
 from types import SimpleNamespace
 
 import pytest
 
-from voltledger.session import shared_folder, shuffle_partitions
+from voltledger.session import new_path, scratch, shared_folder, shuffle_partitions, written
 
 
 def session(master, setting=None, checkpoint=None):
@@ -37,3 +38,23 @@ def test_shuffle_partitions():
     assert shuffle_partitions(0) == 1
     assert shuffle_partitions(128 * 2**20 + 1) == 2
     assert shuffle_partitions(2 * 10**12) == 14902
+
+
+def test_scratch_takes_what_is_written_and_goes(spark):
+    with scratch(spark) as folder:
+        made = written(spark.range(5), "numbers")
+        assert made.count() == 5 and all(folder in name for name in made.inputFiles())
+        with scratch(spark) as inner:
+            written(spark.range(2), "more")
+            assert inner.startswith(folder)
+        assert not os.path.exists(inner.removeprefix("file:")) and made.count() == 5
+    assert not os.path.exists(folder.removeprefix("file:"))
+    assert new_path(spark, "x").startswith(shared_folder(spark) + "/x-")
+
+
+def test_scratch_goes_after_an_error(spark):
+    with pytest.raises(ZeroDivisionError):
+        with scratch(spark) as folder:
+            written(spark.range(5), "numbers")
+            1 / 0
+    assert not os.path.exists(folder.removeprefix("file:"))

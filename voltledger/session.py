@@ -8,6 +8,7 @@ import tempfile
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -68,9 +69,32 @@ def shared_folder(spark: SparkSession) -> str:
     return folder.rstrip("/")
 
 
+# The folder of the innermost ``scratch`` block, if any.
+_scratch: ContextVar[str | None] = ContextVar("scratch", default=None)
+
+
 def new_path(spark: SparkSession, label: str) -> str:
-    """A path in the shared folder that no other call has been given."""
-    return f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
+    """A path in the shared folder, or in that of a ``scratch`` block, that no other call has been
+    given."""
+    folder = _scratch.get() or shared_folder(spark)
+    return f"{folder}/{label}-{uuid.uuid4().hex}"
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[str]:
+    """A folder in the shared one that takes whatever is written within the block, by ``written``
+    and ``new_path``, and goes at its end, also after an error.
+
+    Results that stand on such data must be used up, or written elsewhere, within the block. It
+    holds for the thread that opens it.
+    """
+    folder = new_path(spark, "scratch")
+    token = _scratch.set(folder)
+    try:
+        yield folder
+    finally:
+        _scratch.reset(token)
+        remove_folder(spark, folder)
 
 
 def written(df: DataFrame, label: str) -> DataFrame:
