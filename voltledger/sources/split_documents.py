@@ -54,50 +54,37 @@ def _occurrences(text: Column, signs: str) -> Column:
     return F.length(text) - F.length(F.translate(text, signs, ""))
 
 
-def _pieces(spark: SparkSession, path: str) -> DataFrame:
-    """``file, split, id, size, value, quotes, change_outside, change_inside`` per piece.
+def _bare() -> Column:
+    """The piece without what is escaped in it, which is neither a quotation mark nor a bracket."""
+    value = F.col("value")
+    return F.when(value.contains("\\"), F.regexp_replace(value, r"(?s)\\.", "")).otherwise(value)
 
-    A change is what the piece and the brace behind it do to the depth.
-    """
+
+def _pieces(spark: SparkSession, path: str) -> DataFrame:
+    """``file, split, id, size, value, quotes`` per piece."""
     found = spark.read.option("lineSep", END).text(path)
     name = F.col("_metadata.file_path")
     file = F.when(
         name.rlike(COMPRESSED),
         F.raise_error(F.concat(F.lit("a compressed file cannot be split: "), name)),
     ).otherwise(name)
-    rows = found.select(
+    return found.select(
         file.alias("file"),
         F.col("_metadata.file_block_start").alias("split"),
         F.col("_metadata.file_size").alias("size"),
         F.monotonically_increasing_id().alias("id"),
         "value",
-        # What is escaped within a text is neither a quotation mark nor a bracket.
-        F.regexp_replace("value", r"(?s)\\.", "").alias("bare"),
-    )
-    quoted = '"[^"]*("|$)'
-    outside = F.regexp_replace("bare", quoted, "")
-    inside = F.regexp_replace(F.regexp_replace("bare", '^[^"]*("|$)', ""), quoted, "")
-    counted = rows.select(
-        "*",
-        _occurrences(F.col("bare"), '"').alias("quotes"),
-        outside.alias("outside"),
-        inside.alias("inside"),
+        _occurrences(_bare(), '"').alias("quotes"),
     )
 
-    def change(text: Column, ends_outside: Column) -> Column:
-        closed = _occurrences(text, "]") + ends_outside.cast("int")
-        return (_occurrences(text, "{[") - closed).cast("long")
 
-    even = F.col("quotes") % 2 == 0
-    return counted.select(
-        *SPLIT,
-        "id",
-        "size",
-        "value",
-        "quotes",
-        change(F.col("outside"), even).alias("change_outside"),
-        change(F.col("inside"), ~even).alias("change_inside"),
-    )
+def _change(inside: Column) -> Column:
+    """What a piece and the brace behind it do to the depth, if it begins ``inside`` a text."""
+    begun = F.when(inside, F.regexp_replace(_bare(), '^[^"]*("|$)', "")).otherwise(_bare())
+    text = F.regexp_replace(begun, '"[^"]*("|$)', "")
+    ends_outside = (F.col("quotes") + inside.cast("int")) % 2 == 0
+    closed = _occurrences(text, "]") + ends_outside.cast("int")
+    return (_occurrences(text, "{[") - closed).cast("long")
 
 
 def _is_inside(start: Column) -> Column:
@@ -113,11 +100,6 @@ def _split_starts(pieces: DataFrame) -> DataFrame:
     long as it is, so it was read in another way than it is stored.
     """
     own = F.when(F.col("inside") == 1, F.col("depth_1")).otherwise(F.col("depth_0"))
-
-    def depth(start: int) -> Column:
-        inside = _is_inside(F.lit(start))
-        return F.when(inside, F.col("change_inside")).otherwise(F.col("change_outside"))
-
     first = F.substring(F.ltrim(F.translate("value", "\t\r\n", "   ")), 1, 1)
     narrow = pieces.select(
         *SPLIT,
@@ -125,6 +107,16 @@ def _split_starts(pieces: DataFrame) -> DataFrame:
         "size",
         (F.octet_length("value") + 1).cast("long").alias("bytes"),
         first.alias("opens"),
+        "quotes",
+        _change(F.lit(False)).alias("outside"),
+        _change(F.lit(True)).alias("inside"),
+    )
+
+    def depth(start: int) -> Column:
+        return F.when(_is_inside(F.lit(start)), F.col("inside")).otherwise(F.col("outside"))
+
+    narrow = narrow.select(
+        "*",
         (_so_far(F.col("quotes")) % 2).alias("parity"),
         depth(0).alias("change_0"),
         depth(1).alias("change_1"),
@@ -180,11 +172,16 @@ FILE = ("base", "open_end", "strange")
 def _texts(pieces: DataFrame, starts: DataFrame) -> DataFrame:
     """``file, n, is_end, value`` and what is known of the file: the n-th record of each file with
     what stands before it, without its last brace. What is behind the last record is no end."""
-    rows = pieces.join(starts, list(SPLIT))
-    change = F.when(_is_inside(F.col("inside")), F.col("change_inside"))
+    rows = pieces.join(starts, list(SPLIT)).withColumn("within", _is_inside(F.col("inside")))
     rows = rows.select(
-        "*",
-        change.otherwise(F.col("change_outside")).alias("change"),
+        *SPLIT,
+        "id",
+        "value",
+        "inside",
+        "depth",
+        "ended",
+        *FILE,
+        _change(F.col("within")).alias("change"),
         ((F.col("inside") + _so_far(F.col("quotes"))) % 2 == 0).alias("ends_outside"),
     )
     depth = F.col("depth") + _so_far(F.col("change"))
@@ -195,6 +192,7 @@ def _texts(pieces: DataFrame, starts: DataFrame) -> DataFrame:
     # The pieces of a split are in one partition already, so this takes no shuffle.
     parts = rows.withColumn("begins", begins).groupBy(*SPLIT, "n", "begins", *FILE)
     parts = parts.agg(_joined_by("id").alias("value"), F.max("is_end").alias("is_end"))
+    parts = written(parts, "document-parts")
     whole = F.col("begins") & F.col("is_end")
     # Only records that go over the end of a split, and rests, are put together from several.
     crossing = parts.where(~whole).groupBy("file", "n", *FILE)
