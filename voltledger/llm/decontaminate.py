@@ -45,7 +45,7 @@ BLOCKS, BLOCK_BITS = 8, 8
 PART_CHARS = 8_000_000
 MAX_CHARS = 64_000_000
 # Windows are worked on together as long as they have no more places and pairs than this.
-PLACES_AT_ONCE = 1 << 17
+PLACES_AT_ONCE = 1 << 14
 PAIRS_AT_ONCE = 1 << 20
 FILTER_BITS = 20
 
