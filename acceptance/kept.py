@@ -15,7 +15,9 @@ def _order_loads(spark, sf_dir):
     """Orders in three loads by date, the last period first and the first one twice, with keys of
     which some are repeated or null."""
     day, number = F.col("o_orderdate"), F.col("o_orderkey")
-    key = number * number * number % 20_011
+    # The remainder of the cube, from remainders: the cube itself may not fit in a long.
+    rest = number % 20_011
+    key = rest * rest % 20_011 * rest % 20_011
     orders = table(spark, sf_dir, "orders").select(
         F.when(key != 7, key).alias("customer"), "o_orderdate", "o_orderpriority"
     )
