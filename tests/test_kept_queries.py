@@ -25,7 +25,7 @@ def folder(spark, tmp_path_factory):
     return str(path)
 
 
-@pytest.mark.parametrize("name", ["distinct_at_least", "duplicated_in_load"])
+@pytest.mark.parametrize("name", ["distinct_at_least", "duplicated_in_load", "kept_duplicates"])
 def test_keys_whose_cube_does_not_fit(spark, folder, name):
     got = spark_entry.queries()[name](spark, folder)
     with duckdb.connect() as duck:
