@@ -1,7 +1,9 @@
 import random
+import tracemalloc
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -190,3 +192,28 @@ def test_blocks_hold_every_pair_of_two_components(spark, monkeypatch, seed):
     assert pairs == {
         frozenset((n, m)) for b, n, c in data for d, m, e in data if b == d and n < m and c != e
     }
+
+
+def test_many_short_texts_need_little_memory_at_once():
+    """Darts of 6,000 short texts thrown together took 463 MB for buckets, 961 MB for sketches."""
+    texts = [f"word{k} is number {k % 7} ok" for k in range(6_000)]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(6_000)), pa.array(texts)], ["node", "text"])
+    neardup.bucket_keys(texts[:10])
+    for rows in (neardup.bag_rows, neardup.key_rows):
+        tracemalloc.start()
+        (made,) = rows(iter([batch]))
+        _, peak = tracemalloc.get_traced_memory()
+        tracemalloc.stop()
+        assert made.num_rows == 6_000 and peak < 100e6, (rows, peak)
+
+
+@pytest.mark.parametrize("cells", [1, 64, 200, 1 << 16])
+def test_a_signature_does_not_depend_on_how_many_are_filled_together(monkeypatch, cells):
+    rng = np.random.default_rng(11)
+    names = rng.integers(1, 2**62, 400).astype(np.uint64)
+    offsets = np.array([0, 0, 1, 20, 20, 21, 390, 400, 400])
+    weights = rng.integers(1, 4, 400).astype(float)
+    want = darts.signatures(names, weights, offsets, 64)
+    monkeypatch.setattr(darts, "CELLS", cells)
+    assert (darts.signatures(names, weights, offsets, 64) == want).all()
+    assert darts.signatures(names[:0], weights[:0], offsets[:1], 64).shape == (0, 64)

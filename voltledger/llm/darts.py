@@ -16,6 +16,9 @@ from voltledger.llm.words import mix, salted
 
 # So many darts are gathered in one sweep at most, but for one region's.
 SWEEP = 1 << 16
+# So many coordinates are filled together at most, but for one set's. Each takes about eight darts,
+# so that many small sets at once need no more memory than few.
+CELLS = 1 << 16
 # Ranks are compared to this many bits of the limit; sets times size must fit in the others.
 RANK_BITS = 34
 
@@ -56,6 +59,19 @@ def signatures(
 
     ``elements`` are 64-bit hashes, none twice in a set; set k has those from offsets[k] on.
     """
+    n, step = len(offsets) - 1, max(1, CELLS // size)
+    made = np.zeros((n, size), np.uint64)
+    for start in range(0, n, step):
+        ends = offsets[start : start + step + 1]
+        own = slice(ends[0], ends[-1])
+        made[start : start + step] = filled(elements[own], weights[own], ends - ends[0], size)
+    return made
+
+
+def filled(
+    elements: np.ndarray, weights: np.ndarray, offsets: np.ndarray, size: int
+) -> np.ndarray:
+    """The signatures of sets that are worked on together."""
     n = len(offsets) - 1
     made = np.zeros(n * size, np.uint64)
     if not len(elements):
