@@ -26,7 +26,7 @@ give repeated results.
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
@@ -34,6 +34,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from voltledger.llm.memory import giving_back
 from voltledger.llm.words import BASE, chunked, salted, shingles, word_hashes
 
 SHINGLE_WORDS = 5
@@ -275,13 +276,15 @@ def hits_column(text: Column, benchmark: Benchmark, threshold: float, spark) ->
     names = ("item_id", "start", "n_words", "similarity", "distance")
 
     @F.pandas_udf(HITS)
-    def hits(column: pd.Series) -> pd.Series:
-        rows = [
-            [dict(zip(names, row)) for row in found]
-            for part in chunked(column)
-            for found in search(part, sent.value, threshold)
-        ]
-        return pd.Series(rows, dtype="object")
+    @giving_back
+    def hits(columns: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for column in columns:
+            rows = [
+                [dict(zip(names, row)) for row in found]
+                for part in chunked(column)
+                for found in search(part, sent.value, threshold)
+            ]
+            yield pd.Series(rows, dtype="object")
 
     return hits(text)
 

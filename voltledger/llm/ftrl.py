@@ -6,7 +6,7 @@ that the trained model is a short list of (feature, weight) pairs.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
@@ -14,6 +14,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from voltledger.llm.memory import giving_back
 from voltledger.llm.words import chunked
 
 # (texts, bits) -> (number of each feature, number of the text it stands in), repeats included.
@@ -94,6 +95,7 @@ def train(
         .sortWithinPartitions(F.xxhash64("doc_id"), "doc_id")
     )
 
+    @giving_back
     def learn(frames):
         rows, marks = [], []
         for frame in frames:
@@ -127,11 +129,13 @@ def score_column(text: Column, w: np.ndarray, features: Features, how: Training,
     sent = spark.sparkContext.broadcast((used, w[used]))
 
     @F.pandas_udf("double")
-    def score(column: pd.Series) -> pd.Series:
+    @giving_back
+    def score(columns: Iterator[pd.Series]) -> Iterator[pd.Series]:
         dense = np.zeros((1 << how.bits) + 1)
         dense[sent.value[0]] = sent.value[1]
-        parts = [scores(part, dense, features, how) for part in chunked(column)]
-        return pd.Series(np.concatenate(parts) if parts else np.zeros(0))
+        for column in columns:
+            parts = [scores(part, dense, features, how) for part in chunked(column)]
+            yield pd.Series(np.concatenate(parts) if parts else np.zeros(0))
 
     return score(text)
 

@@ -35,6 +35,7 @@ from pyspark.sql import types as T
 from voltledger.llm.darts import signatures
 from voltledger.llm.graph import components
 from voltledger.llm.groups import dealt, grouped
+from voltledger.llm.memory import giving_back
 from voltledger.llm.words import mix, owner, salted, shingles, text_slices, word_hashes
 from voltledger.session import written
 
@@ -84,6 +85,7 @@ def node_of(text: Column) -> Column:
     return F.xxhash64(F.coalesce(text, F.lit("")))
 
 
+@giving_back
 def key_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """``node, text`` to ``node, keys``; a text without words is left out."""
     for rows, texts in text_slices(batches, 1):
@@ -95,6 +97,7 @@ def key_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
+@giving_back
 def bag_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """``node, text`` to ``node, bag, sketch``."""
     for rows, texts in text_slices(batches, 1):
@@ -117,16 +120,18 @@ def jaccard(a: np.ndarray, b: np.ndarray) -> float:
 
 
 @F.pandas_udf(T.DoubleType())
-def sketched_similarity(a: pd.Series, b: pd.Series) -> pd.Series:
-    if not len(a):
-        return pd.Series([], dtype="float64")
-    left, right = (np.frombuffer(b"".join(s), np.uint8).reshape(-1, SKETCH) for s in (a, b))
-    return pd.Series((left == right).mean(axis=1))
+@giving_back
+def sketched_similarity(sides: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
+    for a, b in sides:
+        left, right = (np.frombuffer(b"".join(s), np.uint8).reshape(-1, SKETCH) for s in (a, b))
+        yield pd.Series((left == right).mean(axis=1), dtype="float64")
 
 
 @F.pandas_udf(T.DoubleType())
-def bag_similarity(a: pd.Series, b: pd.Series) -> pd.Series:
-    return pd.Series([jaccard(x, y) for x, y in zip(a, b)], dtype="float64")
+@giving_back
+def bag_similarity(sides: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
+    for a, b in sides:
+        yield pd.Series([jaccard(x, y) for x, y in zip(a, b)], dtype="float64")
 
 
 def linked(pairs: DataFrame, known: DataFrame, threshold: float) -> DataFrame:
@@ -199,6 +204,7 @@ def partners(block: pd.DataFrame) -> Iterator[tuple[int, np.ndarray]]:
         yield int(k), others[agree >= SKETCH_FLOOR]
 
 
+@giving_back
 def with_partners(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """The rows of each block that have a partner there."""
     for block in grouped(frames, BLOCK_KEY):
@@ -289,7 +295,9 @@ def links_across(
     some = written(some.mapInPandas(with_partners, place), "near-partners")
     whole = dealt(some.join(keys, "node").join(known, "node"), BLOCK_KEY)
     return written(
-        whole.mapInPandas(lambda frames: joining_links(frames, threshold), "a long, b long"),
+        whole.mapInPandas(
+            giving_back(lambda frames: joining_links(frames, threshold)), "a long, b long"
+        ),
         "near-links",
     )
 

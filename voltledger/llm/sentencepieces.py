@@ -3,7 +3,7 @@
 The model file is read as a protocol buffer by its wire format. From it are rebuilt the normaliser
 (character map, white space rules, the meta symbol for a space), the unigram scores or, for a
 byte-pair model, the merges in the order of their scores, and the byte fallback. Segments between
-spaces are encoded once per batch, by all threads, where no piece can reach over a space.
+spaces are encoded once per task, by all threads, where no piece can reach over a space.
 
 Null text encodes as empty; an empty text has no ids.
 """
@@ -24,6 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from voltledger.llm.memory import giving_back
 from voltledger.llm.words import text_slices
 
 # Files above this size are refused: the model is sent to every executor.
@@ -259,7 +260,7 @@ class Codec:
 
 @lru_cache(maxsize=2)
 def codec_of(data: bytes, threads: int) -> Codec:
-    """One codec per model in a worker, which keeps the segments it knows from task to task."""
+    """One codec per model in a worker; a task that used it lets it forget its segments."""
     return Codec(parse(data), threads)
 
 
@@ -293,6 +294,24 @@ def coded(part: list[str], codec: Codec, library, threads: int) -> list[pa.Array
     return [*columns, pa.array(decodes, pa.bool_()), pa.array(parity, pa.bool_())]
 
 
+def coded_rows(
+    batches: Iterator[pa.RecordBatch], data: bytes, place: int, threads: int, verify: bool
+) -> Iterator[pa.RecordBatch]:
+    """The batches of a task, with the columns of ``ADDED`` for the text column at ``place``."""
+    codec = codec_of(data, threads)
+    library = None
+    if verify:
+        import sentencepiece
+
+        library = sentencepiece.SentencePieceProcessor(model_proto=data)
+    try:
+        for own, part in text_slices(batches, place):
+            columns = [*own.columns, *coded(part, codec, library, threads)]
+            yield pa.RecordBatch.from_arrays(columns, [*own.schema.names, *ADDED.names])
+    finally:
+        codec.forget()
+
+
 def with_pieces(
     docs: DataFrame, path: str, threads: int = 2, verify: bool = True, text: str = "text"
 ) -> DataFrame:
@@ -308,16 +327,9 @@ def with_pieces(
     names, place = rows.columns, rows.columns.index(text)
     plain = rows.toDF(*[f"c{k}" for k in range(len(names))])  # names with dots are not passed on
 
+    @giving_back
     def code(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codec = codec_of(sent.value, threads)
-        library = None
-        if verify:
-            import sentencepiece
-
-            library = sentencepiece.SentencePieceProcessor(model_proto=sent.value)
-        for own, part in text_slices(batches, place):
-            columns = [*own.columns, *coded(part, codec, library, threads)]
-            yield pa.RecordBatch.from_arrays(columns, [*own.schema.names, *ADDED.names])
+        yield from coded_rows(batches, sent.value, place, threads, verify)
 
     made = plain.mapInArrow(code, T.StructType([*plain.schema.fields, *ADDED.fields]))
     return made.toDF(*names, *ADDED.names)

@@ -54,6 +54,10 @@ def powers(base: int, n: int) -> np.ndarray:
     return known[:n]
 
 
+def forget_powers() -> None:
+    _powers.clear()
+
+
 def run_hashes(codes: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """A 64-bit hash of codes[start:end] for each run; codes are bytes, none of them 0."""
     sums = np.zeros(len(codes) + 1, np.uint64)
