@@ -1,4 +1,5 @@
 import random
+import re
 import struct
 
 import numpy as np
@@ -85,6 +86,68 @@ def test_segments_may_be_forgotten(monkeypatch):
             check(codec, library, [text])
 
 
+def parts_of(text):
+    return re.findall(" *[^ ]+| +$", text)
+
+
+def test_segments_against_a_pattern():
+    codec, _ = both(sentencepieces.read_model(PATH))
+    rng = random.Random(3)
+    texts = ["".join(rng.choices(" aé\n▁", k=rng.randint(0, 9))) for _ in range(300)]
+    texts = ["", *map(codec.normalise, texts), "", ""]
+    for split, expected in ((True, parts_of), (False, lambda text: [text] if text else [])):
+        codec.splits = split
+        parts, begin = codec.segments(texts)
+        found = [parts[a:b].to_pylist() for a, b in zip(begin[:-1], begin[1:])]
+        assert found == [expected(text) for text in texts]
+    assert [len(x) for x in codec.segments([])] == [0, 1]
+
+
+class Counted:
+    """A tokenizer that notes the lists that are encoded with their words' numbers."""
+
+    def __init__(self, tokenizer):
+        self.tokenizer, self.numbered = tokenizer, []
+
+    def __getattr__(self, name):
+        return getattr(self.tokenizer, name)
+
+    def encode(self, words, **rules):
+        self.numbered.append(words)
+        return self.tokenizer.encode(words, **rules)
+
+    def encode_batch(self, lists, **rules):
+        self.numbered += lists
+        return self.tokenizer.encode_batch(lists, **rules)
+
+
+def test_segments_are_looked_up_once_and_encoded_without_numbers(monkeypatch):
+    codec, library = both(sentencepieces.read_model(PATH))
+    codec.tokenizer = Counted(codec.tokenizer)
+    learned, learn = [], codec.learn
+    monkeypatch.setattr(codec, "learn", lambda parts: learned.append(parts) or learn(parts))
+    texts = ["so so so  so", "", "so it is 日本 🎉"] * 20
+    assert [one.tolist() for one in codec.encode(texts)] == library.encode(texts)
+    assert learned == [[" so", "  so", " it", " is", " 日本", " 🎉"]]
+    assert codec.tokenizer.numbered == []
+
+
+@pytest.mark.parametrize("fallback", [True, False])
+def test_sizes_of_what_is_unknown_or_named_like_a_byte(fallback):
+    codec, _ = both(unigram_model(fallback))
+    codec.tokenizer = Counted(codec.tokenizer)
+    rng = random.Random(2)
+    signs = ["a", "b", "cab", "▁", "é", "日", "<0x41>", "<unk>", "<s>"]
+    for known in (4, 9):
+        for _ in range(100):
+            some = signs[:known]
+            words = ["".join(rng.choices(some, k=rng.randint(1, 4))) for _ in range(5)]
+            one = codec.tokenizer.tokenizer.encode(words, is_pretokenized=True, add_special_tokens=False)
+            sizes = codec.sizes_of(words, np.array(one.ids, np.int32))
+            assert sizes.tolist() == [one.word_ids.count(k) for k in range(5)]
+        assert bool(codec.tokenizer.numbered) == (known == 9)
+
+
 def test_given_table(spark):
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
     rows = sentencepieces.with_pieces(docs, PATH).collect()

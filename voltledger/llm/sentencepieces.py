@@ -15,7 +15,7 @@ import struct
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass, field
 from functools import lru_cache
-from itertools import chain
+from itertools import repeat
 
 import numpy as np
 import pandas as pd
@@ -123,10 +123,6 @@ def merges(model: Model) -> list[tuple[str, str]]:
     return [(model.pieces[k][:cut], model.pieces[k][cut:]) for _, k, _, _, cut in sorted(ways)]
 
 
-def plain_text(normalised: str) -> str:
-    return normalised.replace(SPACE, " ")
-
-
 class Codec:
     """Encoder and decoder of one model, made in the process that uses it."""
 
@@ -170,56 +166,82 @@ class Codec:
         # Where a piece has a space behind another sign, texts are encoded whole.
         normal = [p for p, t in zip(model.pieces, model.types) if t in (NORMAL, USER_DEFINED)]
         self.splits = not any(SPACE in piece.lstrip(SPACE) for piece in normal)
+        # The bytes of text that each id stands for; the unknown one may stand for any number.
+        self.n_bytes = np.array(
+            [1 if t == BYTE else len(name.encode()) for name, t in zip(core_names, model.types)]
+        )
+        self.n_bytes[unknown] = 0
         self.forget()
 
     def normalise(self, text: str) -> str:
+        """The normalised text, with plain spaces for the model's meta symbol."""
         if self.normalizer is not None:
             text = self.normalizer.normalize_str(text)
         if not text:
             return ""
-        return (SPACE if self.model.dummy_prefix else "") + text.replace(" ", SPACE)
-
-    def segments(self, text: str) -> list[str]:
-        """Parts of a normalised text that no piece reaches over: spaces with what follows them."""
-        if not self.splits:
-            return [text] if text else []
-        parts = text.split(SPACE)
-        if SPACE + SPACE not in text and parts[-1]:
-            return [parts[0]] * bool(parts[0]) + [SPACE + part for part in parts[1:]]
-        made = [parts[0]] if parts[0] else []
-        run = ""
-        for part in parts[1:]:
-            run += SPACE
-            if part:
-                made.append(run + part)
-                run = ""
-        if run:
-            made.append(run)
-        return made
-
-    def learn(self, parts: list[str]) -> None:
-        """Encode the segments that are not known yet, in lists that all threads share, and see
-        which of them decode to what they were."""
+        return (" " if self.model.dummy_prefix else "") + text.replace(SPACE, " ")
+
+    def segments(self, texts: Sequence[str]) -> tuple[pa.Array, np.ndarray]:
+        """Parts of normalised texts that no piece reaches over, spaces with what follows them, and
+        where each text's begin."""
+        coded = [text.encode() for text in texts]
+        cuts = np.cumsum([0, *map(len, coded)])
+        whole = b"".join(coded)
+        starts = np.zeros(len(whole) + 1, bool)
+        starts[cuts] = True
+        if self.splits:
+            space = np.frombuffer(whole, np.uint8) == 32
+            starts[1:-1] |= space[1:] & ~space[:-1]
+        bounds = np.flatnonzero(starts).astype(np.int64)
+        buffers = [None, pa.py_buffer(bounds), pa.py_buffer(whole)]
+        parts = pa.Array.from_buffers(pa.large_string(), len(bounds) - 1, buffers)
+        return parts, np.searchsorted(bounds, cuts)
+
+    def learn(self, parts: list[str]) -> np.ndarray:
+        """The numbers of distinct segments. Those not known yet are encoded, in lists that all
+        threads share, and it is seen which of them decode to what they were."""
         if len(self.number) > KNOWN_SEGMENTS:
             self.forget()
-        new = list(set(parts).difference(self.number))
-        lists = [new[k : k + LISTED] for k in range(0, len(new), LISTED)]
+        numbers = np.fromiter(map(self.number.get, parts, repeat(-1)), np.int64, len(parts))
+        fresh = np.flatnonzero(numbers < 0)
+        numbers[fresh] = range(len(self.number), len(self.number) + len(fresh))
+        new = [parts[k] for k in fresh.tolist()]
+        plain = [new[k : k + LISTED] for k in range(0, len(new), LISTED)]
+        lists = [[word.replace(" ", SPACE) for word in words] for words in plain]
         sizes, flats, exact = [self.sizes], [self.flat], [self.exact]
-        coded = self.tokenizer.encode_batch(lists, is_pretokenized=True, add_special_tokens=False)
-        for words, one in zip(lists, coded):
-            flat = one.ids
-            size = np.bincount(np.array(one.word_ids, np.int64), minlength=len(words))
-            same = self.tokenizer.decode(flat, skip_special_tokens=False) == plain_text("".join(words))
+        coded = self.tokenizer.encode_batch_fast(
+            lists, is_pretokenized=True, add_special_tokens=False
+        )
+        for words, marked, one in zip(plain, lists, coded):
+            ids = one.ids
+            flat = np.array(ids, np.int32)
+            size = self.sizes_of(marked, flat)
+            same = self.tokenizer.decode(ids, skip_special_tokens=False) == "".join(words)
             if not same:
                 ends = np.cumsum(size).tolist()
-                each = [flat[a:b] for a, b in zip([0, *ends], ends)]
+                each = [ids[a:b] for a, b in zip([0, *ends], ends)]
                 decoded = self.tokenizer.decode_batch(each, skip_special_tokens=False)
-                same = [text == plain_text(word) for text, word in zip(decoded, words)]
+                same = [text == word for text, word in zip(decoded, words)]
             sizes.append(size)
-            flats.append(np.array(flat, np.int32))
+            flats.append(flat)
             exact.append(np.broadcast_to(same, len(words)))
-        self.number.update(zip(new, range(len(self.number), len(self.number) + len(new))))
+        self.number.update(zip(new, numbers[fresh].tolist()))
         self.sizes, self.flat, self.exact = map(np.concatenate, (sizes, flats, exact))
+        return numbers
+
+    def sizes_of(self, words: list[str], flat: np.ndarray) -> np.ndarray:
+        """How many of the ids each word of a list has.
+
+        No id reaches over a word's end, so that the bytes they stand for tell it. Where these are
+        not those of the words (something is unknown to the model), the words are encoded again
+        with their numbers.
+        """
+        reached = np.cumsum(self.n_bytes[flat])
+        ends = np.cumsum([len(word.encode()) for word in words])
+        if len(flat) and reached[-1] == ends[-1]:
+            return np.diff(np.searchsorted(reached, ends) + 1, prepend=0)
+        one = self.tokenizer.encode(words, is_pretokenized=True, add_special_tokens=False)
+        return np.bincount(np.array(one.word_ids, np.int64), minlength=len(words))
 
     def forget(self) -> None:
         self.number: dict[str, int] = {}
@@ -232,15 +254,14 @@ class Codec:
         Each distinct segment is encoded and decoded once as long as it is remembered; no piece
         and no sequence of fallback bytes reaches over the end of a segment.
         """
-        each = [self.segments(self.normalise(text)) for text in texts]
-        parts = list(chain.from_iterable(each))
-        self.learn(parts)
-        at = np.fromiter(map(self.number.__getitem__, parts), np.int64, len(parts))
+        parts, counts = self.segments([self.normalise(text) for text in texts])
+        distinct = parts.dictionary_encode()
+        words = distinct.dictionary.to_numpy(zero_copy_only=False).tolist()
+        at = self.learn(words)[distinct.indices.to_numpy()]
         begin = np.cumsum(self.sizes) - self.sizes
         size = self.sizes[at]
         ends = np.concatenate([[0], np.cumsum(size)])
         source = np.arange(ends[-1]) - np.repeat(ends[:-1] - begin[at], size)
-        counts = np.concatenate([[0], np.cumsum([len(one) for one in each])]).astype(np.int64)
         changed = np.concatenate([[0], np.cumsum(~self.exact[at])])[counts]
         return self.flat[source], ends[counts], np.diff(changed) == 0
 
@@ -254,7 +275,7 @@ class Codec:
 
     def plain(self, text: str) -> str:
         """What decoding must give back where nothing in the text is unknown to the model."""
-        text = plain_text(self.normalise(text))
+        text = self.normalise(text)
         return text[1:] if self.model.dummy_prefix and text else text
 
 
@@ -286,9 +307,9 @@ def coded(part: list[str], codec: Codec, library, threads: int) -> list[pa.Array
     flat, cuts, decodes = codec.run(part)
     parity = [None] * len(part)
     if library is not None:
-        expected = library.encode(part, num_threads=threads)
-        ids = (flat[a:b].tolist() for a, b in zip(cuts[:-1], cuts[1:]))
-        parity = [a == b for a, b in zip(ids, expected)]
+        expected = library.encode(part, num_threads=threads, return_type="numpy")
+        ids = (flat[a:b].tobytes() for a, b in zip(cuts[:-1], cuts[1:]))
+        parity = [a == b.tobytes() for a, b in zip(ids, expected)]
     lists = pa.ListArray.from_arrays(pa.array(cuts, pa.int32()), pa.array(flat, pa.int32()))
     columns = [lists, pa.array(np.diff(cuts), pa.int64())]
     return [*columns, pa.array(decodes, pa.bool_()), pa.array(parity, pa.bool_())]
